@@ -1,0 +1,90 @@
+"""Size checks and the spreading of hot keys.
+
+A plan whose estimated input is small runs as one plain join or window. Past
+that size nothing may depend on one key staying small: hot keys are counted
+with a map-side combine and spread over salts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_BYTES_CONF = "spark.strandline.smallBytes"
+SMALL_BYTES = 64 << 20
+# a key is hot once it holds more than 1/MAX_HOT of all rows, so at most MAX_HOT keys are hot
+MAX_HOT = 1024
+MIN_HOT_CONF = "spark.strandline.minHotRows"
+MIN_HOT_ROWS = 200_000
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; no job runs. Unknown sizes come out huge."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes()))
+
+
+def is_small(*frames: DataFrame, fan_out: int = 1) -> bool:
+    """Whether all inputs together, each row becoming ``fan_out`` rows, stay small."""
+    limit = int(frames[0].sparkSession.conf.get(SMALL_BYTES_CONF, str(SMALL_BYTES)))
+    return sum(estimated_bytes(df) for df in frames) * fan_out <= limit
+
+
+def hot_keys(df: DataFrame, keys: list[str], salt: str) -> DataFrame:
+    """(keys, salt count) of the hot keys; never more than ``MAX_HOT`` rows."""
+    minimum = int(df.sparkSession.conf.get(MIN_HOT_CONF, str(MIN_HOT_ROWS)))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_total")).scalar()
+    share = F.col("_n") * MAX_HOT / total
+    return (
+        counts.where((F.col("_n") >= minimum) & (share > 1))
+        .select(*keys, F.ceil(share).cast("int").alias(salt))
+    )
+
+
+def _with_salt_count(df: DataFrame, hot: DataFrame, keys: list[str], salt: str) -> DataFrame:
+    # at most MAX_HOT rows by construction, so the broadcast has a fixed bound
+    return df.join(F.broadcast(hot), keys, "left").withColumn(salt, F.coalesce(salt, F.lit(1)))
+
+
+def _own_salt(df: DataFrame, columns: list[str], salt: str) -> DataFrame:
+    return df.withColumn(salt, F.pmod(F.xxhash64(*columns), F.col(salt)).cast("int"))
+
+
+def _every_salt(df: DataFrame, salt: str) -> DataFrame:
+    return df.withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(salt) - 1)))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
+                condition=None, salt: bool | None = None) -> DataFrame:
+    """Equi-join on ``keys`` (same names on both sides) that spreads hot keys.
+
+    Rows of a hot key on the left take one of its salts by row hash and the
+    right side is repeated per salt; an inner join treats the right side the
+    same way. ``condition`` is a further test over the columns of both sides,
+    whose other column names must differ.
+    """
+    if salt is None:
+        salt = not is_small(left, right)
+    joined_on = list(keys)
+    if salt:
+        l_cols, r_cols = left.columns, right.columns
+        l_hot = hot_keys(left, keys, "_salt_l")
+        left = _with_salt_count(left, l_hot, keys, "_salt_l")
+        right = _with_salt_count(right, l_hot, keys, "_salt_l")
+        joined_on.append("_salt_l")
+        if how == "inner":
+            r_hot = hot_keys(right.select(*keys), keys, "_salt_r")
+            left = _every_salt(_with_salt_count(left, r_hot, keys, "_salt_r"), "_salt_r")
+            right = _own_salt(_with_salt_count(right, r_hot, keys, "_salt_r"), r_cols, "_salt_r")
+            joined_on.append("_salt_r")
+        left = _own_salt(left, l_cols, "_salt_l")
+        right = _every_salt(right, "_salt_l")
+    if condition is None:
+        return left.join(right, joined_on, how).drop("_salt_l", "_salt_r")
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in joined_on})
+    test = condition
+    for k in joined_on:
+        test = test & (F.col(k) == F.col(f"_r_{k}"))
+    return left.join(renamed, test, how).drop(
+        *[f"_r_{k}" for k in joined_on], "_salt_l", "_salt_r")

@@ -102,15 +102,16 @@ def cell_type_averages(normalised: DataFrame, files: DataFrame, *,
                        small: bool | None = None) -> DataFrame:
     """Mean over the files of a cell type (file_key 0) with its own percentile.
 
-    Means are rounded to 12 places before ranking, so equal bins tie whatever
-    order their files were added in.
+    Ranks compare the means to 12 significant digits, so equal bins tie
+    whatever order their files were added in.
     """
     n_files = files.groupBy("cell_type").agg(F.count_distinct("file_key").alias("_files"))
     sums = normalised.groupBy("cell_type", "chrom", "bin_number").agg(F.sum("value").alias("_sum"))
     means = sums.join(n_files, "cell_type").select(
         "bin_number", "cell_type", "chrom", F.lit(0).alias("file_key"),
-        F.round(F.col("_sum") / F.col("_files"), 12).alias("value"))
-    ranked = ordering.percentile(means, ["cell_type"], "value", "percentile", small=small)
+        (F.col("_sum") / F.col("_files")).alias("value"))
+    means = means.withColumn("_digits", F.format_string("%.11e", "value").cast("double"))
+    ranked = ordering.percentile(means, ["cell_type"], "_digits", "percentile", small=small)
     return ranked.select("bin_number", "cell_type", "chrom", "file_key", "value", "percentile")
 
 

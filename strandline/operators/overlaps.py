@@ -117,16 +117,22 @@ def _prepared(a, b, mode, relation, half_open, shift, by):
 
 
 def overlap_filter(a: DataFrame, b: DataFrame, mode: str = "both", relation: str = "overlap", *,
-                   keep: bool = True, half_open: bool = False, shift: int = 9,
-                   by: list[str] = (), salt: bool | None = None) -> DataFrame:
-    """Rows of ``a`` with (``keep``) or without any partner in ``b``; no pairs are built."""
+                   keep: bool = True, half_open: bool = False, shift: int = 9, by: list[str] = (),
+                   also: Column | None = None, identity: list[str] = (),
+                   salt: bool | None = None) -> DataFrame:
+    """Rows of ``a`` with (``keep``) or without any partner in ``b``; no pairs are built.
+
+    ``also`` is a further test over the ``identity`` columns of ``a`` and the ``b_`` columns.
+    """
     if salt is None:
         salt = not is_small(a, b, fan_out=4)
-    identity = ["chrom", "start", "end", *by] + (["strand"] if mode != "both" else [])
+    identity = ["chrom", "start", "end", *by, *identity] + (["strand"] if mode != "both" else [])
     places = a.select(*identity)
     if salt:  # equal places need one look-up only
         places = places.distinct()
     left, right, test, keys = _prepared(places, b, mode, relation, half_open, shift, by)
+    if also is not None:
+        test = test & also
     found = salted_join(left, right, keys, "left_semi", test, salt).select(*identity).distinct()
     return a.join(found, identity, "left_semi" if keep else "left_anti")
 

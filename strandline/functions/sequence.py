@@ -6,14 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def reverse_complement(column, rna: bool | None = None) -> Column:
-    """Reverse complement; with ``rna=None`` text holding a U is treated as RNA."""
+def reverse_complement(column, *, reverse: bool = True, rna: bool = False) -> Column:
+    """Complement (reversed unless told otherwise); other letters stay as they are."""
     col = F.col(column) if isinstance(column, str) else column
-    dna = F.reverse(F.translate(col, "ACGTUacgtu", "TGCAAtgcaa"))
-    as_rna = F.reverse(F.translate(col, "ACGTUacgtu", "UGCAAugcaa"))
-    if rna is None:
-        return F.when(col.contains("U") | col.contains("u"), as_rna).otherwise(dna)
-    return as_rna if rna else dna
+    paired = F.translate(col, "ACGTUacgtu", "UGCAAugcaa" if rna else "TGCAAtgcaa")
+    return F.reverse(paired) if reverse else paired
 
 
 def anchored_slice(column, anchor: str, offset: int, length: int, source=None) -> Column:

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandline.functions.signal import expression_floor, magnitude
 from strandline.operators import ordering
@@ -65,47 +66,58 @@ def differential(long: DataFrame, first: str, second: str) -> DataFrame:
     return out.withColumn("p_value", p).drop("_constant")
 
 
-def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Continued fraction of the incomplete beta function, evaluated for whole arrays."""
-    tiny = 1e-300
-    keep_off = lambda v: np.where(np.abs(v) < tiny, tiny, v)
-    c = np.ones_like(x)
-    d = 1.0 / keep_off(1.0 - (a + b) * x / (a + 1.0))
-    h = d
-    for m in range(1, 300):
-        for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-                     -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1.0 / keep_off(1.0 + step * d)
-            c = keep_off(1.0 + step / c)
-            h = h * d * c
-        if np.all(np.abs(d * c - 1.0) < 1e-15):
-            break
-    return h
-
-
-def two_sided_p(t: np.ndarray, df: np.ndarray) -> np.ndarray:
-    """Two-sided p of Student's t with any degrees of freedom."""
+def two_sided_p():
+    """Function from arrays (t, df) to the two-sided p of Student's t, any degrees of freedom.
+
+    Built inside a function so that it travels to the executors by value.
+    """
     from math import lgamma
 
-    a, b = df / 2.0, np.full_like(df, 0.5)
-    x = df / (df + t * t)
-    lg = np.vectorize(lgamma, otypes=[float])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        front = np.exp(lg(a + b) - lg(a) - lg(b) + a * np.log(x) + b * np.log1p(-x))
-        direct = front * _beta_fraction(a, b, x) / a
-        mirrored = 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
-    p = np.where(x < (a + 1.0) / (a + b + 2.0), direct, mirrored)
-    return np.where(t == 0, 1.0, np.where(x <= 0, 0.0, p))
-
-
-@F.pandas_udf("double")
-def welch_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    values, freedom = t.to_numpy(float), df.to_numpy(float)
-    known = np.isfinite(values) & np.isfinite(freedom)
-    out = np.full(len(values), np.nan)
-    if known.any():
-        out[known] = two_sided_p(values[known], freedom[known])
-    return pd.Series(out).where(known, None)
+    def beta_fraction(a, b, x):
+        # continued fraction of the incomplete beta function, whole arrays at a time
+        tiny = 1e-300
+        keep_off = lambda v: np.where(np.abs(v) < tiny, tiny, v)
+        c = np.ones_like(x)
+        d = 1.0 / keep_off(1.0 - (a + b) * x / (a + 1.0))
+        h = d
+        for m in range(1, 300):
+            for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+                         -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d = 1.0 / keep_off(1.0 + step * d)
+                c = keep_off(1.0 + step / c)
+                h = h * d * c
+            if np.all(np.abs(d * c - 1.0) < 1e-15):
+                break
+        return h
+
+    def p_value(t, df):
+        a, b = df / 2.0, np.full_like(df, 0.5)
+        x = df / (df + t * t)
+        lg = np.vectorize(lgamma, otypes=[float])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            front = np.exp(lg(a + b) - lg(a) - lg(b) + a * np.log(x) + b * np.log1p(-x))
+            direct = front * beta_fraction(a, b, x) / a
+            mirrored = 1.0 - front * beta_fraction(b, a, 1.0 - x) / b
+        p = np.where(x < (a + 1.0) / (a + b + 2.0), direct, mirrored)
+        return np.where(t == 0, 1.0, np.where(x <= 0, 0.0, p))
+
+    return p_value
+
+
+def welch_p(t, df):
+    """Column of p values, computed on Arrow batches."""
+    p_value = two_sided_p()
+
+    def batch(t: pd.Series, df: pd.Series) -> pd.Series:
+        values, freedom = t.to_numpy(float), df.to_numpy(float)
+        known = np.isfinite(values) & np.isfinite(freedom)
+        out = np.full(len(values), np.nan)
+        if known.any():
+            out[known] = p_value(values[known], freedom[known])
+        return pd.Series(out).where(known, None)
+
+    batch.__annotations__ = {"t": pd.Series, "df": pd.Series, "return": pd.Series}
+    return F.pandas_udf(batch, T.DoubleType())(t, df)
 
 
 def significant(table: DataFrame, p: float = 0.05, fold: float = 1.0, value: str = "p_value") -> DataFrame:

@@ -17,11 +17,12 @@ from strandline.functions import reads as rd
 from strandline.functions.signal import density
 from strandline.operators import ordering
 from strandline.operators.overlaps import overlap_join
-from strandline.operators.skew import salted_join
+from strandline.operators.skew import is_small, salted_join, small_limit
 
 # fixed values: name fragments of chromosomes left out of bin counting
 BIN_BLACKLIST = ["chrUn", "_random", "Zv9_", "_hap"]
 HIGH, LOW = 95, 5
+GENOME_BASES = 4_000_000_000  # no genome in use here is longer
 
 
 def drop_blacklisted(df: DataFrame, fragments: list[str] = BIN_BLACKLIST) -> DataFrame:
@@ -86,6 +87,11 @@ def normalised_bins(counts: DataFrame, files: DataFrame, bin_size: int) -> DataF
     return with_total.withColumn("value", F.col("count") * factor).drop("mapped")
 
 
+def _bins_are_few(df: DataFrame, bin_size: int) -> bool:
+    """Whether the bins of one file can be ordered in one task: small input, and few bins per genome."""
+    return is_small(df) and GENOME_BASES / bin_size * 32 <= small_limit(df)
+
+
 def bin_percentiles(counts: DataFrame, files: DataFrame, bin_size: int, *,
                     small: bool | None = None) -> DataFrame:
     """Normalised bins with their percentile among all bins of the file.
@@ -93,18 +99,22 @@ def bin_percentiles(counts: DataFrame, files: DataFrame, bin_size: int, *,
     Within a file the factor is one constant, so ranking the whole-number
     counts gives the ranks of the normalised values.
     """
+    if small is None:
+        small = _bins_are_few(counts, bin_size)
     ranked = ordering.percentile(counts, ["cell_type", "file_key"], "count", "percentile", small=small)
     return normalised_bins(ranked, files, bin_size).select(
         "bin_number", "cell_type", "chrom", "file_key", "value", "percentile")
 
 
-def cell_type_averages(normalised: DataFrame, files: DataFrame, *,
+def cell_type_averages(normalised: DataFrame, files: DataFrame, bin_size: int, *,
                        small: bool | None = None) -> DataFrame:
     """Mean over the files of a cell type (file_key 0) with its own percentile.
 
     Ranks compare the means to 12 significant digits, so equal bins tie
     whatever order their files were added in.
     """
+    if small is None:
+        small = _bins_are_few(normalised, bin_size)
     n_files = files.groupBy("cell_type").agg(F.count_distinct("file_key").alias("_files"))
     sums = normalised.groupBy("cell_type", "chrom", "bin_number").agg(F.sum("value").alias("_sum"))
     means = sums.join(n_files, "cell_type").select(
@@ -244,7 +254,8 @@ def all_pieces(regions: DataFrame, pieces, by_file: DataFrame | None = None) ->
     n = F.lit(pieces) if isinstance(pieces, int) else pieces
     base = regions if by_file is None else regions_by_file(regions, by_file)
     base = base.withColumn("n_pieces", n.cast("int")).where("n_pieces > 0")
-    return base.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)).cast("long"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.col("n_pieces").cast("long") - 1)
+    return base.withColumn("piece", F.explode(numbers))
 
 
 def piece_densities(reads: DataFrame, regions: DataFrame, files: DataFrame, file_chroms: DataFrame, *,

@@ -69,7 +69,7 @@ def median_normalised(matrix: DataFrame, pairs: dict[str, tuple[str, str | None]
     used = [c for pair in pairs.values() for c in pair if c]
     kept = [c for c in matrix.columns if c not in used]
     return matrix.select(*kept, *[
-        (F.greatest(F.lit(0.0), raw(t, c)) / row.select(name).scalar()).alias(name)
+        (F.greatest(F.lit(0.0), raw(t, c)) / F.nullif(row.select(name).scalar(), F.lit(0.0))).alias(name)
         for name, (t, c) in pairs.items()])
 
 

@@ -85,7 +85,7 @@ def overlap_join(a: DataFrame, b: DataFrame, mode: str = "both", relation: str =
     the finest window width.
     """
     if salt is None:
-        salt = not is_small(a, b, fan_out=4)
+        salt = not is_small(a, b)
     left, right, test, keys = _prepared(a, b, mode, relation, half_open, shift, by)
     once = _first_meeting("start", "b_start", "_lvl", "_b_lvl", shift)
     pairs = salted_join(left, right, keys, "inner", test & once, salt)
@@ -125,7 +125,7 @@ def overlap_filter(a: DataFrame, b: DataFrame, mode: str = "both", relation: str
     ``also`` is a further test over the ``identity`` columns of ``a`` and the ``b_`` columns.
     """
     if salt is None:
-        salt = not is_small(a, b, fan_out=4)
+        salt = not is_small(a, b)
     identity = ["chrom", "start", "end", *by, *identity] + (["strand"] if mode != "both" else [])
     places = a.select(*identity)
     if salt:  # equal places need one look-up only

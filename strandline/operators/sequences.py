@@ -34,7 +34,7 @@ def fetch(regions: DataFrame, tiles: DataFrame, size: int = 50, *, zero_based: b
         joined.alias("_text"), F.min("tile").alias("_first"))
     cut = F.substr("_text", (F.col("_begin") - F.col("_first") * size + 1).cast("int"),
                    (F.col("end") - F.col("start")).cast("int"))
-    plus = text.withColumn("sequence", cut)
+    plus = text.withColumn("sequence", cut).where(F.length("sequence") > 0)
     return plus.select("id", "chrom", "start", "end", "strand",
                        F.when(F.col("strand") == "-", reverse_complement("sequence"))
                        .otherwise(F.col("sequence")).alias("sequence"))

@@ -1,7 +1,6 @@
 """Size checks and the spreading of hot keys.
 
-A plan whose estimated input is small runs as one plain join or window. Past
-that size nothing may depend on one key staying small: hot keys are counted
+A plan that reads little runs as one plain join or window. Past that size nothing may depend on one key staying small: hot keys are counted
 with a map-side combine and spread over salts.
 """
 
@@ -18,16 +17,26 @@ MIN_HOT_CONF = "spark.strandline.minHotRows"
 MIN_HOT_ROWS = 200_000
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; no job runs. Unknown sizes come out huge."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files a plan reads, after partition pruning and each file set once; no job runs.
+
+    Inputs of unknown size come out huge.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = {}
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        sizes[leaf.canonicalized().toString()] = int(str(leaf.stats().sizeInBytes()))
+    return sum(sizes.values())
+
+
+def small_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(SMALL_BYTES_CONF, str(SMALL_BYTES)))
 
 
-def is_small(*frames: DataFrame, fan_out: int = 1) -> bool:
-    """Whether all inputs together, each row becoming ``fan_out`` rows, stay small."""
-    limit = int(frames[0].sparkSession.conf.get(SMALL_BYTES_CONF, str(SMALL_BYTES)))
-    return sum(estimated_bytes(df) for df in frames) * fan_out <= limit
+def is_small(*frames: DataFrame) -> bool:
+    """Whether everything the plans read stays small."""
+    return sum(input_bytes(df) for df in frames) <= small_limit(frames[0])
 
 
 def hot_keys(df: DataFrame, keys: list[str], salt: str) -> DataFrame:

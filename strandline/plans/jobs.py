@@ -23,7 +23,7 @@ def bin_counting(reads: DataFrame, files: DataFrame, file_chroms: DataFrame, bin
     counts = coverage.bin_counts(reads, file_chroms, bin_size, extension=extension, strand=strand,
                                  blacklist=blacklist)
     lines = coverage.bin_percentiles(counts, files, bin_size)
-    normalised = lines.unionByName(coverage.cell_type_averages(lines, files))
+    normalised = lines.unionByName(coverage.cell_type_averages(lines, files, bin_size))
     summary = coverage.bin_summary(normalised)
     return {"bin_counts": counts, "normalized_counts": normalised, "summary": summary,
             "sorted_summary": coverage.sorted_summary(summary)}

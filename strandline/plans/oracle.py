@@ -372,9 +372,9 @@ FROM sized t LEFT JOIN (SELECT id, sum(signal) FILTER (WHERE file_key = 1) AS fi
 ORACLE["region_map"] = f"""
 SELECT id, {_LOCUS}, num_loci, constituent_size, round(file1, 4) AS file1, round(file2, 4) AS file2, round(file3, 4) AS file3 FROM rmap"""
 ORACLE["replicate_collapse"] = """
-SELECT id, round((greatest(0.0, file1 - file3) + greatest(0.0, file2 - file3)) / 2, 4) AS signal FROM rmap"""
+SELECT id, round((greatest(0.0, file1 - file3) + greatest(0.0, file2 - file3)) / 2, 6) AS signal FROM rmap"""
 ORACLE["signal_table_median"] = """
-SELECT id, round(greatest(0.0, file2) / (SELECT median(file2) FROM rmap), 6) AS s2 FROM rmap"""
+SELECT id, round(greatest(0.0, file2) / (SELECT nullif(median(file2), 0) FROM rmap), 6) AS s2 FROM rmap"""
 
 
 def _cutoff(value: str) -> str:
@@ -502,7 +502,7 @@ _S = ["A_F", "A_O", "N_F", "N_O", "R_F", "R_O"]
 ORACLE["cluster_exemplar"] = "SELECT p_brand AS cluster, " + ", ".join(f'median("{s}") AS "{s}"' for s in _S) + """
 FROM expr_wide JOIN part ON gene = 'g' || CAST(p_partkey AS VARCHAR) GROUP BY 1"""
 ORACLE["sample_corr"] = "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS sample_a, '{b}' AS sample_b, round(corr(\"{a}\", \"{b}\"), 6) AS r, round(1 - corr(\"{a}\", \"{b}\"), 6) AS distance FROM expr_wide"
+    f"SELECT '{a}' AS sample_a, '{b}' AS sample_b, round(corr(\"{a}\", \"{b}\"), 6) AS r, round(1 - corr(\"{a}\", \"{b}\"), 6) + 0 AS distance FROM expr_wide"
     for i, a in enumerate(_S) for b in _S[i:])
 ORACLE["heatmap_order"] = """
 SELECT gene, round(m, 6) AS mean_signal, row_number() OVER (ORDER BY m DESC, gene) AS row_order

@@ -74,7 +74,7 @@ def bin_percentile(v):
 @query
 def bin_celltype_avg(v):
     lines = coverage.bin_percentiles(_counts(v), v.files(), BIN_SIZE)
-    return rounded(coverage.cell_type_averages(lines, v.files()), "value", "percentile")
+    return rounded(coverage.cell_type_averages(lines, v.files(), BIN_SIZE), "value", "percentile")
 
 
 @query
@@ -176,7 +176,7 @@ def region_depth(v):
 
 @query
 def depth_bins(v):
-    return coverage.depth_bins(v.peaks(), _segments(v, ["chrom"]), 4).select("id", "bin", "density")
+    return coverage.depth_bins(v.peaks(), _segments(v, ["chrom"]), 4, floor=1).select("id", "bin", "density")
 
 
 @query
@@ -358,7 +358,7 @@ def region_map(v):
 @query
 def replicate_collapse(v):
     out = matrices.collapse_replicates(_region_map(v), [("file1", "file3"), ("file2", "file3")])
-    return rounded(out.select("id", "signal"), "signal", places=4)
+    return rounded(out.select("id", "signal"), "signal")
 
 
 @query

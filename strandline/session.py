@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,20 +27,24 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; a temporary one only for local runs."""
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the session names; a temporary one only for local runs."""
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="strandline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    context.setCheckpointDir(folder)
+        folder = tempfile.mkdtemp(prefix="strandline-ckpt-")
+        spark.conf.set(CHECKPOINT_CONF, folder)
+    return folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise in reliable storage, so partition contents stay fixed for later steps."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows as a table in the shared checkpoint folder and read them back.
+
+    Lineage ends there, executors may be lost afterwards, and the optimizer
+    knows the true size of what follows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/strandline-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

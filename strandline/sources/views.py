@@ -123,7 +123,8 @@ class Views:
 
     def score_lines(self) -> DataFrame:
         """Events as score intervals along the genome."""
-        start = F.floor((F.unix_micros("ts") - 1_704_067_200_000_000) / 10_000_000)
+        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts)")
+        start = F.floor(micros / 10_000_000)
         return self.table("events").select(
             _chrom("user_id").alias("chrom"), start.alias("start"),
             (start + F.ceil("value")).alias("end"), F.col("value").alias("score"))

@@ -22,52 +22,45 @@ LEVELS = 4
 STEP = 6  # bits between two widths
 
 
-def _level(start: str, end: str, shift: int) -> Column:
-    span = F.col(end) - F.col(start)
-    level = F.lit(LEVELS - 1)
-    for k in range(LEVELS - 2, -1, -1):
-        level = F.when(span < (1 << (shift + STEP * (k + 1))), F.lit(k)).otherwise(level)
-    return level
+# expressions are SQL text here: a single parse instead of one call per operator
 
 
-def _window_keys(start: str, end: str, level: int, shift: int) -> Column:
+def _level(start: str, end: str, shift: int) -> str:
+    cases = " ".join(f"WHEN `{end}` - `{start}` < {1 << (shift + STEP * (k + 1))} THEN {k}" for k in range(LEVELS - 1))
+    return f"CASE {cases} ELSE {LEVELS - 1} END"
+
+
+def _window_keys(start: str, end: str, level: int, shift: int) -> str:
     """Keys of the windows of one width, ``window * LEVELS + level``."""
     bits = shift + STEP * level
-    first = F.shiftright(F.col(start), bits) * LEVELS + level
-    last = F.shiftright(F.col(end), bits) * LEVELS + level
-    return F.sequence(first, last, F.lit(LEVELS).cast("long"))
+    first, last = (f"shiftright(`{c}`, {bits}) * {LEVELS} + {level}" for c in (start, end))
+    return f"sequence({first}, {last}, {LEVELS}L)"
 
 
 def level_mask(df: DataFrame, start: str, end: str, shift: int) -> Column:
     """Scalar with one bit per width that loci of ``df`` use."""
-    bit = F.pow(F.lit(2), _level(start, end, shift)).cast("int")
-    return df.agg(F.bit_or(bit).alias("mask")).scalar()
+    return df.agg(F.expr(f"bit_or(shiftleft(1, {_level(start, end, shift)}))").alias("mask")).scalar()
 
 
 def _keyed(df: DataFrame, start: str, end: str, shift: int, level: str,
            mask: Column | None) -> DataFrame:
     """One row per window key. Coarser widths are limited to those set in ``mask``."""
-    df = df.withColumn(level, _level(start, end, shift))
+    df = df.withColumn(level, F.expr(_level(start, end, shift)))
     if mask is not None:
         df = df.withColumn("_mask", mask)
-    none = F.array().cast("array<bigint>")
     parts = []
     for k in range(LEVELS):
-        wanted = F.col(level) == k
-        if k:
-            coarser = F.col(level) < k
-            if mask is not None:
-                coarser = coarser & (F.col("_mask").bitwiseAND(1 << k) != 0)
-            wanted = wanted | coarser
-        parts.append(F.when(wanted, _window_keys(start, end, k, shift)).otherwise(none))
-    return df.withColumn("_key", F.explode(F.concat(*parts))).drop("_mask")
+        coarser = f"(`{level}` < {k}" + (f" AND (_mask & {1 << k}) != 0)" if mask is not None else ")")
+        parts.append(f"CASE WHEN `{level}` = {k} OR {coarser} THEN {_window_keys(start, end, k, shift)} "
+                     "ELSE CAST(array() AS array<bigint>) END")
+    return df.withColumn("_key", F.expr(f"explode(concat({', '.join(parts)}))")).drop("_mask")
 
 
 def _first_meeting(a0: str, b0: str, a_level: str, b_level: str, shift: int) -> Column:
     """The key is the one window in which a pair is counted."""
-    level = F.greatest(a_level, b_level)
-    window = F.call_function("shiftright", F.greatest(a0, b0), F.lit(shift) + level * STEP)
-    return F.col("_key") == window * LEVELS + level
+    level = f"greatest(`{a_level}`, `{b_level}`)"
+    window = f"shiftright(greatest(`{a0}`, `{b0}`), {shift} + {level} * {STEP})"
+    return F.expr(f"_key = {window} * {LEVELS} + {level}")
 
 
 def renamed(df: DataFrame, prefix: str) -> DataFrame:
@@ -104,11 +97,11 @@ def _prepared(a, b, mode, relation, half_open, shift, by):
     keys = ["chrom", *by, "_key"]
     right = right.withColumns({k: F.col("b_" + k) for k in keys if k != "_key"})
     if relation == "overlap":
-        test = (F.col("start") <= F.col("_b_end")) & (F.col("b_start") <= F.col("_end"))
+        test = F.expr("start <= _b_end AND b_start <= _end")
     elif relation == "contains":
-        test = (F.col("start") <= F.col("b_start")) & (F.col("_b_end") <= F.col("_end"))
+        test = F.expr("start <= b_start AND _b_end <= _end")
     elif relation == "contained":
-        test = (F.col("b_start") <= F.col("start")) & (F.col("_end") <= F.col("_b_end"))
+        test = F.expr("b_start <= start AND _end <= _b_end")
     else:
         raise ValueError(f"unknown relation {relation!r}")
     if mode != "both":

@@ -18,11 +18,11 @@ MIN_HOT_ROWS = 200_000
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files a plan reads, after partition pruning and each file set once; no job runs.
+    """Bytes of the tables a plan reads, each counted once; no job and no optimizer run.
 
     Inputs of unknown size come out huge.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     sizes = {}
     for i in range(leaves.size()):
         leaf = leaves.apply(i)

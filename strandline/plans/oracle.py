@@ -256,7 +256,7 @@ SELECT file_key, id, bin, round(value, 6) AS value FROM (
 ORACLE["conservation_mean"] = """
 SELECT g.id, round(coalesce(sum(CASE WHEN c.s < g.s THEN (least(c.e, g.e) - g.s + 1) * c.score
   WHEN c.e > g.e THEN (g.e - greatest(c.s, g.s)) * c.score ELSE (c.e - c.s) * c.score END), 0.0)
-  / any_value(g.e - g.s + 1), 4) AS conservation
+  / any_value(g.e - g.s + 1), 9) AS conservation
 FROM regions g LEFT JOIN scores c ON g.chrom = c.chrom AND c.s <= g.e AND g.s <= c.e GROUP BY 1"""
 
 # --- interval joins

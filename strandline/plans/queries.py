@@ -204,7 +204,7 @@ def meta_profile(v):
 @query
 def conservation_mean(v):
     return rounded(coverage.mean_conservation(v.regions(), v.score_lines()).select("id", "conservation"),
-                   "conservation", places=4)
+                   "conservation", places=9)
 
 
 # --- interval joins -----------------------------------------------------------------------------

@@ -15,12 +15,12 @@ N_CHROMS, CHROM_LENGTH, DAY_ZERO = 22, 260_000, "1995-01-01"
 SAMPLES = ["A_F", "A_O", "N_F", "N_O", "R_F", "R_O"]
 
 
-def _chrom(key: str):
-    return F.concat(F.lit("chr"), (F.col(key) % N_CHROMS + 1).cast("string"))
+def _chrom(key: str) -> str:
+    return f"concat('chr', {key} % {N_CHROMS} + 1)"
 
 
-def _day(column: str):
-    return F.datediff(F.col(column), F.lit(DAY_ZERO)).cast("long")
+def _day(column: str) -> str:
+    return f"CAST(datediff({column}, '{DAY_ZERO}') AS bigint)"
 
 
 class Views:
@@ -34,25 +34,22 @@ class Views:
 
     def alignments(self) -> DataFrame:
         """Reads as a file holds them: pos, flag, cigar."""
-        n = F.col("l_quantity").cast("long")
-        half = F.floor(n / 2)
-        plain = F.concat(n.cast("string"), F.lit("M"))
-        spliced = F.concat(half.cast("string"), F.lit("M100N"), (n - half).cast("string"), F.lit("M"))
-        flag = F.col("l_returnflag")
-        return self.table("lineitem").select(
-            F.when(flag == "A", 1).when(flag == "N", 2).otherwise(3).alias("file_key"),
-            F.when(flag.isin("A", "N"), "ct1").otherwise("ct2").alias("cell_type"),
-            _chrom("l_suppkey").alias("chrom"),
-            (_day("l_shipdate") * 100 + F.col("l_linenumber") * 10).alias("pos"),
-            F.when(F.col("l_linestatus") == "F", 16).otherwise(0).alias("flag"),
-            F.when((F.col("l_linenumber") == 7) & (n > 1), spliced).otherwise(plain).alias("cigar"),
-            n.alias("seq_len"), F.col("l_partkey").cast("string").alias("seq"))
+        n = "CAST(l_quantity AS bigint)"
+        return self.table("lineitem").selectExpr(
+            "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS file_key",
+            "CASE WHEN l_returnflag IN ('A', 'N') THEN 'ct1' ELSE 'ct2' END AS cell_type",
+            f"{_chrom('l_suppkey')} AS chrom",
+            f"{_day('l_shipdate')} * 100 + l_linenumber * 10 AS pos",
+            "CASE l_linestatus WHEN 'F' THEN 16 ELSE 0 END AS flag",
+            f"CASE WHEN l_linenumber = 7 AND {n} > 1 THEN concat({n} div 2, 'M100N', {n} - {n} div 2, 'M') "
+            f"ELSE concat({n}, 'M') END AS cigar",
+            f"{n} AS seq_len", "CAST(l_partkey AS string) AS seq")
 
     def reads(self) -> DataFrame:
         return rd.with_span(self.alignments())
 
     def chrom_sizes(self) -> DataFrame:
-        return self.table("customer").select(_chrom("c_custkey").alias("chrom")).distinct().withColumn(
+        return self.table("customer").selectExpr(f"{_chrom('c_custkey')} AS chrom").distinct().withColumn(
             "length", F.lit(CHROM_LENGTH).cast("long"))
 
     def file_chroms(self) -> DataFrame:
@@ -65,24 +62,22 @@ class Views:
         return self.alignments().groupBy("file_key", "cell_type").agg(F.count(F.lit(1)).alias("mapped"))
 
     def regions(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        start = _day("o_orderdate") * 100 + key % 100
-        return self.table("orders").select(
-            F.concat(F.lit("r"), key.cast("string")).alias("id"), _chrom("o_custkey").alias("chrom"),
-            start.alias("start"), (start + 50 + key % 400).alias("end"),
-            F.when(key % 3 == 0, "+").when(key % 3 == 1, "-").otherwise(".").alias("strand"),
-            F.col("o_orderstatus").alias("status"), F.floor("o_totalprice").alias("signal"))
+        start = f"{_day('o_orderdate')} * 100 + o_orderkey % 100"
+        return self.table("orders").selectExpr(
+            "concat('r', o_orderkey) AS id", f"{_chrom('o_custkey')} AS chrom", f"{start} AS start",
+            f"{start} + 50 + o_orderkey % 400 AS end",
+            "CASE o_orderkey % 3 WHEN 0 THEN '+' WHEN 1 THEN '-' ELSE '.' END AS strand",
+            "o_orderstatus AS status", "floor(o_totalprice) AS signal")
 
     def peaks(self, status: str = "F") -> DataFrame:
         return self.regions().where(F.col("status") == status).drop("status")
 
     def annotation(self) -> DataFrame:
-        key = F.col("p_partkey")
-        start = ((key * 7919) % 2400) * 100
-        return self.table("part").select(
-            F.concat(F.lit("NM_"), key.cast("string")).alias("id"), F.col("p_name").alias("name"),
-            _chrom("p_partkey").alias("chrom"), F.when(key % 2 == 0, "+").otherwise("-").alias("strand"),
-            start.alias("tx_start"), (start + 200 + F.col("p_size") * 50).alias("tx_end"), key.alias("row"))
+        start = "((p_partkey * 7919) % 2400) * 100"
+        return self.table("part").selectExpr(
+            "concat('NM_', p_partkey) AS id", "p_name AS name", f"{_chrom('p_partkey')} AS chrom",
+            "CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand", f"{start} AS tx_start",
+            f"{start} + 200 + p_size * 50 AS tx_end", "p_partkey AS row")
 
     def samples(self) -> DataFrame:
         key = F.col("s_suppkey")
@@ -123,11 +118,9 @@ class Views:
 
     def score_lines(self) -> DataFrame:
         """Events as score intervals along the genome."""
-        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts)")
-        start = F.floor(micros / 10_000_000)
-        return self.table("events").select(
-            _chrom("user_id").alias("chrom"), start.alias("start"),
-            (start + F.ceil("value")).alias("end"), F.col("value").alias("score"))
+        start = "floor(timestampdiff(MICROSECOND, TIMESTAMP_NTZ '2024-01-01 00:00:00', ts) / 10000000)"
+        return self.table("events").selectExpr(
+            f"{_chrom('user_id')} AS chrom", f"{start} AS start", f"{start} + ceil(value) AS end", "value AS score")
 
     def sequences(self) -> DataFrame:
         """Documents as chromosomes of letters."""

@@ -22,10 +22,15 @@ def bin_counting(reads: DataFrame, files: DataFrame, file_chroms: DataFrame, bin
     """Bin counts, normalised bins with percentiles and the summary."""
     counts = coverage.bin_counts(reads, file_chroms, bin_size, extension=extension, strand=strand,
                                  blacklist=blacklist)
+    return {"bin_counts": counts, **derived_from_counts(counts, files, bin_size)}
+
+
+def derived_from_counts(counts: DataFrame, files: DataFrame, bin_size: int) -> dict[str, DataFrame]:
+    """Normalised bins with percentiles and the summary."""
     lines = coverage.bin_percentiles(counts, files, bin_size)
     normalised = lines.unionByName(coverage.cell_type_averages(lines, files, bin_size))
     summary = coverage.bin_summary(normalised)
-    return {"bin_counts": counts, "normalized_counts": normalised, "summary": summary,
+    return {"normalized_counts": normalised, "summary": summary,
             "sorted_summary": coverage.sorted_summary(summary)}
 
 

@@ -27,7 +27,7 @@ def write_table(df: DataFrame, path: str, sep: str = "\t") -> None:
 def sections(*parts: tuple[DataFrame, list]) -> DataFrame:
     """Lines of several parts (frame with ``value``, order columns), each after the one before."""
     out = [df.select(F.lit(i).alias("section"), "value", *[
-        o.alias(f"_o{j}") for j, o in enumerate(order)]) for i, (df, order) in enumerate(parts)]
+        o.alias(f"_o{i:02d}_{j}") for j, o in enumerate(order)]) for i, (df, order) in enumerate(parts)]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
     places = sorted(c for c in merged.columns if c.startswith("_o"))
     return merged.orderBy("section", *places).select("value")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.functions import reads as rd
+from strandline.operators.skew import input_bytes
 
 # fixed values of the views
 N_CHROMS, CHROM_LENGTH, DAY_ZERO = 22, 260_000, "1995-01-01"
@@ -23,6 +23,14 @@ def _day(column: str) -> str:
     return f"CAST(datediff({column}, '{DAY_ZERO}') AS bigint)"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a table stored in far fewer pieces than there are cores; others stay as they are."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    pieces = len(df.inputFiles()) + input_bytes(df) // (128 << 20)
+    return df.repartition(cores, *keys) if pieces * 4 <= cores else df
+
+
 class Views:
     """The derived tables over one folder of parquet files."""
 
@@ -35,7 +43,7 @@ class Views:
     def alignments(self) -> DataFrame:
         """Reads as a file holds them: pos, flag, cigar."""
         n = "CAST(l_quantity AS bigint)"
-        return self.table("lineitem").selectExpr(
+        return spread(self.table("lineitem"), "l_orderkey", "l_partkey").selectExpr(
             "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS file_key",
             "CASE WHEN l_returnflag IN ('A', 'N') THEN 'ct1' ELSE 'ct2' END AS cell_type",
             f"{_chrom('l_suppkey')} AS chrom",
@@ -43,10 +51,13 @@ class Views:
             "CASE l_linestatus WHEN 'F' THEN 16 ELSE 0 END AS flag",
             f"CASE WHEN l_linenumber = 7 AND {n} > 1 THEN concat({n} div 2, 'M100N', {n} - {n} div 2, 'M') "
             f"ELSE concat({n}, 'M') END AS cigar",
-            f"{n} AS seq_len", "CAST(l_partkey AS string) AS seq")
+            f"{n} AS seq_len", "CAST(l_partkey AS string) AS seq", f"l_linenumber = 7 AND {n} > 1 AS spliced")
 
     def reads(self) -> DataFrame:
-        return rd.with_span(self.alignments())
+        """Reads with the span stored, as counting reads them; ``cigar`` is only built where it is selected."""
+        span = "pos + seq_len + CASE WHEN spliced THEN 100 ELSE 0 END AS end"
+        return self.alignments().selectExpr(
+            "* EXCEPT (spliced)", "pos AS start", span, "CASE flag & 16 WHEN 0 THEN '+' ELSE '-' END AS strand")
 
     def chrom_sizes(self) -> DataFrame:
         return self.table("customer").selectExpr(f"{_chrom('c_custkey')} AS chrom").distinct().withColumn(

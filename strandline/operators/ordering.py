@@ -28,29 +28,29 @@ def running(df: DataFrame, group: list[str], order: list, values: dict, *,
     """Add running ``sum``, ``max`` or ``min`` columns along ``order`` in each group.
 
     ``values`` maps a new column to (kind, expression). ``order`` should be
-    unique within a group. ``reverse`` runs from the end to the start;
-    ``inclusive=False`` leaves the row itself out.
+    unique within a group. ``reverse`` runs from the end to the start along
+    plain columns; ``inclusive=False`` leaves the row itself out.
     """
     if small is None:
         small = is_small(df)
-    before, after = Window.unboundedPreceding, Window.unboundedFollowing
-    edge = 0 if inclusive else (1 if reverse else -1)
-    frame = (edge, after) if reverse else (before, edge)
+    # a frame that reaches forward is evaluated anew for every row, so the order is turned instead
+    along = [c.desc() for c in order] if reverse else order
+    frame = (Window.unboundedPreceding, 0 if inclusive else -1)
     if small:
-        window = Window.partitionBy(*group).orderBy(*order).rowsBetween(*frame)
+        window = Window.partitionBy(*group).orderBy(*along).rowsBetween(*frame)
         return df.withColumns(
             {name: _AGGREGATES[kind](expr).over(window) for name, (kind, expr) in values.items()})
 
     chunks = range_chunks(df, group, order)
     keys = [*group, "_chunk"]
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
+    window = Window.partitionBy(*keys).orderBy(*along).rowsBetween(*frame)
     local = chunks.withColumns(
         {name: _AGGREGATES[kind](expr).over(window) for name, (kind, expr) in values.items()})
     totals = chunks.groupBy(*keys).agg(
         *[_AGGREGATES[kind](expr).alias(f"_t_{name}") for name, (kind, expr) in values.items()])
-    others = (1, after) if reverse else (before, -1)
     # one row per chunk and group: bounded by the number of chunks, not by the data
-    carry_window = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(*others)
+    chunk_order = F.desc("_chunk") if reverse else F.asc("_chunk")
+    carry_window = Window.partitionBy(*group).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         *[_AGGREGATES[kind](f"_t_{name}").over(carry_window).alias(f"_c_{name}")

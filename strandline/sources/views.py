@@ -40,10 +40,12 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def alignments(self) -> DataFrame:
+    def alignments(self, *, spread_rows: bool = True) -> DataFrame:
         """Reads as a file holds them: pos, flag, cigar."""
+        rows = self.table("lineitem")
+        rows = spread(rows, "l_orderkey", "l_partkey") if spread_rows else rows
         n = "CAST(l_quantity AS bigint)"
-        return spread(self.table("lineitem"), "l_orderkey", "l_partkey").selectExpr(
+        return rows.selectExpr(
             "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS file_key",
             "CASE WHEN l_returnflag IN ('A', 'N') THEN 'ct1' ELSE 'ct2' END AS cell_type",
             f"{_chrom('l_suppkey')} AS chrom",
@@ -65,12 +67,12 @@ class Views:
 
     def file_chroms(self) -> DataFrame:
         """One row per file and chromosome: length and mapped reads."""
-        counts = self.alignments().groupBy("file_key", "cell_type", "chrom").agg(
+        counts = self.alignments(spread_rows=False).groupBy("file_key", "cell_type", "chrom").agg(
             F.count(F.lit(1)).alias("mapped"))
         return counts.join(self.chrom_sizes(), "chrom")
 
     def files(self) -> DataFrame:
-        return self.alignments().groupBy("file_key", "cell_type").agg(F.count(F.lit(1)).alias("mapped"))
+        return self.alignments(spread_rows=False).groupBy("file_key", "cell_type").agg(F.count(F.lit(1)).alias("mapped"))
 
     def regions(self) -> DataFrame:
         start = f"{_day('o_orderdate')} * 100 + o_orderkey % 100"

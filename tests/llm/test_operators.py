@@ -1,0 +1,430 @@
+"""Each operator against a plain version of itself, on the small tables and on hard rows."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from strandline.llm import bpe, chat, common, decontaminate, language, licences, near_dedup, neighbours, queries, sharding, substring, toxicity
+
+SF = "/root/testdata/sf0.001"
+DOC = "doc_id long, text string, lang string, source string, n_chars long, _key string, n string, same string, w string, id long"
+HARD = [None, "", " \n\t", "a", "A b C d", "a b c d e", "a b c d e f", "Ä ä ñ 日本語 ​ x", "<|endoftext|> I'LL 's İΣ", "word " * 3000, "all rights reserved. CC BY 4.0, cc-by", "x\0y \x85 z"]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id")
+
+
+@pytest.fixture(scope="module")
+def hard(spark):
+    """Hard texts, each twice under ids of its own, once under an id given before, once without an id; clashing columns."""
+    rows = [(i, t) for i, t in enumerate(HARD)] + [(100 + i, t) for i, t in enumerate(HARD)] + [(3, t) for t in HARD] + [(None, t) for t in HARD]
+    return spark.createDataFrame([(i, t, "en", None, 0, "k", "n", "s", "w", 5) for i, t in rows], DOC)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOC)
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def letters_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+
+
+def shingles(text):
+    w = words_of(text)
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def linked(rows):
+    """component by brute force; nodes are row numbers."""
+    sets, up = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                up[root(i)] = root(j)
+    least = defaultdict(list)
+    for i, (doc, _) in enumerate(rows):
+        least[root(i)].append(doc)
+    return sorted((doc is None, doc or 0, len(s), min((x for x in least[root(i)] if x is not None), default=None) if s else doc) for i, ((doc, _), s) in enumerate(zip(rows, sets, strict=True)))
+
+
+@pytest.mark.parametrize("which", ["docs", "hard"])
+def test_near_duplicates(request, which):
+    frame = request.getfixturevalue(which)
+    rows = [(r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()]
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(frame).collect())
+    key = lambda x: tuple(-1 if v is None else v for v in x)
+    assert sorted(got, key=key) == sorted(linked(rows), key=key)
+
+
+def test_near_duplicate_chains_and_groups(spark):
+    """A chain of texts each linked with the next only, a group of many near copies, and texts that share a common half."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    texts, base = [], [word() for _ in range(120)]
+    for _ in range(8):
+        texts.append(" ".join(base))
+        base = base[9:] + [word() for _ in range(9)]
+    stem = [word() for _ in range(90)]
+    for k in range(60):
+        copy = list(stem)
+        copy[k % 90] = word()
+        texts.append(" ".join(copy))
+    half = [word() for _ in range(60)]
+    texts += [" ".join(half + [word() for _ in range(50)]) for _ in range(40)]
+    rows = list(enumerate(texts))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((False, r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == linked(rows)
+
+
+def test_joint_estimate():
+    rng = np.random.default_rng(1)
+    for share in (0.5, 0.75, 0.9):
+        x = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+        both = int(2000 * 2 * share / (1 + share))
+        a, b = x[:2000], np.concatenate([x[:both], x[2000 : 4000 - both]])
+        ra, rb = near_dedup.registers(a), near_dedup.registers(b)
+        assert (np.maximum(ra, rb) == near_dedup.registers(np.union1d(a, b))).all()
+        got = near_dedup.jaccard(ra[None], rb[None], np.array([2000.0]), np.array([2000.0]))[0]
+        assert abs(got - share) < 0.15
+
+
+def test_components(spark):
+    rng = random.Random(5)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(2000, 2000 + i) for i in range(1, 50)]
+    up = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = sorted((root(a), root(b)))
+            up[y] = x
+    got = {r["node"]: r["root"] for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in up}
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeated_passages(spark, docs, hard, empty):
+    """Every run of 50 words or more that an earlier document holds is covered by passages; clean rows stay as they are."""
+    rows = [(r["doc_id"], words_of(r["text"])) for r in docs.collect()]
+    seen, need = {}, defaultdict(set)
+    for doc, w in rows:
+        mine = set()
+        for i in range(len(w) - 49):
+            run = tuple(w[i : i + 50])
+            if run in seen:
+                need[doc].update(range(i, i + 50))
+            mine.add(run)
+        for run in mine:
+            seen.setdefault(run, doc)
+    found = substring.repeated_passages(docs).collect()
+    have = defaultdict(set)
+    for r in found:
+        assert r["other_id"] < r["doc_id"] and r["n_words"] >= 50 and r["identity"] >= 0.75
+        have[r["doc_id"]].update(range(r["start"], r["end"]))
+    assert need and all(v <= have[k] for k, v in need.items())
+    left = {r["doc_id"]: r["text"] for r in substring.remove_repeats(docs).collect()}
+    for r in docs.collect():
+        if r["doc_id"] not in have:
+            assert left[r["doc_id"]] == r["text"]
+        elif r["doc_id"] in left:
+            assert words_of(left[r["doc_id"]]) == [w for i, w in enumerate(words_of(r["text"])) if i not in have[r["doc_id"]]]
+        else:
+            assert len(have[r["doc_id"]]) == len(words_of(r["text"]))
+    assert substring.remove_repeats(hard).columns == hard.columns
+    kept = [r for r in substring.remove_repeats(hard).collect() if r["text"] == HARD[9]]
+    assert [r["doc_id"] for r in kept] == [None]
+    assert substring.remove_repeats(empty).count() == 0 and substring.repeated_passages(empty).count() == 0
+
+
+def test_fuzzy_passages(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(6))
+    passage = [word() for _ in range(80)]
+    fuzzy = list(passage)
+    for i in (7, 20, 21, 40, 55, 70):
+        fuzzy[i] = word()
+    del fuzzy[60]
+    texts = [" ".join([word() for _ in range(30)] + p + [word() for _ in range(30)]) for p in (passage, fuzzy, [word() for _ in range(80)])]
+    found = substring.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["other_id"]) for r in found] == [(1, 0)]
+    assert found[0]["start"] <= 40 and found[0]["end"] >= 100 and found[0]["identity"] > 0.85
+
+
+def test_chain_by_hand():
+    rng = random.Random(2)
+    for _ in range(200):
+        parts = sorted((rng.randrange(60), rng.randrange(60), rng.randrange(5, 9)) for _ in range(rng.randrange(1, 9)))
+        best = {}
+        for j, (p, q, n) in enumerate(parts):
+            best[j] = float(n)
+            for i in range(len(parts)):
+                a, b, m = parts[i]
+                if i in best and a + m <= p and b + m <= q and p - a - m <= substring.GAP and q - b - m <= substring.GAP and parts[i] < parts[j]:
+                    best[j] = max(best[j], n + best[i] - substring.GAP_COST * (p - a - m + q - b - m))
+        got = substring.chains(parts)
+        assert sorted(x for c in got for x in c) == parts
+        first = got[0]
+        score = sum(n for _, _, n in first) - substring.GAP_COST * sum(y[0] - x[0] - x[2] + y[1] - x[1] - x[2] for x, y in zip(first, first[1:], strict=False))
+        assert score >= 0.7 * max(best.values())
+        assert all(x[0] + x[2] <= y[0] and x[1] + x[2] <= y[1] for x, y in zip(first, first[1:], strict=False))
+
+
+@pytest.mark.parametrize("which", ["docs", "hard", "empty"])
+def test_sharding(request, which):
+    frame = request.getfixturevalue(which)
+    rows = sharding.shard(frame, 7).collect()
+    assert sorted(r["row_number"] for r in rows) == sorted(r["place"] for r in rows) == list(range(frame.count()))
+    assert [(r["doc_id"] is not None, r["doc_id"], r["text_crc32"], r["size"]) for r in sorted(rows, key=lambda r: r["row_number"])] == sorted(
+        ((r["doc_id"] is not None, r["doc_id"], zlib.crc32((r["text"] or "").encode()), len((r["text"] or "").encode()) + 16) for r in frame.collect()),
+        key=lambda x: (x[0], x[1] or 0, x[2:]))
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert not rows or max(map(len, slots.values())) - min(len(slots[k]) for k in range(7)) <= 1
+    assert rows == sharding.shard(frame.repartition(3), 7).collect() or sorted(rows, key=str) == sorted(sharding.shard(frame.repartition(3), 7).collect(), key=str)
+
+
+def test_feistel_is_a_permutation(spark):
+    for n in (1, 2, 3, 17, 1000):
+        rows = sharding.feistel(spark.range(n).withColumnRenamed("id", "p"), "p", n, 3, "q").collect()
+        assert sorted(r["q"] for r in rows) == list(range(n))
+        assert n < 100 or sum(r["p"] == r["q"] for r in rows) < 20
+
+
+def test_language(spark, docs, hard, empty):
+    big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = queries.language_query(spark, "/root/testdata/sf0.01").alias("r").join(big.alias("d"), "doc_id").where("held_out").select("doc_id", "lang_pred", "lang", "score").collect()
+    assert len(rows) > 150 and sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.98 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    model = language.learn(docs, F.lit(True))
+    got = language.identify(hard, model).collect()
+    assert len(got) == hard.count()
+    assert all((r["lang_pred"] == "und") == (not any(map(str.isalpha, HARD[r["doc_id"]] or ""))) for r in got if r["doc_id"] is not None and r["doc_id"] < 12 and r["doc_id"] != 3)
+    assert {r["lang_pred"] for r in language.identify(hard, language.learn(empty, F.lit(True))).collect()} == {"und"}
+    assert language.identify(empty, model).count() == 0
+
+
+def test_presence_kernel():
+    texts = ["Ab cab", "abc", "zz"]
+    table, flags = language.symbol_table(language.alphabet(texts)), np.zeros(language._SIZE, bool)
+    sets = []
+    for t in texts:
+        language.presence(t, table, flags)
+        sets.append(set(np.flatnonzero(flags).tolist()))
+    plain = [{f" {t.lower()} "[i : i + n] for n in language.ORDERS for i in range(len(t) + 3 - n)} for t in texts]
+    assert [[len(a & b) for b in sets] for a in sets] == [[len(a & b) for b in plain] for a in plain]
+
+
+def test_bpe(spark, docs, hard, empty):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(queries.TOKENIZER)
+    real = Tokenizer.from_file(path)
+    for frame, limit in ((docs, 500), (hard, 5), (hard, 0)):
+        rows = sorted((r["doc_id"] or -1, r["ids"], r["decoded"]) for r in bpe.encode_documents(frame, path, limit).collect())
+        want = []
+        for r in frame.collect():
+            ids = real.encode(r["text"] or "", add_special_tokens=False).ids
+            want.append((r["doc_id"] or -1, ids, real.decode(ids, skip_special_tokens=False)))
+        assert rows == sorted(want)
+    assert bpe.encode_documents(empty, path, 10).count() == 0
+
+
+def test_bpe_odd_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(queries.TOKENIZER)
+    real, own = Tokenizer.from_file(path), bpe.Tokenizer(path)
+    rng = random.Random(4)
+    pools = ["abcdefgh '", "'stremvld ", "ÀÉñßſ ́̀", "0123٣४½²", "日本語한국", "!?.,-_…“”", " \t\n\x0b\x85\xa0   　", "ΑΒΣσς", "<|endoftext|>", "😀👍🏽‍", "İIıi", "\0\x01\x7f"]
+    for _ in range(3000):
+        text = "".join(rng.choice(rng.choice(pools)) for _ in range(rng.randrange(30)))
+        if rng.random() < 0.1:
+            text = text[:5] + "<|startoftext|>" + text[5:]
+        got = [i for w in own.pieces(text) for i in own.merge(w)]
+        assert got == real.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_transducer(tmp_path):
+    rng = random.Random(6)
+    words = {bytes(rng.choice(b"abcx") for _ in range(rng.randrange(1, 9))): [rng.randrange(99)] * rng.randrange(1, 4) for _ in range(3000)}
+    bpe.compile_transducer(words, str(tmp_path / "t.npy"))
+    t = bpe.Transducer(str(tmp_path / "t.npy"))
+    asked = [*words, b"zzz", b"", b"abcxabcxabcx", b"ab\0", b"a" * 99]
+    assert [t.ids_of(n) if n >= 0 else None for n in t.numbers(asked).tolist()] == [words.get(w) for w in asked]
+    assert len(t.final) < sum(map(len, words)) / 3  # endings are shared
+    bpe.compile_transducer({}, str(tmp_path / "none.npy"))
+    assert bpe.Transducer(str(tmp_path / "none.npy")).numbers([b"a"]).tolist() == [-1]
+
+
+def test_neighbours(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    got = queries.neighbours_query(spark, "/root/testdata/sf0.1").collect()
+    data = sorted((r["vec_id"], r["embedding"]) for r in rows.collect())
+    ids, x = np.array([i for i, _ in data]), np.array([v for _, v in data], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    by = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        by[r["query_id"]].append(r)
+    hit = 0
+    for q in ids[ids % 50 == 0].tolist():
+        s = x @ x[np.searchsorted(ids, q)]
+        s[np.searchsorted(ids, q)] = -9
+        best = ids[np.lexsort((ids, -s))[:5]]
+        hit += len({r["vec_id"] for r in by[q]} & set(best.tolist()))
+        assert [r["rank"] for r in by[q]] == [1, 2, 3, 4, 5] and all(abs(s[np.searchsorted(ids, r["vec_id"])] - r["score"]) < 1e-12 for r in by[q])
+    assert hit >= 0.9 * 5 * len(by)
+
+
+def test_neighbours_hard_rows(spark):
+    schema = "vec_id long, embedding array<float>, node long, code string"
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [1.0, 2.0, 3.0], 1, "c") for i in range(40, 160)] + [(50, [1.0, 2.0, 3.0], 1, "c")]
+    rows += [(200, [1.0, 2.0, 2.9], 1, "c"), (300, [-1.0, 0.0, 0.5], 1, "c"), (0, None, 1, "c"), (350, [0.0] * 3, 1, "c"), (400, [nan, 1.0, 1.0], 1, "c"), (450, [inf, 1.0, 1.0], 1, "c")]
+    rows += [(500, [1.0, None, 1.0], 1, "c"), (550, [], 1, "c"), (600, [1.0, 2.0], 1, "c"), (None, [1.0, 2.0, 3.0], 1, "c")]
+    by = defaultdict(list)
+    for r in sorted(neighbours.nearest(spark.createDataFrame(rows, schema), F.col("vec_id") % 50 == 0).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        by[r["query_id"]].append(r["vec_id"])
+    assert by == {50: [40, 41, 42, 43, 44], 100: [40, 41, 42, 43, 44], 150: [40, 41, 42, 43, 44], 200: [40, 41, 42, 43, 44], 300: [200, 40, 41, 42, 43]}
+    for few in ([], [(0, [1.0, 1.0, 0.0], 1, "c")], [(0, [1.0, 1.0, 0.0], 1, "c"), (7, [1.0, 0.0, 0.0], 1, "c")]):
+        got = neighbours.nearest(spark.createDataFrame(few, schema), F.col("vec_id") % 50 == 0).collect()
+        assert [(r["query_id"], r["vec_id"]) for r in got] == ([(0, 7)] if len(few) == 2 else [])
+
+
+def test_chat_round_trip():
+    rng = random.Random(9)
+    bits = [*chat.CONTROLS, "\\", "[", "<", "/", "INST]", "SYS>>", "s>", "a", "\n", "é"]
+    for _ in range(3000):
+        turns = [(rng.choice(["user", "assistant", "system", "tool", "", "[SEP]"]), "".join(rng.choice(bits) for _ in range(rng.randrange(8)))) for _ in range(rng.randrange(5))]
+        formatted, _ = chat.render(turns)
+        assert [t[:2] for t in chat.parse(formatted)] == turns
+        assert all(chat.unescape(formatted[s:e]) == text for _, text, s, e in chat.parse(formatted))
+    assert chat.render([("user", "plain")]) == ("[INST]plain[/INST]", 0)
+    assert chat.parse("x") is None and chat.parse("[INST]a") is None and chat.parse("<s>a[/INST]") is None
+
+
+def test_chat_frames(spark):
+    schema = "conv_id long, turn long, role string, text string, formatted string, t string"
+    rows = [(1, 2, "assistant", "b", "x", "y"), (1, 1, "user", None, "x", "y"), (1, None, None, "</s>", "x", "y"), (None, 1, "user", "q", "x", "y"), (1, 1, "user", None, "x", "y")]
+    got = {r["conv_id"]: r for r in chat.format_chats(spark.createDataFrame(rows, schema)).collect()}
+    assert [t[:2] for t in chat.parse(got[1]["formatted"])] == [("", "</s>"), ("user", ""), ("user", ""), ("assistant", "b")]
+    assert got[1]["n_escaped"] == 1 and [got[1]["formatted"][s["start"] : s["end"]] for s in got[1]["loss_spans"]] == ["b"]
+    assert got[None]["formatted"] == "[INST]q[/INST]"
+    assert chat.format_chats(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_decontamination(spark, docs, hard, empty):
+    schema = "item_id long, text string, doc_id long, w string"
+    mine = [(1, "a b", 1, "w"), (2, "A", 1, "w"), (3, None, 1, "w"), (4, "", 1, "w"), (5, "a b", 1, "w"), (None, "c d", 1, "w"), (6, "word " * 20, 1, "w"), (7, "日本語 zz", 1, "w")]
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    for frame, bench in ((docs, items), (hard, spark.createDataFrame(mine, schema)), (docs, spark.createDataFrame([], schema)), (empty, items)):
+        windows = defaultdict(set)
+        for r in bench.collect():
+            w = letters_of(r["text"])
+            n = min(13, len(w))
+            for i in range(len(w) - n + 1 if n else 0):
+                windows[tuple(w[i : i + n])].add(r["item_id"])
+        sizes, want = {len(w) for w in windows}, []
+        for r in frame.collect():
+            w = letters_of(r["text"])
+            hit, held = set(), set()
+            for n in sizes:
+                for i in range(len(w) - n + 1):
+                    if tuple(w[i : i + n]) in windows:
+                        hit.update(range(i, i + n))
+                        held |= windows[tuple(w[i : i + n])]
+            want.append((str(r["doc_id"]), len(w), len(hit), sorted(str(x) for x in held if x is not None), len(hit) > 0 and 20 * len(hit) >= len(w)))
+        got = [(str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in decontaminate.decontaminate(frame, bench).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_toxicity(spark, hard, empty):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = queries.toxicity_query(spark, sf).where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").collect()
+    assert len(rows) > 500 and sum(r["predicted"] == r["toxic"] for r in rows) >= 0.99 * len(rows)
+    bad, good = (sorted(r["score"] for r in rows if r["toxic"] == y) for y in (1, 0))
+    assert sum(b > g for b in bad for g in good) >= 0.99 * len(bad) * len(good)
+    none = toxicity.learn(empty, labels, F.lit(True))
+    assert {r["score"] < 0.5 for r in toxicity.score_toxicity(hard, none).collect()} == {True}
+    text = "Good. Idiot! and\nscum SCUM é moron"
+    field = toxicity.learn(spark.read.parquet(f"{sf}/documents.parquet"), labels, F.lit(True))
+    got = toxicity.score_toxicity(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string"), field).orderBy("doc_id").collect()
+    assert [text[s["start"] : s["end"]] for s in got[0]["spans"]] == ["Idiot", "scum SCUM", "moron"] and got[0]["score"] > 0.5 > got[1]["score"]
+    assert toxicity.keep_clean(hard, field).columns == hard.columns and toxicity.keep_clean(empty, field).count() == 0
+
+
+def test_marginals_against_all_paths():
+    field, rng = toxicity.Field(), np.random.default_rng(3)
+    field.steps = rng.normal(size=4)
+    lengths = np.array([5, 3, 1])
+    e = rng.normal(size=(5, 3))
+    p, pairs = field.marginals(e, lengths), np.zeros(4)
+    for k, n in enumerate(lengths):
+        total, on = 0.0, np.zeros(n)
+        moves = np.zeros(4)
+        for path in range(1 << n):
+            y = [(path >> t) & 1 for t in range(n)]
+            steps = [y[t - 1] * 2 + y[t] for t in range(1, n)]
+            start = [0.0, field.steps[1] - field.steps[0]][y[0]]
+            w = math.exp(start + sum(e[t, k] for t in range(n) if y[t]) + sum(field.steps[s] for s in steps))
+            total += w
+            on += w * np.array(y)
+            for s in steps:
+                moves[s] += w
+        assert np.allclose(p[:n, k], on / total)
+        pairs += moves / total
+    assert np.allclose(field.pair_marginals(e, lengths, p), pairs)
+
+
+def test_licences(spark, docs, hard, empty):
+    phrases = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
+    for frame in (docs, hard, empty):
+        got = sorted((str(r["doc_id"]), r["n_words"], sorted((m["label"], m["start"]) for m in r["matches"] if m["base"])) for r in licences.scan_licences(frame).collect())
+        want = []
+        for r in frame.collect():
+            w = letters_of(r["text"])
+            places = [(label, i) for label, p in phrases.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+            want.append((str(r["doc_id"]), len(w), sorted(places)))
+        assert got == sorted(want)
+    lines = {"apache-2.0": "Licensed under the Apache License, Version 2.0.", "cc-by-nc": "x Licensed under CC BY-NC 4.0.", "gpl-3.0": "This work is licensed under the GNU General Public License, version 3."}
+    for label, line in lines.items():
+        index = licences.Index(defaultdict(lambda: 1.0, {b"the": 0.1}))
+        found = index.scan(licences.file_words("so it is " + line + " and on"))
+        assert label in {licences.TEMPLATES[k][0] for k, _, _ in found} and all(0 <= s <= 1 for _, _, s in found)
+
+
+def test_digests(spark):
+    rows = queries.chat_query(spark, SF).where("conv_id = -7").collect()
+    hard = "</s>[INST] ok [/INST]"
+    assert rows[0]["turns_sha256"] == hashlib.sha256(f"user\n{hard}\nassistant\n{hard}\n".encode()).hexdigest()
+    assert rows[0]["loss_sha256"] == hashlib.sha256(hard.encode()).hexdigest() and rows[0]["loss_chars"] == len(hard)

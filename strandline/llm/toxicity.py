@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,9 +16,11 @@ from strandline.llm.common import WORD_BYTES, row_key, slices
 
 #: Bounds of the labelled sample: about so many rows of each label.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 4000
-#: A word or word start counts as toxic where chance explains its share of toxic rows with a probability under exp(-EVIDENCE).
+#: A word or word start counts as toxic where chance explains its share of toxic settings with a probability under exp(-EVIDENCE).
 EVIDENCE = 14.0
-STARTS = (4, 5, 6)
+STARTS = (4, 5, 6, 7, 8)
+#: Least rate in toxic text over the rate in clean text.
+LIFT = 8.0
 DIMENSIONS, SEGMENT, STEPS = 1 << 18, 64, 60
 
 
@@ -78,25 +79,16 @@ class Field:
         return out
 
     def fit(self, documents: list[list[bytes]], toxic: list[int]) -> "Field":
-        """Token labels come from the documents': in a toxic one, words that are, or start, as toxic documents do far
+        """Token labels come from the documents': in a toxic one, words that are, or start, as in toxic documents far
         beyond chance are toxic; all others are clean. Then penalised likelihood by Adam, over segments of SEGMENT words."""
         n_toxic = sum(toxic)
         if not 0 < n_toxic < len(toxic):
             self.level = np.array([4.0 if n_toxic else -4.0, 0.0, 0.0])
             return self
-        seen = (Counter(), Counter())
-        for words, y in zip(documents, toxic, strict=True):
-            seen[y].update({k for w in set(words) for k in (w, *(w[:n] + b"*" for n in STARTS if len(w) > n))})
-        prior = n_toxic / len(toxic)
-        marked = set()
-        for key, a in seen[1].items():
-            q = a / (a + seen[0][key])
-            if a >= 3 and q > max(prior, 0.9 * min(1.0, 10 * prior)):
-                spread = q * math.log(q / prior) + ((1 - q) * math.log((1 - q) / (1 - prior)) if q < 1 else 0)
-                if (a + seen[0][key]) * spread > EVIDENCE:
-                    marked.add(key)
         types: dict[bytes, int] = {}
         tokens = [np.fromiter((types.setdefault(w, len(types)) for w in words), np.int64, len(words)) for words in documents]
+        seen = [self._settings([t for t, y in zip(tokens, toxic, strict=True) if y == side], len(types)) for side in (0, 1)]
+        marked = self._marked(list(types), *seen)
         is_marked = np.fromiter((w in marked or any(w[:n] + b"*" in marked for n in STARTS if len(w) > n) for w in types), bool, len(types))
         of_type = np.array([features(w) for w in types]).reshape(len(types), -1)
         pieces = [(part, y) for t, y in zip(tokens, toxic, strict=True) for part in np.split(t, range(SEGMENT, len(t), SEGMENT)) if len(part)]
@@ -123,6 +115,36 @@ class Field:
         self._fit_level(documents, np.array(toxic, float))
         return self
 
+    @staticmethod
+    def _settings(tokens: list[np.ndarray], n: int) -> np.ndarray:
+        """For each word, the number of different pairs of neighbours it stands between; copies of a text count once."""
+        triples = [np.zeros((0, 3), np.int64)]
+        for t in tokens:
+            round_it = np.concatenate([[-1], t, [-1]])
+            triples.append(np.column_stack([round_it[:-2], t, round_it[2:]]))
+        flat = np.concatenate(triples)
+        mixed = (flat[:, 0] * 1_000_003 + flat[:, 1]) * 1_000_033 + flat[:, 2]
+        return np.bincount(flat[np.unique(mixed, return_index=True)[1], 1], minlength=n)
+
+    @staticmethod
+    def _marked(words: list[bytes], clean: np.ndarray, toxic: np.ndarray) -> set[bytes]:
+        """Words and word starts that stand in toxic documents in more settings than chance explains."""
+        counts: dict[bytes, list[int]] = {}
+        for w, b, a in zip(words, clean.tolist(), toxic.tolist(), strict=True):
+            for key in (w, *(w[:n] + b"*" for n in STARTS if len(w) > n)):
+                both = counts.setdefault(key, [0, 0])
+                both[0] += b
+                both[1] += a
+        n_clean, n_toxic = max(int(clean.sum()), 1), int(toxic.sum())
+        prior, out = n_toxic / (n_toxic + n_clean), set()
+        for key, (b, a) in counts.items():
+            if a >= 3 and a * n_clean > LIFT * b * n_toxic:
+                q = a / (a + b)
+                spread = q * math.log(q / prior) + ((1 - q) * math.log((1 - q) / (1 - prior)) if b else 0)
+                if (a + b) * spread > EVIDENCE:
+                    out.add(key)
+        return out
+
     def _fit_level(self, documents: list[list[bytes]], toxic: np.ndarray) -> None:
         """Logistic regression of the document label on the marginals, by Newton steps."""
         x = np.array([summary(p) for p in self.tag(documents, Emissions(self.weights))])
@@ -168,10 +190,10 @@ class Emissions(dict):
 
 
 def summary(p: np.ndarray) -> tuple[float, float]:
-    """Logit of the largest marginal, and log of the expected number of words that are likelier toxic than not."""
+    """Logit of the largest marginal, and log of the expected number of toxic words among those with a chance of a tenth."""
     most = float(p.max()) if len(p) else 0.0
     most = min(max(most, 1e-5), 1 - 1e-5)
-    return math.log(most / (1 - most)), math.log1p(float(p[p > 0.5].sum()) if len(p) else 0.0)
+    return math.log(most / (1 - most)), math.log1p(float(p[p > 0.1].sum()) if len(p) else 0.0)
 
 
 def learn(docs: DataFrame, labels: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Field:

@@ -59,8 +59,8 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle
     per_doc = candidates.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("start", "length", "window_words")).alias("_c"))
     held = source.join(per_doc.withColumnsRenamed({"doc_id": "_id", "_key": "_k"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")))
     held = held.select("doc_id", "_key", "_c", words(F.col("text")).alias("w"))
-    true = F.filter("_c", lambda c: F.slice(F.col("w"), c["start"] + 1, c["length"]) == c["window_words"])
-    places = held.where(F.size("w") > 0).select("doc_id", "_key", F.explode(true).alias("c")).select("doc_id", "_key", "c.*")
+    true = F.filter("_c", lambda c: (c["start"] < F.size("w")) & (F.slice(F.col("w"), c["start"] + 1, c["length"]) == c["window_words"]))
+    places = held.select("doc_id", "_key", F.explode(true).alias("c")).select("doc_id", "_key", "c.*")
     return places, by_item
 
 

@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 from strandline.llm.common import components, cut, row_key
 
 SHINGLE = 5
-REGISTERS, BAND = 128, 4
+REGISTERS, BAND, BANDS = 128, 4, 24
 #: Base and rate of the registers: floor(1 - log_BASE(h)) for the least of n exponential variates h of rate RATE, n up
 #: to some ten million, stays within a byte.
 BASE, RATE = 1.1, 20.0
 #: Of 100 in the union, so many in the intersection.
 PERCENT = 75
 #: Standard errors by which a pair's estimate may fall short before it is given up unverified.
-ERRORS = 5.0
+ERRORS = 4.0
+#: Counters that order the shingles of what bands leave open by rarity; any order is right, a rarer one is faster.
+COUNTERS = 1 << 20
 
 _rng = np.random.default_rng(20240601)
 _MULTIPLY = (_rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -117,7 +119,36 @@ def _likely_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             continue
         a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for k in (2, 3))
         n_a, n_b = (batch.column(k).to_numpy().astype(float) for k in (4, 5))
-        yield pa.record_batch([batch.column(0), batch.column(1)], schema=_PAIR).filter(pa.array(jaccard(a, b, n_a, n_b) >= floor))
+        estimate = jaccard(a, b, n_a, n_b)
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(estimate)], ["a", "b", "estimate"]).filter(pa.array(estimate >= floor))
+
+
+def _rarity_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known, seen = WordHashes(), np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for text in batch.column(1):
+            np.add.at(seen, (shingle_set(text.as_py(), known) % np.uint64(COUNTERS)).astype(np.int64), 1)
+    held = np.flatnonzero(seen)
+    yield pa.record_batch([pa.array(held), pa.array(seen[held])], ["slot", "n"])
+
+
+def _prefix_batches(rarity):
+    """The rarest shingles of each set, one more than may be missing from the smallest intersection that links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            ids, tokens, places = [], [], []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                x = shingle_set(text.as_py(), known)
+                x = x[np.lexsort((x, rarity.value[(x % np.uint64(COUNTERS)).astype(np.int64)]))]
+                x = x[: len(x) - -(-len(x) * PERCENT // 100) + 1]
+                ids.append(np.full(len(x), i))
+                tokens.append(x.view(np.int64))
+                places.append(np.arange(len(x)))
+            yield pa.record_batch([pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in (tokens, ids, places)], ["token", "id", "place"])
+
+    return run
 
 
 def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +166,7 @@ def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def bands(registers: Column) -> Column:
     """One key for each band of BAND registers."""
-    return F.array(*[F.xxhash64(F.lit(i), F.substring(registers, i * BAND + 1, BAND)) for i in range(REGISTERS // BAND)])
+    return F.array(*[F.xxhash64(F.lit(i), F.substring(registers, i * BAND + 1, BAND)) for i in range(BANDS)])
 
 
 def _near(a: str, b: str) -> Column:
@@ -145,9 +176,10 @@ def _near(a: str, b: str) -> Column:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document row: size of its set of 5-word shingles, the smallest doc_id of its component, and whether it is that.
 
-    Equal sets form a class. Sketches of classes meet in bands; each band's members are compared with its first member,
-    then, where members of a band still lie in different components, all such pairs of sizes that allow a link; every
-    comparison is estimated from the registers and then verified on the full sets.
+    Equal sets form a class. Sketches of classes meet in bands, where each is compared with the band's first member, then
+    with the member that got most links; every comparison is estimated from the registers and then verified on the full
+    sets. Classes of bands that still hold several components are joined exactly: sets linked share one of their
+    PERCENT-prefixes of rarest shingles, at places that leave room for the intersection.
 
     Texts without words (null, empty) have no shingles and stand alone. A null doc_id joins its class; a component
     without any id is null. Repeated rows and rows that share an id are members like others. Other columns are ignored.
@@ -163,27 +195,54 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("centre")).where("size > 1")
     members = cut(keyed.join(shared.select("band", "centre"), "band"))
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("rep._key").alias("_key"), F.col("rep.doc_id").alias("_id"))
-    texts = rows.join(wanted, ["_key"]).where(F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["id"])
+    texts = rows.join(wanted, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_key", "id"])
     texts = cut(texts.select("id", "text"))
     side = classes.select("id", "n", "registers")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b), those that are links."""
+    def likely(pairs: DataFrame) -> DataFrame:
         for s in "ab":
             pairs = pairs.join(side.select(F.col("id").alias(s), F.col("registers").alias(f"r{s}"), F.col("n").alias(f"n{s}")), s)
         pairs = pairs.where(_near("na", "nb") & _near("nb", "na")).select("a", "b", "ra", "rb", "na", "nb")
-        likely = pairs.mapInArrow(_likely_batches, "a long, b long")
+        return cut(pairs.mapInArrow(_likely_batches, "a long, b long, estimate double"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b), those that are links."""
         for s in "ba":
-            likely = likely.join(texts.select(F.col("id").alias(s), F.col("text").alias(f"t{s}")), s)
-        return cut(likely.select("a", "b", "ta", "tb").mapInArrow(_linked_batches, "a long, b long"))
+            pairs = pairs.join(texts.select(F.col("id").alias(s), F.col("text").alias(f"t{s}")), s)
+        return cut(pairs.select("a", "b", "ta", "tb").mapInArrow(_linked_batches, "a long, b long"))
 
-    links = verified(members.where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
+    def labelled(frame: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
+        label = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
+        return frame.join(label, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
+
+    def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        return labelled(labelled(pairs, roots, "a", "_a"), roots, "b", "_b").where("_a <> _b").select("a", "b")
+
+    def several(roots: DataFrame) -> DataFrame:
+        """Members of the bands that hold more than one component."""
+        placed = labelled(members, roots, "id", "comp")
+        mixed_bands = placed.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
+        return placed.join(mixed_bands.select("band"), "band").select("band", "id", "n", "comp")
+
+    starred = likely(members.where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
+    links = verified(starred.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b"))
+    roots = components(links)
+    degree = links.groupBy("a").agg(F.count(F.lit(1)).alias("d")).union(links.groupBy("b").agg(F.count(F.lit(1)))).groupBy(F.col("a").alias("id")).agg(F.sum("d").alias("d"))
+    left = cut(several(roots).join(degree, "id", "left"))
+    pivot = left.groupBy("band").agg(F.max(F.struct(F.coalesce("d", F.lit(0)), -F.col("id"), "id", "comp")).alias("p"))
+    pivoted = left.join(pivot, "band").where(F.col("p.comp") != F.col("comp")).select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
+    links = links.union(verified(apart(starred.select("a", "b"), roots).union(likely(pivoted).select("a", "b")).distinct()))
     roots = components(links)
-    placed = members.join(roots.withColumnsRenamed({"node": "id", "root": "comp"}), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    several = placed.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
-    open_bands = cut(placed.join(several.select("band"), "band").select("band", "id", "n", "comp"))
-    x, y = (open_bands.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "comp")]).alias(s) for s in "ab")
-    meet = (F.col("a.band") == F.col("b.band")) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & _near("n_a", "n_b") & _near("n_b", "n_a")
+    rest = cut(several(roots).select("id", "n", "comp").distinct())
+    open_texts = texts.join(rest.select("id"), "id", "left_semi")
+    rarity = np.zeros(COUNTERS, np.int64)
+    for r in open_texts.mapInArrow(_rarity_batches, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():  # COUNTERS rows at most
+        rarity[r["slot"]] = r["n"]
+    shared_rarity = docs.sparkSession.sparkContext.broadcast(rarity)
+    prefixes = open_texts.mapInArrow(_prefix_batches(shared_rarity), "token long, id long, place long").join(rest, "id")
+    x, y = (prefixes.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "place", "n", "comp")]).alias(s) for s in "ab")
+    room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
+    meet = (F.col("a.token") == F.col("b.token")) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & room
     more = verified(x.join(y, meet).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
     if not more.isEmpty():
         roots = components(links.union(more))

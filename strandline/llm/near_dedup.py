@@ -7,13 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.common import components, cut, row_key
 
 SHINGLE = 5
-REGISTERS, BAND, BANDS = 128, 4, 24
+REGISTERS, BAND, BANDS = 128, 4, 32
 #: Base and rate of the registers: floor(1 - log_BASE(h)) for the least of n exponential variates h of rate RATE, n up
 #: to some ten million, stays within a byte.
 BASE, RATE = 1.1, 20.0
@@ -21,8 +22,11 @@ BASE, RATE = 1.1, 20.0
 PERCENT = 75
 #: Standard errors by which a pair's estimate may fall short before it is given up unverified.
 ERRORS = 4.0
+#: Bands shared with another component below which a class isn't joined further; a pair at the threshold shares fewer
+#: with a probability of 4e-5.
+LEAST_OPEN = 2
 #: Counters that order the shingles of what bands leave open by rarity; any order is right, a rarer one is faster.
-COUNTERS = 1 << 20
+COUNTERS = 1 << 16
 
 _rng = np.random.default_rng(20240601)
 _MULTIPLY = (_rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -196,7 +200,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     members = cut(keyed.join(shared.select("band", "centre"), "band"))
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("rep._key").alias("_key"), F.col("rep.doc_id").alias("_id"))
     texts = rows.join(wanted, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_key", "id"])
-    texts = cut(texts.select("id", "text"))
+    texts = texts.select("id", "text").repartition("id").persist(StorageLevel.MEMORY_AND_DISK)  # joins on id move it no more
     side = classes.select("id", "n", "registers")
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -233,11 +237,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pivoted = left.join(pivot, "band").where(F.col("p.comp") != F.col("comp")).select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
     links = links.union(verified(apart(starred.select("a", "b"), roots).union(likely(pivoted).select("a", "b")).distinct()))
     roots = components(links)
-    rest = cut(several(roots).select("id", "n", "comp").distinct())
+    rest = cut(several(roots).groupBy("id", "n", "comp").agg(F.count(F.lit(1)).alias("open")).where(F.col("open") >= LEAST_OPEN).select("id", "n", "comp"))
     open_texts = texts.join(rest.select("id"), "id", "left_semi")
     rarity = np.zeros(COUNTERS, np.int64)
-    for r in open_texts.mapInArrow(_rarity_batches, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toLocalIterator():  # COUNTERS rows at most
-        rarity[r["slot"]] = r["n"]
+    counted = open_texts.mapInArrow(_rarity_batches, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # COUNTERS rows at most
+    rarity[counted["slot"].to_numpy()] = counted["n"].to_numpy()
     shared_rarity = docs.sparkSession.sparkContext.broadcast(rarity)
     prefixes = open_texts.mapInArrow(_prefix_batches(shared_rarity), "token long, id long, place long").join(rest, "id")
     x, y = (prefixes.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "place", "n", "comp")]).alias(s) for s in "ab")
@@ -246,6 +250,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     more = verified(x.join(y, meet).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
     if not more.isEmpty():
         roots = components(links.union(more))
+    texts.unpersist()
     named = classes.select("same", "id", "least_id").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component"))
     out = sketches.select("doc_id", "_key", "n", "same").join(named.join(least, "root").select("same", "component"), "same", "left")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import WORD_BYTES, row_key, slices
 
 #: Bounds of the labelled sample: about so many rows of each label.
-SAMPLE_TOXIC, SAMPLE_CLEAN = 2000, 4000
+SAMPLE_TOXIC, SAMPLE_CLEAN = 1000, 2000
 #: A word or word start counts as toxic where chance explains its share of toxic settings with a probability under exp(-EVIDENCE).
 EVIDENCE = 14.0
 STARTS = (4, 5, 6, 7, 8)
@@ -78,7 +78,7 @@ class Field:
             b = (tc + tt * x) / (cc + ct * x)
         return out
 
-    def fit(self, documents: list[list[bytes]], toxic: list[int]) -> "Field":
+    def fit(self, texts: list[str | None], toxic: list[int]) -> "Field":
         """Token labels come from the documents': in a toxic one, words that are, or start, as in toxic documents far
         beyond chance are toxic; all others are clean. Then penalised likelihood by Adam, over segments of SEGMENT words."""
         n_toxic = sum(toxic)
@@ -86,14 +86,13 @@ class Field:
             self.level = np.array([4.0 if n_toxic else -4.0, 0.0, 0.0])
             return self
         types: dict[bytes, int] = {}
-        tokens = [np.fromiter((types.setdefault(w, len(types)) for w in words), np.int64, len(words)) for words in documents]
+        tokens = [np.array([types.setdefault(w, len(types)) for w in text_words(text)], np.int32) for text in texts]
         seen = [self._settings([t for t, y in zip(tokens, toxic, strict=True) if y == side], len(types)) for side in (0, 1)]
-        marked = self._marked(list(types), *seen)
-        is_marked = np.fromiter((w in marked or any(w[:n] + b"*" in marked for n in STARTS if len(w) > n) for w in types), bool, len(types))
-        of_type = np.array([features(w) for w in types]).reshape(len(types), -1)
+        is_marked = self._marked(list(types), *seen)
+        of_type = np.array([features(w) for w in types], np.int32).reshape(len(types), -1)
         pieces = [(part, y) for t, y in zip(tokens, toxic, strict=True) for part in np.split(t, range(SEGMENT, len(t), SEGMENT)) if len(part)]
         lengths = np.array([len(p) for p, _ in pieces])
-        token, label = np.zeros((SEGMENT, len(pieces)), np.int64), np.zeros((SEGMENT, len(pieces)))
+        token, label = np.zeros((SEGMENT, len(pieces)), np.int32), np.zeros((SEGMENT, len(pieces)), np.float32)
         for k, (part, y) in enumerate(pieces):
             token[: len(part), k], label[: len(part), k] = part, is_marked[part] if y else 0
         real = np.arange(SEGMENT)[:, None] < lengths[None, :]
@@ -112,7 +111,8 @@ class Field:
             first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
             total = total - 0.25 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
             self.weights, self.steps = total[:DIMENSIONS].copy(), total[DIMENSIONS:].copy()
-        self._fit_level(documents, np.array(toxic, float))
+        by_type = self.weights[of_type].sum(1)
+        self._fit_level([by_type[t] for t in tokens], np.array(toxic, float))
         return self
 
     @staticmethod
@@ -127,27 +127,22 @@ class Field:
         return np.bincount(flat[np.unique(mixed, return_index=True)[1], 1], minlength=n)
 
     @staticmethod
-    def _marked(words: list[bytes], clean: np.ndarray, toxic: np.ndarray) -> set[bytes]:
-        """Words and word starts that stand in toxic documents in more settings than chance explains."""
-        counts: dict[bytes, list[int]] = {}
-        for w, b, a in zip(words, clean.tolist(), toxic.tolist(), strict=True):
-            for key in (w, *(w[:n] + b"*" for n in STARTS if len(w) > n)):
-                both = counts.setdefault(key, [0, 0])
-                both[0] += b
-                both[1] += a
+    def _marked(words: list[bytes], clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """Of each word, whether it, or a start of it, stands in toxic documents in more settings than chance explains."""
         n_clean, n_toxic = max(int(clean.sum()), 1), int(toxic.sum())
-        prior, out = n_toxic / (n_toxic + n_clean), set()
-        for key, (b, a) in counts.items():
-            if a >= 3 and a * n_clean > LIFT * b * n_toxic:
-                q = a / (a + b)
-                spread = q * math.log(q / prior) + ((1 - q) * math.log((1 - q) / (1 - prior)) if b else 0)
-                if (a + b) * spread > EVIDENCE:
-                    out.add(key)
+        prior, out = n_toxic / (n_toxic + n_clean), np.zeros(len(words), bool)
+        for n in (None, *STARTS):
+            starts: dict[bytes, int] = {}
+            key = np.array([starts.setdefault(w[:n], len(starts)) for w in words], np.int64)
+            a, b = (np.bincount(key, side, len(starts)) for side in (toxic, clean))
+            q = np.clip(a / np.maximum(a + b, 1), 1e-12, 1 - 1e-12)
+            spread = q * np.log(q / prior) + (1 - q) * np.log((1 - q) / (1 - prior))
+            out |= ((a >= 3) & (a * n_clean > LIFT * b * n_toxic) & ((a + b) * spread > EVIDENCE))[key]
         return out
 
-    def _fit_level(self, documents: list[list[bytes]], toxic: np.ndarray) -> None:
+    def _fit_level(self, emissions: list[np.ndarray], toxic: np.ndarray) -> None:
         """Logistic regression of the document label on the marginals, by Newton steps."""
-        x = np.array([summary(p) for p in self.tag(documents, Emissions(self.weights))])
+        x = np.array([summary(p) for p in self.tag(emissions)])
         x = np.column_stack([np.ones(len(x)), x])
         beta = np.zeros(3)
         for _ in range(30):
@@ -156,16 +151,16 @@ class Field:
             beta = beta + np.linalg.solve(h, x.T @ (toxic - p) - 0.05 * beta)
         self.level = beta
 
-    def tag(self, documents: list[list[bytes]], emissions: "Emissions") -> list[np.ndarray]:
+    def tag(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
         """Marginals of every word of every document; documents of like length go together."""
-        out: list[np.ndarray] = [np.zeros(0)] * len(documents)
-        order = sorted((i for i in range(len(documents)) if documents[i]), key=lambda i: len(documents[i]))
+        out: list[np.ndarray] = [np.zeros(0)] * len(emissions)
+        order = sorted((i for i in range(len(emissions)) if len(emissions[i])), key=lambda i: len(emissions[i]))
         for at in range(0, len(order), 192):
             group = order[at : at + 192]
-            lengths = np.array([len(documents[i]) for i in group])
+            lengths = np.array([len(emissions[i]) for i in group])
             e = np.full((lengths.max(), len(group)), -30.0)
             for k, i in enumerate(group):
-                e[: lengths[k], k] = np.fromiter(map(emissions.__getitem__, documents[i]), float, lengths[k])
+                e[: lengths[k], k] = emissions[i]
             p = self.marginals(e, lengths)
             for k, i in enumerate(group):
                 out[i] = p[: lengths[k], k]
@@ -182,6 +177,10 @@ class Emissions(dict):
         super().__init__()
         self.weights = weights
 
+    def of(self, text: str | None) -> np.ndarray:
+        words = text_words(text)
+        return np.fromiter(map(self.__getitem__, words), float, len(words))
+
     def __missing__(self, word: bytes) -> float:
         if len(self) > 400_000:
             self.clear()
@@ -204,9 +203,9 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, doc_id: str = "d
     share = {1: min(1.0, SAMPLE_TOXIC / counts.get(1, 1)), 0: min(1.0, SAMPLE_CLEAN / counts.get(0, 1))}
     draw = F.xxhash64("doc_id", F.lit(9)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
     sample = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    return Field().fit([text_words(r["text"]) for r in rows], [int(r["toxic"]) for r in rows])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).toPandas()
+    rows = rows.sort_values("doc_id")
+    return Field().fit([t if isinstance(t, str) else None for t in rows["text"]], [int(y) for y in rows["toxic"]])
 
 
 _SPAN = "array<struct<start:long,end:long,chance:double>>"
@@ -244,7 +243,7 @@ def score_toxicity(docs: DataFrame, field: Field, doc_id: str = "doc_id", text:
         for batch in batches:
             for part in slices(batch, 1):
                 texts = part.column(1).to_pylist()
-                found = model.tag([text_words(t) for t in texts], emissions)
+                found = model.tag([emissions.of(t) for t in texts])
                 spans = [_spans(t or "", p) for t, p in zip(texts, found, strict=True)]
                 yield pa.record_batch([part.column(0), part.column(2), pa.array([model.score(p) for p in found], pa.float64()), pa.array(spans, _OUT.field(3).type)], schema=_OUT)
 
@@ -261,7 +260,7 @@ def keep_clean(docs: DataFrame, field: Field, threshold: float = 0.5, text: str
         model, emissions = shared.value, Emissions(shared.value.weights)
         for batch in batches:
             for part in slices(batch, at):
-                found = model.tag([text_words(x.as_py()) for x in part.column(at)], emissions)
+                found = model.tag([emissions.of(x.as_py()) for x in part.column(at)])
                 yield part.filter(pa.array([model.score(p) < threshold for p in found], pa.bool_()))
 
     return docs.mapInArrow(run, schema)

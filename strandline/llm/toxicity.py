@@ -203,9 +203,19 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, doc_id: str = "d
     share = {1: min(1.0, SAMPLE_TOXIC / counts.get(1, 1)), 0: min(1.0, SAMPLE_CLEAN / counts.get(0, 1))}
     draw = F.xxhash64("doc_id", F.lit(9)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
     sample = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).toPandas()
-    rows = rows.sort_values("doc_id")
-    return Field().fit([t if isinstance(t, str) else None for t in rows["text"]], [int(y) for y in rows["toxic"]])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    fitted = rows.select("doc_id", "text", "toxic").repartition(1).mapInArrow(_fit_batches, "weights binary, steps array<double>, level array<double>").first()
+    field = Field()
+    field.weights = np.frombuffer(fitted["weights"], float).copy()
+    field.steps, field.level = np.array(fitted["steps"]), np.array(fitted["level"])
+    return field
+
+
+def _fit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One task fits on the bounded sample, so that the driver holds the model only."""
+    rows = sorted(((i, t, y) for b in batches for i, t, y in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True)), key=lambda r: r[0])
+    field = Field().fit([t for _, t, _ in rows], [y for _, _, y in rows])
+    yield pa.record_batch([pa.array([field.weights.tobytes()], pa.binary()), pa.array([field.steps.tolist()]), pa.array([field.level.tolist()])], ["weights", "steps", "level"])
 
 
 _SPAN = "array<struct<start:long,end:long,chance:double>>"

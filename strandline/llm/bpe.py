@@ -234,11 +234,25 @@ def _count_batches(tokenizer):
     return run
 
 
-def frequent_words(docs: DataFrame, tokenizer, limit: int = FREQUENT, text: str = "text") -> list[str]:
-    """The `limit` most frequent words of all documents, ties by the word; at most `limit` short words reach the driver."""
+def frequent_words(docs: DataFrame, tokenizer, limit: int = FREQUENT, text: str = "text") -> DataFrame:
+    """The `limit` most frequent words of all documents, ties by the word."""
     counts = docs.select(F.col(text)).mapInArrow(_count_batches(tokenizer), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(limit)
-    return [r["word"] for r in top.collect()]
+    return counts.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(limit).select("word")
+
+
+def _compile_batches(tokenizer):
+    """One task compiles the transducer of the bounded word list into the bytes of its file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = tokenizer.value
+        common = [w for b in batches for w in b.column(0).to_pylist() if w not in own.special and "\0" not in w]
+        with tempfile.TemporaryDirectory() as folder:
+            made = os.path.join(folder, "lexicon.npy")
+            compile_transducer({w.encode("utf-8", "replace"): own.merge(w) for w in common}, made)
+            with open(made, "rb") as f:
+                yield pa.record_batch([pa.array([f.read()], pa.binary())], ["file"])
+
+    return run
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.large_string())])
@@ -251,15 +265,14 @@ def encode_documents(docs: DataFrame, path: str, limit: int = FREQUENT, doc_id:
     other columns are ignored. The words counted over all documents only decide which take the fast way.
     Columns: doc_id, ids, decoded."""
     spark = docs.sparkSession
-    own = Tokenizer(path)
-    tokenizer = spark.sparkContext.broadcast(own)  # as large as the vocabulary file
-    common = [w for w in frequent_words(docs, tokenizer, limit, text) if w not in own.special and "\0" not in w]
+    tokenizer = spark.sparkContext.broadcast(Tokenizer(path))  # as large as the vocabulary file
+    words = frequent_words(docs, tokenizer, limit, text)
+    made = words.repartition(1).mapInArrow(_compile_batches(tokenizer), "file binary").first()  # a few MB
+    compiled = bytes(made["file"]) if made else next(_compile_batches(tokenizer)(iter(()))).column(0)[0].as_py()  # no words, no task
     folder = os.path.realpath(tempfile.mkdtemp())
-    made = os.path.join(folder, "lexicon.npy")
-    compile_transducer({w.encode("utf-8", "replace"): own.merge(w) for w in common}, made)
-    with open(made, "rb") as f:
-        name = f"lexicon-{hashlib.sha256(f.read()).hexdigest()[:24]}-{os.path.basename(folder)}.npy"
-    os.rename(made, os.path.join(folder, name))
+    name = f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}-{os.path.basename(folder)}.npy"
+    with open(os.path.join(folder, name), "wb") as f:
+        f.write(compiled)
     spark.sparkContext.addFile(os.path.join(folder, name))  # every executor fetches its copy and maps it
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -180,9 +180,8 @@ def _near(a: str, b: str) -> Column:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document row: size of its set of 5-word shingles, the smallest doc_id of its component, and whether it is that.
 
-    Equal sets form a class. Sketches of classes meet in bands, where each is compared with the band's first member, then
-    with the member that got most links; every comparison is estimated from the registers and then verified on the full
-    sets. Classes of bands that still hold several components are joined exactly: sets linked share one of their
+    Equal sets form a class. Sketches of classes meet in bands, where each is compared with the member that meets
+    most others in its bands; of a class's comparisons the likeliest by the registers is verified on the full sets. Classes of bands that still hold several components are joined exactly: sets linked share one of their
     PERCENT-prefixes of rarest shingles, at places that leave room for the intersection.
 
     Texts without words (null, empty) have no shingles and stand alone. A null doc_id joins its class; a component
@@ -196,8 +195,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     classes = cut(classes.withColumn("id", F.monotonically_increasing_id()))
     keyed = classes.select("id", "n", F.explode(bands(F.col("registers"))).alias("band"))
-    shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("centre")).where("size > 1")
-    members = cut(keyed.join(shared.select("band", "centre"), "band"))
+    shared = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cut(keyed.join(shared, "band"))
+    met = members.groupBy("id").agg(F.sum("size").alias("met"))
+    centres = members.join(met, "id").groupBy("band").agg(F.max(F.struct("met", -F.col("id"), "id")).alias("c")).select("band", F.col("c.id").alias("centre"))
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("rep._key").alias("_key"), F.col("rep.doc_id").alias("_id"))
     texts = rows.join(wanted, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_key", "id"])
     texts = texts.select("id", "text").repartition("id").persist(StorageLevel.MEMORY_AND_DISK)  # joins on id move it no more
@@ -207,7 +208,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         for s in "ab":
             pairs = pairs.join(side.select(F.col("id").alias(s), F.col("registers").alias(f"r{s}"), F.col("n").alias(f"n{s}")), s)
         pairs = pairs.where(_near("na", "nb") & _near("nb", "na")).select("a", "b", "ra", "rb", "na", "nb")
-        return cut(pairs.mapInArrow(_likely_batches, "a long, b long, estimate double"))
+        return pairs.mapInArrow(_likely_batches, "a long, b long, estimate double")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Of pairs (a, b), those that are links."""
@@ -219,25 +220,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         label = roots.select(F.col("node").alias(node), F.col("root").alias("_root"))
         return frame.join(label, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
 
-    def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        return labelled(labelled(pairs, roots, "a", "_a"), roots, "b", "_b").where("_a <> _b").select("a", "b")
-
-    def several(roots: DataFrame) -> DataFrame:
-        """Members of the bands that hold more than one component."""
-        placed = labelled(members, roots, "id", "comp")
-        mixed_bands = placed.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
-        return placed.join(mixed_bands.select("band"), "band").select("band", "id", "n", "comp")
-
-    starred = likely(members.where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
-    links = verified(starred.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b"))
-    roots = components(links)
-    degree = links.groupBy("a").agg(F.count(F.lit(1)).alias("d")).union(links.groupBy("b").agg(F.count(F.lit(1)))).groupBy(F.col("a").alias("id")).agg(F.sum("d").alias("d"))
-    left = cut(several(roots).join(degree, "id", "left"))
-    pivot = left.groupBy("band").agg(F.max(F.struct(F.coalesce("d", F.lit(0)), -F.col("id"), "id", "comp")).alias("p"))
-    pivoted = left.join(pivot, "band").where(F.col("p.comp") != F.col("comp")).select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
-    links = links.union(verified(apart(starred.select("a", "b"), roots).union(likely(pivoted).select("a", "b")).distinct()))
+    starred = members.join(centres, "band").where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    links = verified(likely(starred).groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b"))
     roots = components(links)
-    rest = cut(several(roots).groupBy("id", "n", "comp").agg(F.count(F.lit(1)).alias("open")).where(F.col("open") >= LEAST_OPEN).select("id", "n", "comp"))
+    placed = labelled(members, roots, "id", "comp")
+    several = placed.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
+    placed = placed.join(several.select("band"), "band").groupBy("id", "n", "comp").agg(F.count(F.lit(1)).alias("open"))
+    rest = cut(placed.where(F.col("open") >= LEAST_OPEN).select("id", "n", "comp"))
     open_texts = texts.join(rest.select("id"), "id", "left_semi")
     rarity = np.zeros(COUNTERS, np.int64)
     counted = open_texts.mapInArrow(_rarity_batches, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # COUNTERS rows at most
@@ -248,8 +237,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
     meet = (F.col("a.token") == F.col("b.token")) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & room
     more = verified(x.join(y, meet).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
-    if not more.isEmpty():
-        roots = components(links.union(more))
+    if not more.isEmpty():  # these join components
+        between = labelled(labelled(more, roots, "a", "ra"), roots, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        up = components(between).withColumnsRenamed({"node": "root", "root": "_up"})
+        alone = between.select(F.col("a").alias("node")).union(between.select("b")).distinct().join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+        roots = cut(roots.union(alone).join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")))
     texts.unpersist()
     named = classes.select("same", "id", "least_id").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component"))

@@ -206,6 +206,8 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, doc_id: str = "d
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
     fitted = rows.select("doc_id", "text", "toxic").repartition(1).mapInArrow(_fit_batches, "weights binary, steps array<double>, level array<double>").first()
     field = Field()
+    if fitted is None:  # no labelled rows, no task
+        return field.fit([], [])
     field.weights = np.frombuffer(fitted["weights"], float).copy()
     field.steps, field.level = np.array(fitted["steps"]), np.array(fitted["level"])
     return field

@@ -239,7 +239,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     more = verified(x.join(y, meet).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
     if not more.isEmpty():  # these join components
         between = labelled(labelled(more, roots, "a", "ra"), roots, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        up = components(between).withColumnsRenamed({"node": "root", "root": "_up"})
+        up = components(between).select(F.col("node").alias("root"), F.col("root").alias("_up"))
         alone = between.select(F.col("a").alias("node")).union(between.select("b")).distinct().join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
         roots = cut(roots.union(alone).join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")))
     texts.unpersist()

@@ -100,6 +100,21 @@ def test_near_duplicate_chains_and_groups(spark):
     assert sorted((False, r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == linked(rows)
 
 
+def test_components_that_only_the_exact_join_ties(spark, monkeypatch):
+    """Without the comparisons in bands all links are left to the join by prefixes."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    texts = []
+    for _ in range(6):
+        stem = [word() for _ in range(100)]
+        for k in range(6):
+            texts.append(" ".join(stem[:k] + [word()] + stem[k + 1 :]))
+    monkeypatch.setattr(near_dedup, "_likely_batches", lambda batches: iter([b for b in batches][:0]))
+    rows = list(enumerate(texts))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((False, r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == linked(rows)
+
+
 def test_joint_estimate():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.75, 0.9):

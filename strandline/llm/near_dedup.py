@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import components, cut, row_key
 
 SHINGLE = 5
-REGISTERS, BAND, BANDS = 128, 4, 32
+REGISTERS, BAND, BANDS = 128, 4, 28
 #: Base and rate of the registers: floor(1 - log_BASE(h)) for the least of n exponential variates h of rate RATE, n up
 #: to some ten million, stays within a byte.
 BASE, RATE = 1.1, 20.0
@@ -22,8 +22,10 @@ BASE, RATE = 1.1, 20.0
 PERCENT = 75
 #: Standard errors by which a pair's estimate may fall short before it is given up unverified.
 ERRORS = 4.0
+#: Rows of three numbers that may be broadcast.
+BROADCAST_ROWS = 1_000_000
 #: Bands shared with another component below which a class isn't joined further; a pair at the threshold shares fewer
-#: with a probability of 4e-5.
+#: with a probability of 2e-4.
 LEAST_OPEN = 2
 #: Counters that order the shingles of what bands leave open by rarity; any order is right, a rarer one is faster.
 COUNTERS = 1 << 16
@@ -200,8 +202,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     met = members.groupBy("id").agg(F.sum("size").alias("met"))
     centres = members.join(met, "id").groupBy("band").agg(F.max(F.struct("met", -F.col("id"), "id")).alias("c")).select("band", F.col("c.id").alias("centre"))
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("rep._key").alias("_key"), F.col("rep.doc_id").alias("_id"))
-    texts = rows.join(wanted, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id"))).dropDuplicates(["_key", "id"])
-    texts = texts.select("id", "text").repartition("id").persist(StorageLevel.MEMORY_AND_DISK)  # joins on id move it no more
+    wanted = cut(wanted)
+    if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
+        wanted = F.broadcast(wanted)
+    texts = rows.join(wanted, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
+    texts = texts.select("id", "text").repartition("id").dropDuplicates(["id"]).persist(StorageLevel.MEMORY_AND_DISK)  # joins on id move it no more
     side = classes.select("id", "n", "registers")
 
     def likely(pairs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.operators.skew import is_small, salted_join
+from strandline.operators.skew import is_small
 from strandline.session import checkpointed
 
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -19,10 +19,19 @@ _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
 def _combine(kind: str, carry: Column, own: Column) -> Column:
     if kind == "sum":
-        return F.coalesce(carry, F.lit(0)) + F.coalesce(own, F.lit(0))
+        return F.coalesce(carry + own, carry, own)
     return F.greatest(carry, own) if kind == "max" else F.least(carry, own)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; ``right`` adds its other columns."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    test = F.lit(True)
+    for k in keys:
+        test = test & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, test, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def running(df: DataFrame, group: list[str], order: list, values: dict, *,
             reverse: bool = False, inclusive: bool = True, small: bool | None = None) -> DataFrame:
     """Add running ``sum``, ``max`` or ``min`` columns along ``order`` in each group.
@@ -114,9 +123,9 @@ def average_rank(df: DataFrame, group: list[str], value: str, name: str, *,
         if totals is None:
             ranks = ranks.withColumn(size, ranks.agg(F.max("_upto")).scalar())
         else:
-            ranks = ranks.join(totals, group)
+            ranks = null_safe_join(ranks, totals, group)
         keep.append(size)
-    return salted_join(df, ranks.select(*keep), [*group, value], "inner")
+    return null_safe_join(df, ranks.select(*keep), [*group, value])
 
 
 def percentile(df: DataFrame, group: list[str], value: str, name: str, *,
@@ -144,7 +153,7 @@ def quantiles(df: DataFrame, group: list[str], value: str, probabilities: dict[s
     counts = tallies(kept, group, value, small=False)
     if group:
         sizes = counts.groupBy(*group).agg(F.max("_upto").alias("_size"))
-        counts = counts.join(sizes, group)
+        counts = null_safe_join(counts, sizes, group)
     else:
         counts = counts.withColumn("_size", counts.agg(F.max("_upto")).scalar())
     out = []
@@ -206,7 +215,7 @@ def moving_average(df: DataFrame, group: list[str], order: list, value: str, n:
     means = spread.groupBy(*group, "_at").agg(
         F.avg("_value").alias(name), F.count(F.lit(1)).alias("_rows"))
     means = means.withColumn(name, F.when(F.col("_rows") == n, F.col(name))).drop("_rows")
-    return numbered.join(means, [*group, "_at"], "left").drop("_at")
+    return null_safe_join(numbered, means, [*group, "_at"], "left").drop("_at")
 
 
 def nearest_before_after(points: DataFrame, targets: DataFrame, group: list[str], point: str,

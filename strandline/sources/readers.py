@@ -250,8 +250,8 @@ def manifest_from_sheet(spark: SparkSession, path: str, data_folder: str, bam_fo
 
 
 def ranked_regions(spark: SparkSession, path: str, *, top: int | None = None, super_only: bool = False) -> DataFrame:
-    """Ranked region table: comment lines and the ``R`` header are skipped; rank and flag are the last two columns."""
-    rows = lines(spark, path).where(~F.col("value").startswith("#") & ~F.col("value").startswith("R"))
+    """Ranked region table: comment lines and the ``REGION_ID`` header are skipped; rank and flag are the last two columns."""
+    rows = lines(spark, path).where(~F.col("value").startswith("#") & ~F.col("value").startswith("REGION_ID"))
     cells = rows.select(F.split("value", "\t").alias("cells")).where(F.size("cells") >= 8)
     end = lambda i: F.element_at("cells", i)
     out = cells.select(

@@ -45,17 +45,21 @@ def region_clusters(matrix: DataFrame, samples: list[str], k: int = 10, seed: in
     """Regions grouped by the shape of their profile.
 
     Rows are centred and scaled to length 1, where squared distance is
-    2 * (1 - r), and split by bisecting k-means.
+    2 * (1 - r), and split by bisecting k-means. Flat rows and rows with NULL
+    have no shape: their cluster is NULL.
     """
     n = len(samples)
     mean = reduce(lambda a, b: a + b, [F.col(s) for s in samples]) / n
     norm = F.sqrt(reduce(lambda a, b: a + b, [(F.col(s) - F.col("_mean")) ** 2 for s in samples]))
-    shaped = matrix.withColumn("_mean", mean).withColumn("_norm", norm).where("_norm > 0")
+    profiles = matrix.withColumn("_mean", mean).withColumn("_norm", norm)
     cells = F.array(*[((F.col(s) - F.col("_mean")) / F.col("_norm")).cast("double") for s in samples])
-    rows = shaped.withColumn("_features", array_to_vector(cells)).persist()
+    rows = profiles.where("_norm > 0").withColumn("_features", array_to_vector(cells)).persist()
+    shapeless = profiles.where("_norm IS NULL OR NOT _norm > 0").withColumn("cluster", F.lit(None).cast("int")).drop("_mean", "_norm")
+    if rows.isEmpty():
+        return shapeless
     model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(rows)
     out = model.transform(rows).drop("_features", "_mean", "_norm")
-    return out.withColumn("cluster", F.col("cluster") + 1)
+    return out.withColumn("cluster", F.col("cluster") + 1).unionByName(shapeless)
 
 
 def cluster_exemplars(clustered: DataFrame, samples: list[str], *, small: bool | None = None) -> DataFrame:

@@ -21,14 +21,18 @@ def floored(long: DataFrame) -> DataFrame:
     return long.withColumn("value", expression_floor("value"))
 
 
+def _extremes(long: DataFrame, n_samples: int | None = None) -> DataFrame:
+    """(gene, _max, _min) over all samples of the table; a sample without a value of a gene counts as 0."""
+    samples = long.agg(F.countDistinct("sample")).scalar() if n_samples is None else F.lit(n_samples)
+    per_gene = long.groupBy("gene").agg(
+        F.max("value").alias("_max"), F.min("value").alias("_least"), F.count("value").alias("_n"))
+    least = F.when(F.col("_n") >= samples, F.col("_least")).otherwise(F.least("_least", F.lit(0.0)))
+    return per_gene.select("gene", "_max", least.alias("_min"))
+
+
 def expressed_genes(long: DataFrame, n_samples: int | None = None) -> DataFrame:
     """Genes above 1 in some sample and above 0 in all."""
-    per_gene = long.groupBy("gene").agg(
-        F.max("value").alias("_max"), F.min("value").alias("_min"), F.count(F.lit(1)).alias("_n"))
-    kept = per_gene.where("_max > 1 and _min > 0")
-    if n_samples is not None:
-        kept = kept.where(F.col("_n") == n_samples)
-    return kept.select("gene")
+    return _extremes(long, n_samples).where("_max > 1 and _min > 0").select("gene")
 
 
 def _in_group(groups: list[str]):
@@ -173,11 +177,12 @@ def spike_normalised(long: DataFrame, controls: DataFrame, pseudo: float = 0.1)
     return long.join(offsets, "sample").withColumn("value", expression_floor(scaled)).drop("offset")
 
 
-def spike_table(long: DataFrame, concentrations: DataFrame) -> DataFrame:
-    """Expression of control genes with the concentration listed for their first ten characters."""
-    keyed = long.withColumn("_key", F.substring("gene", 1, 10))
-    listed = concentrations.select(F.substring("control_id", 1, 10).alias("_key"), "concentration")
-    return keyed.join(listed, "_key").drop("_key")
+def spike_table(long: DataFrame, controls: DataFrame, concentrations: DataFrame, width: int = 10) -> DataFrame:
+    """Control genes above 0 in all samples, with the concentration listed for their first ``width`` characters."""
+    rows = long.join(controls.select("gene"), "gene", "left_semi")
+    detected = rows.join(_extremes(long).where("_min > 0"), "gene", "left_semi")
+    listed = concentrations.select(F.col("control_id").alias("_key"), "concentration")
+    return detected.withColumn("_key", F.substring("gene", 1, width)).join(listed, "_key").drop("_key")
 
 
 def first_per_gene(rows: DataFrame, order: list, gene: str = "gene") -> DataFrame:

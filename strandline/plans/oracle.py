@@ -556,7 +556,8 @@ FROM (SELECT gene, avg(x) AS m1, avg(y) AS m2, var_samp(x) / count(x) AS e1, var
   FROM (SELECT gene, CASE WHEN sample LIKE 'A%' THEN value END AS x, CASE WHEN sample LIKE 'R%' THEN value END AS y FROM expr) GROUP BY 1)"""
 TABLES["ranked_expr"] = """
 SELECT gene, sample, rank() OVER (PARTITION BY sample ORDER BY value) + (count(*) OVER (PARTITION BY sample, value) - 1) / 2.0::DOUBLE AS r
-FROM expr WHERE gene IN (SELECT gene FROM expr GROUP BY 1 HAVING max(value) > 1 AND min(value) > 0)"""
+FROM expr WHERE gene IN (SELECT gene FROM expr GROUP BY 1 HAVING max(value) > 1 AND min(value) > 0
+  AND count(value) = (SELECT count(DISTINCT sample) FROM expr))"""
 ORACLE["replicate_spearman"] = """
 SELECT left(a.sample, 1) AS "group", round(corr(a.r, b.r), 6) AS spearman FROM ranked_expr a JOIN ranked_expr b
 ON a.gene = b.gene AND left(a.sample, 1) = left(b.sample, 1) AND a.sample < b.sample GROUP BY 1"""
@@ -567,7 +568,9 @@ ORACLE["spike_offset"] = 'SELECT sample, round(o, 6) AS "offset" FROM offsets'
 ORACLE["spike_normalised"] = """
 SELECT sample, gene, round((value + 0.1) / pow(2.0::DOUBLE, o), 4) AS value FROM expr JOIN offsets USING (sample)"""
 ORACLE["spike_table"] = """
-SELECT gene, sample, value, p_retailprice AS concentration FROM expr JOIN part ON gene = 'g' || CAST(p_partkey AS VARCHAR)"""
+SELECT gene, sample, value, p_retailprice AS concentration FROM expr JOIN part ON left(gene, 10) = 'g' || CAST(p_partkey AS VARCHAR)
+WHERE gene IN (SELECT 'g' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_type = 'ECONOMY')
+  AND gene IN (SELECT gene FROM expr GROUP BY gene HAVING min(value) > 0 AND count(value) = (SELECT count(DISTINCT sample) FROM expr))"""
 ORACLE["probe_best"] = """
 SELECT gene_id, probe, round(m, 6) AS mean FROM (SELECT p_name AS gene_id, gene AS probe,
   ("A_F" + "A_O" + "N_F" + "N_O" + "R_F" + "R_O") / 6 AS m, p_partkey FROM expr_wide JOIN part ON gene = 'g' || CAST(p_partkey AS VARCHAR))

@@ -666,7 +666,7 @@ def spike_table(v):
     listed = v.table("part").select(
         F.concat(F.lit("g"), F.col("p_partkey").cast("string")).alias("control_id"),
         F.col("p_retailprice").alias("concentration"))
-    return expression.spike_table(v.expression(), listed)
+    return expression.spike_table(v.expression(), _controls(v), listed)
 
 
 @query

@@ -9,7 +9,6 @@ from strandline.functions import reads as rd
 from strandline.operators import ordering
 
 _WHOLE_LINE = "\u0001"  # a separator that does not occur, so a line stays one value
-REGION_NAME_LIMIT, CELL_TYPE_LIMIT, CHROM_LIMIT = 63, 15, 64
 # fixed values of the sample manifest
 MANIFEST = ["file_path", "unique_id", "genome", "name", "background", "enriched_region", "enriched_macs", "color",
             "fastq_file"]
@@ -122,12 +121,16 @@ def gff_to_bed(df: DataFrame) -> DataFrame:
     return df.select("chrom", "start", "end", F.col("source").alias("name"), F.lit(0).alias("score"), "strand")
 
 
+def _cut_to(text: Column, width: int | None) -> Column:
+    return text if width is None else F.substring(text, 1, width)
+
+
 def validated_regions(spark: SparkSession, path: str, chrom_sizes: DataFrame, *, fmt: str | None = None,
-                      strand: str = "_") -> DataFrame:
+                      strand: str = "_", name_width: int | None = None) -> DataFrame:
     """Regions for counting from BED or GFF.
 
     Too few columns are an error, swapped coordinates are sorted, names are
-    cut to 63 characters. ``strand`` overrides the file's, ``_`` keeps it.
+    whole unless a width is given. ``strand`` overrides the file's, ``_`` keeps it.
     Regions on unknown chromosomes or past the chromosome's end are dropped.
     """
     fmt = fmt or path.rsplit(".", 1)[-1].lower()
@@ -141,17 +144,17 @@ def validated_regions(spark: SparkSession, path: str, chrom_sizes: DataFrame, *,
         F.raise_error(message).cast("array<string>")))
     own = F.when(_text(sign).isin("+", "-", "."), _text(sign)).otherwise(F.lit("."))
     out = checked.select(
-        F.substring(_text(name), 1, REGION_NAME_LIMIT).alias("id"), _cell(0).alias("chrom"),
+        _cut_to(_text(name), name_width).alias("id"), _cell(0).alias("chrom"),
         F.least(_number(start), _number(end)).alias("start"), F.greatest(_number(start), _number(end)).alias("end"),
         (own if strand == "_" else F.lit(strand)).alias("strand"))
     known = out.join(chrom_sizes.select("chrom", "length").distinct(), "chrom")
     return known.where(F.col("end") <= F.col("length")).select("id", "chrom", "start", "end", "strand")
 
 
-def check_chromosomes(chrom_sizes: DataFrame) -> DataFrame:
-    """The same rows; names of 64 characters or more fail."""
+def check_chromosomes(chrom_sizes: DataFrame, width: int) -> DataFrame:
+    """The same rows; names longer than ``width`` fail."""
     long_name = F.raise_error(F.concat(F.lit("chromosome name too long: "), "chrom")).cast("string")
-    return chrom_sizes.withColumn("chrom", F.when(F.length("chrom") < CHROM_LIMIT, F.col("chrom")).otherwise(long_name))
+    return chrom_sizes.withColumn("chrom", F.when(F.length("chrom") <= width, F.col("chrom")).otherwise(long_name))
 
 
 def annotation(spark: SparkSession, path: str) -> DataFrame:
@@ -184,15 +187,15 @@ def sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rd.with_span(reads.where(F.col("chrom") != "*"))
 
 
-def discover(spark: SparkSession, root: str, pattern: str = "*.sam") -> DataFrame:
-    """Files below a folder with their cell type (the parent folder below the root, at most 15 characters)."""
+def discover(spark: SparkSession, root: str, pattern: str = "*.sam", *, width: int | None = None) -> DataFrame:
+    """Files below a folder with their cell type (the parent folder below the root, cut if a width is given)."""
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", pattern).load(root).select("path"))
     base = root.rstrip("/").rsplit("/", 1)[-1]
     parent = F.element_at(F.split("path", "/"), -2)
     return found.select(
         F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.substring(F.when(parent == base, "-").otherwise(parent), 1, CELL_TYPE_LIMIT).alias("cell_type"))
+        _cut_to(F.when(parent == base, "-").otherwise(parent), width).alias("cell_type"))
 
 
 def number_files(files: DataFrame, known: int = 0) -> DataFrame:
@@ -216,13 +219,16 @@ def header_chroms(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records of four lines: name, seq, plus, qual."""
+    """Records of four lines: name, seq, plus, qual. Lines that make no whole record are an error, unless they are empty."""
     numbered = numbered_lines(spark, path)
     place = (F.col("line_no") - 1) % 4
     at = lambda i: F.max(F.when(place == i, F.col("value")))
     records = numbered.groupBy("file_path", F.floor((F.col("line_no") - 1) / 4).alias("record")).agg(
         at(0).alias("name"), at(1).alias("seq"), at(2).alias("plus"), at(3).alias("qual"), F.count(F.lit(1)).alias("_n"))
-    return records.where("_n = 4").drop("_n").withColumn("seq", F.regexp_replace("seq", r"\s+$", ""))
+    filled = records.where((F.col("_n") == 4) | (F.concat_ws("", "name", "seq", "plus", "qual") != ""))
+    broken = F.raise_error(F.concat(F.lit("the last record has fewer than four lines: "), "file_path")).cast("boolean")
+    return filled.where(F.when(F.col("_n") == 4, F.lit(True)).otherwise(broken)).drop("_n").withColumn(
+        "seq", F.regexp_replace("seq", r"\s+$", ""))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -252,7 +258,9 @@ def manifest_from_sheet(spark: SparkSession, path: str, data_folder: str, bam_fo
 def ranked_regions(spark: SparkSession, path: str, *, top: int | None = None, super_only: bool = False) -> DataFrame:
     """Ranked region table: comment lines and the ``REGION_ID`` header are skipped; rank and flag are the last two columns."""
     rows = lines(spark, path).where(~F.col("value").startswith("#") & ~F.col("value").startswith("REGION_ID"))
-    cells = rows.select(F.split("value", "\t").alias("cells")).where(F.size("cells") >= 8)
+    cells = rows.where("value <> ''").select(F.split("value", "\t").alias("cells"))
+    short = F.raise_error(F.concat(F.lit("fewer than 8 columns: "), F.array_join("cells", " "))).cast("array<string>")
+    cells = cells.withColumn("cells", F.when(F.size("cells") >= 8, F.col("cells")).otherwise(short))
     end = lambda i: F.element_at("cells", i)
     out = cells.select(
         _cell(0).alias("id"), _cell(1).alias("chrom"), _number(2).alias("start"), _number(3).alias("end"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import loci
 from strandline.operators import ordering, sequences
+from strandline.operators.collections import explode_list, merged_names
 
 
 def _joined(columns: list, sep: str = "\t") -> Column:
@@ -94,14 +95,18 @@ def cls_lines(df: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def change_outputs(table: DataFrame, names: tuple[str, str], window: int = 100_000) -> dict[str, DataFrame]:
-    """GFF rows of gained and lost regions, plain and widened, and the BED lines of all three groups."""
+    """GFF rows of gained and lost regions, plain and widened, with their genes in the last column; the BED lines of all
+    three groups; the gene table, one line per gene and region."""
     first, second = names
     out = {}
+    listed = F.coalesce(merged_names("overlap_genes", "proximal_genes", "closest_gene"), F.lit(""))
+    table = table.withColumn("_genes", listed)
+    places = [*loci.gff_columns()[:-1], F.col("_genes").alias("attribute")]
     for status, label in ((second, "gained"), (first, "lost")):
         rows = table.where(F.col("status") == status).withColumn("strand", F.lit("."))
-        out[label] = rows.select(*loci.gff_columns())
+        out[label] = rows.select(*places)
         wide = rows.withColumns({"start": F.col("start") - window, "end": F.col("end") + window})
-        out[label + "_window"] = wide.select(*loci.gff_columns())
+        out[label + "_window"] = wide.select(*places)
     titles = {second: (f"{second} only", "255,0,0"), "CONSERVED": (f"{first} and {second}", "0,0,0"), first: (f"{first} only", "0,255,0")}
     parts = []
     for status, (title, color) in titles.items():
@@ -110,6 +115,11 @@ def change_outputs(table: DataFrame, names: tuple[str, str], window: int = 100_0
         parts += [header(table, f'track name="{title}" description="{title} regions" itemRGB=On color={color}'),
                   (rows, [F.col("enhancer_rank")])]
     out["bed"] = sections(*parts)
+    per_gene = explode_list(table, "_genes", ",", "gene").where("gene <> ''")
+    columns = ["gene", "id", "chrom", "start", "end", "log2_change", "scaled1", "scaled2", "status"]
+    titles = ["GENE", "ENHANCER_ID", "ENHANCER_CHROM", "ENHANCER_START", "ENHANCER_STOP", "LOG2_CHANGE", first, second, "STATUS"]
+    lines = per_gene.withColumn("value", _joined(columns))
+    out["genes"] = sections(header(table, "\t".join(titles)), (lines, [F.col("enhancer_rank"), F.col("gene")]))
     return out
 
 

@@ -123,7 +123,10 @@ def test_regions_that_do_not_count(spark, tmp_path):
 def test_long_names_and_other_extension(spark, tmp_path):
     path = write_gff(tmp_path / "r.txt", [region_row("chr1", "x" * 84, 1, 8), region_row("chr1", "y" * 64, 1, 8)])
     rows = count_regions(spark, tmp_path, path, fmt="gff")["region_counts"].collect()
-    assert {r["id"] for r in rows} == {"x" * 63, "y" * 63}
+    assert {r["id"] for r in rows} == {"x" * 84, "y" * 64}
+    sizes = spark.createDataFrame([("chr1", 50)], "chrom string, length long")
+    cut = readers.validated_regions(spark, path, sizes, fmt="gff", name_width=63)
+    assert {r["id"] for r in cut.collect()} == {"x" * 63, "y" * 63}
     with pytest.raises(ValueError):
         readers.validated_regions(spark, path, spark.createDataFrame([("chr1", 5)], "chrom string, length long"))
 
@@ -137,13 +140,15 @@ def test_chromosome_names(spark, tmp_path):
         assert r["count"] == 7 and r["density"] == pytest.approx(7 * (1 / 7) * (1 / (3 / 1e6)))
     sizes = spark.createDataFrame([("a" * 64, 50)], "chrom string, length long")
     with pytest.raises(Exception, match="too long"):
-        readers.check_chromosomes(sizes).collect()
+        readers.check_chromosomes(sizes, 63).collect()
 
 
 def test_cell_type_is_the_folder(spark, tmp_path):
     write_sam(tmp_path / "bam" / "top.sam", ["chr1"])
     write_sam(tmp_path / "bam" / "a_long_cell_type_name" / "deep.sam", ["chr1"])
     files = readers.discover(spark, str(tmp_path / "bam"))
+    assert {(r["file_name"], r["cell_type"]) for r in files.collect()} == {("top.sam", "-"), ("deep.sam", "a_long_cell_type_name")}
+    files = readers.discover(spark, str(tmp_path / "bam"), width=15)
     assert {(r["file_name"], r["cell_type"]) for r in files.collect()} == {("top.sam", "-"), ("deep.sam", "a_long_cell_typ")}
 
 

@@ -43,10 +43,12 @@ def test_line_numbers_over_splits(spark, tmp_path):
         df = readers.numbered_lines(spark, path)
         assert df.where(F.col("value") != F.concat(F.lit("line "), F.col("line_no").cast("string"))).count() == 0
         assert df.count() == 3000
-        fq = put(tmp_path / "r.fastq", "".join(f"@r{i}\nACGT{i}\n+\nIIII{i}\n" for i in range(500)) + "@cut\nAC\n")
+        fq = put(tmp_path / "r.fastq", "".join(f"@r{i}\nACGT{i}\n+\nIIII{i}\n" for i in range(500)) + "\n")
         records = readers.fastq(spark, fq)
         assert records.count() == 500
         assert records.where(F.regexp_extract("name", r"(\d+)", 1) != F.regexp_extract("qual", r"(\d+)", 1)).count() == 0
+        with pytest.raises(Exception, match="fewer than four lines"):
+            readers.fastq(spark, put(tmp_path / "cut.fastq", "@r\nACGT\n+\nIIII\n@cut\nAC\n")).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
@@ -146,9 +148,15 @@ def test_tracks_and_change_files(spark, tmp_path, ranked):
         'track name="S1_Enhancers" description="by S1\tx" itemRGB=On color=0,0,0', "c1\t10\t90\t2_a_lociStitched\t1",
         "c2\t5\t15\t1_b_lociStitched\t2", "", 'track name="Super_S1_Enhancers" description="Super by S1\tx" itemRGB=On color=255,0,0',
         "c1\t10\t90\t2_a_lociStitched\t1"]
-    table = ranked.withColumn("status", F.when(F.col("enhancer_rank") == 1, "B").otherwise("CONSERVED"))
+    table = ranked.withColumns({
+        "status": F.when(F.col("enhancer_rank") == 1, "B").otherwise("CONSERVED"), "overlap_genes": F.lit("G1,G2"),
+        "proximal_genes": F.lit(""), "closest_gene": F.lit("G2"), "log2_change": F.lit(1.5), "scaled1": F.lit(1.0), "scaled2": F.lit(3.0)})
     out = sinks.change_outputs(table, ("A", "B"), 100)
     assert out["gained_window"].select("start", "end").first() == (-90, 190) and out["lost"].count() == 0
+    assert set(out["gained"].first()["attribute"].split(",")) == {"G1", "G2"}
+    genes = [r["value"].split("\t") for r in out["genes"].collect()]
+    assert genes[0][:2] == ["GENE", "ENHANCER_ID"] and [g[0] for g in genes[1:]] == ["G1", "G2", "G1", "G2"]
+    assert genes[1][4:] == ["90", "1.5", "1.0", "3.0", "B"]
     bed = [r["value"].split("\t")[0] for r in out["bed"].collect()]
     assert bed[1] == "c1" and bed[3] == "c2" and len(bed) == 5
 

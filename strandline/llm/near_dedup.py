@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandline.llm.common import components, cut, row_key
 
@@ -28,8 +29,6 @@ BROADCAST_ROWS = 1_000_000
 #: Bands shared with another component below which a class isn't joined further; a pair at the threshold shares fewer
 #: with a probability of 2e-4.
 LEAST_OPEN = 2
-#: Counters that order the shingles of what bands leave open by rarity; any order is right, a rarer one is faster.
-COUNTERS = 1 << 16
 
 _rng = np.random.default_rng(20240601)
 _MULTIPLY = (_rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -130,32 +129,23 @@ def _likely_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(estimate)], ["a", "b", "estimate"]).filter(pa.array(estimate >= floor))
 
 
-def _rarity_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known, seen = WordHashes(), np.zeros(COUNTERS, np.int64)
+def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = WordHashes()
     for batch in batches:
-        for text in batch.column(1):
-            np.add.at(seen, (shingle_set(text.as_py(), known) % np.uint64(COUNTERS)).astype(np.int64), 1)
-    held = np.flatnonzero(seen)
-    yield pa.record_batch([pa.array(held), pa.array(seen[held])], ["slot", "n"])
-
-
-def _prefix_batches(rarity):
-    """The rarest shingles of each set, one more than may be missing from the smallest intersection that links."""
+        for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            x = shingle_set(text.as_py(), known)
+            yield pa.record_batch([pa.array(x.view(np.int64)), pa.array(np.full(len(x), i))], ["token", "id"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in batches:
-            ids, tokens, places = [], [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                x = shingle_set(text.as_py(), known)
-                x = x[np.lexsort((x, rarity.value[(x % np.uint64(COUNTERS)).astype(np.int64)]))]
-                x = x[: len(x) - -(-len(x) * PERCENT // 100) + 1]
-                ids.append(np.full(len(x), i))
-                tokens.append(x.view(np.int64))
-                places.append(np.arange(len(x)))
-            yield pa.record_batch([pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in (tokens, ids, places)], ["token", "id", "place"])
 
-    return run
+def prefixes(tokens: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of tokens (token, id), in the order of their counts, the first of each set: one more than may be missing from the
+    smallest intersection that links. Tokens that one set alone holds come first and meet nothing, so only the others are
+    placed behind them. `sets` has id and the size n."""
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    of = Window.partitionBy("id")
+    shared = tokens.join(counts, "token").withColumns({"_r": F.row_number().over(of.orderBy("holders", "token")), "_m": F.count(F.lit(1)).over(of)})
+    placed = shared.join(sets, "id").withColumn("place", F.col("n") - F.col("_m") + F.col("_r") - 1)
+    return placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100)).drop("_r", "_m", "holders")
 
 
 def _linked_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,12 +224,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     placed = placed.join(several.select("band"), "band").groupBy("id", "n", "comp").agg(F.count(F.lit(1)).alias("open"))
     rest = cut(placed.where(F.col("open") >= LEAST_OPEN).select("id", "n", "comp"))
     open_texts = texts.join(rest.select("id"), "id", "left_semi")
-    rarity = np.zeros(COUNTERS, np.int64)
-    counted = open_texts.mapInArrow(_rarity_batches, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # COUNTERS rows at most
-    rarity[counted["slot"].to_numpy()] = counted["n"].to_numpy()
-    shared_rarity = docs.sparkSession.sparkContext.broadcast(rarity)
-    prefixes = open_texts.mapInArrow(_prefix_batches(shared_rarity), "token long, id long, place long").join(rest, "id")
-    x, y = (prefixes.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "place", "n", "comp")]).alias(s) for s in "ab")
+    placed = prefixes(open_texts.mapInArrow(_token_batches, "token long, id long"), rest)
+    x, y = (placed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "place", "n", "comp")]).alias(s) for s in "ab")
     room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT
     meet = (F.col("a.token") == F.col("b.token")) & (F.col("id_a") < F.col("id_b")) & (F.col("comp_a") != F.col("comp_b")) & room
     more = verified(x.join(y, meet).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())

@@ -127,6 +127,21 @@ def test_joint_estimate():
         assert abs(got - share) < 0.15
 
 
+def test_linked_sets_meet_in_their_prefixes(spark):
+    rng = np.random.default_rng(4)
+    base = [set(rng.integers(0, 400, n).tolist()) for n in (1, 8, 30, 60)]
+    sets = [{int(rng.integers(400, 9000)) if rng.random() < share else x for x in one} | {7} for one in base for share in (0, 0.05, 0.1, 0.15, 0.3) for _ in range(5)]
+    tokens = spark.createDataFrame([(t, i) for i, one in enumerate(sets) for t in one], "token long, id long")
+    sizes = spark.createDataFrame([(i, len(one)) for i, one in enumerate(sets)], "id long, n long")
+    placed = near_dedup.prefixes(tokens, sizes).collect()
+    heads = [{r["token"] for r in placed if r["id"] == i} for i in range(len(sets))]
+    holders = {t: sum(t in one for one in sets) for one in sets for t in one}
+    for i, one in enumerate(sets):
+        order = sorted(one, key=lambda t: (holders[t], t))
+        assert heads[i] == {t for t in order[: len(one) - -(-len(one) * 75 // 100) + 1] if holders[t] > 1}
+        assert all(heads[i] & heads[k] for k in range(i) if 100 * len(one & sets[k]) >= 75 * len(one | sets[k]))
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(2000, 2000 + i) for i in range(1, 50)]

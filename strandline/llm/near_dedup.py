@@ -27,7 +27,7 @@ ERRORS = 4.0
 #: Rows of three numbers that may be broadcast.
 BROADCAST_ROWS = 1_000_000
 #: Bands shared with another component below which a class isn't joined further; a pair at the threshold shares fewer
-#: with a probability of 2e-4.
+#: with a probability of 8e-5.
 LEAST_OPEN = 2
 
 _rng = np.random.default_rng(20240601)

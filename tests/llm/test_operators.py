@@ -227,6 +227,41 @@ def test_chain_by_hand():
         assert all(x[0] + x[2] <= y[0] and x[1] + x[2] <= y[1] for x, y in zip(first, first[1:], strict=False))
 
 
+def _random_words(seed):
+    rng = random.Random(seed)
+    return lambda n=1: ["".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(n)]
+
+
+def test_passage_whose_halves_others_hold(spark):
+    """The seeds of either half have other first and last holders than the whole; the whole and its fuzzy copy are found."""
+    word = _random_words(4)
+    s1, s2 = word(30), word(30)
+    fuzzy = [*s1, *s2]
+    for i in (9, 19, 29, 39, 49):
+        fuzzy[i] = word()[0]
+    parts = {1: s1, 2: s2, 3: s1 + s2, 4: s1, 5: s2, 6: s1 + s2, 7: s1, 8: s2, 9: fuzzy}
+    rows = [(i, " ".join(word(40) + p + word(40))) for i, p in parts.items()]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["start"], r["end"]) for r in found if r["other_id"] == 3} == {(6, 40, 100), (9, 40, 100)}
+    assert {r["doc_id"] for r in found} == {6, 9}
+
+
+def test_hot_lines_and_copies_lose_no_passage(spark, monkeypatch):
+    """A line held by many, which names no pairs, between the halves of a passage whose rare seeds span too little."""
+    monkeypatch.setattr(substring, "HOT", 8)
+    word = _random_words(6)
+    line, head, tail = word(9), word(26), word(26)
+    for i in (*range(0, 20, 4), 23, *range(3, 26, 4)):
+        (head if i < 24 else tail)[i] = head[i]
+    passage = [*head, *line, *tail]
+    rows = [(i, " ".join(word(30) + line + word(30))) for i in range(40)]
+    copy = " ".join(word(90))
+    rows += [(100 + i, copy) for i in range(40)]
+    rows += [(200, " ".join(word(30) + passage + word(30))), (201, " ".join(word(30) + passage + word(30)))]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["other_id"]) for r in found) == [*((100 + i, 100) for i in range(1, 40)), (201, 200)]
+
+
 @pytest.mark.parametrize("which", ["docs", "hard", "empty"])
 def test_sharding(request, which):
     frame = request.getfixturevalue(which)

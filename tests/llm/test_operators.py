@@ -246,6 +246,24 @@ def test_passage_whose_halves_others_hold(spark):
     assert {r["doc_id"] for r in found} == {6, 9}
 
 
+def test_recall_over_lengths_and_identities(spark):
+    """Passages with every n-th word changed, each in a pair of documents of its own."""
+    word, rows, cases = _random_words(5), [], []
+    for length in (50, 80, 200):
+        for every in (6, 7, 8, 10, 12, 25):
+            for shift in range(4):
+                passage = word(length)
+                changed = [word()[0] if i % every == every - 1 - shift and i < length - 1 else w for i, w in enumerate(passage)]
+                cases.append((length, every))
+                rows += [(2 * len(cases) + k, " ".join(word(35) + p + word(35))) for k, p in enumerate((passage, changed))]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    have = defaultdict(set)
+    for r in found:
+        assert r["doc_id"] == r["other_id"] + 1 and r["identity"] >= 0.75
+        have[r["doc_id"] // 2 - 1].update(range(r["start"], r["end"]))
+    assert [] == [(case, len(have[k])) for k, case in enumerate(cases) if len(have[k]) < 0.95 * case[0]]
+
+
 def test_hot_lines_and_copies_lose_no_passage(spark, monkeypatch):
     """A line held by many, which names no pairs, between the halves of a passage whose rare seeds span too little."""
     monkeypatch.setattr(substring, "HOT", 8)

@@ -280,6 +280,23 @@ def test_hot_lines_and_copies_lose_no_passage(spark, monkeypatch):
     assert sorted((r["doc_id"], r["other_id"]) for r in found) == [*((100 + i, 100) for i in range(1, 40)), (201, 200)]
 
 
+def test_chains_have_the_best_score():
+    """Against all predecessors, with heavy segments further away than GAP; then the passage such a segment hid."""
+    rng = random.Random(3)
+    for _ in range(300):
+        size = lambda: rng.choice((5, 6, 8, 30, 200))
+        parts = sorted({(rng.randrange(400), rng.randrange(400), size()) for _ in range(rng.randrange(1, 30))})
+        best = []
+        for p, q, n in parts:
+            gaps = [(p - a - m, q - b - m, s) for (a, b, m), s in zip(parts, best, strict=False)]
+            best.append(max([float(n)] + [n + s - substring.GAP_COST * (x + y) for x, y, s in gaps if 0 <= x <= substring.GAP and 0 <= y <= substring.GAP]))
+        got = substring.chains(parts)
+        first = got[0]
+        score = sum(n for _, _, n in first) - substring.GAP_COST * sum(y[0] - x[0] - x[2] + y[1] - x[1] - x[2] for x, y in zip(first, first[1:], strict=False))
+        assert abs(score - max(best)) < 1e-9 and sorted(x for c in got for x in c) == parts
+    assert [(0, 0, 200)] in (got := substring.chains([(0, 0, 200), (300, 300, 30), (330, 331, 30)])) and [(300, 300, 30), (330, 331, 30)] in got
+
+
 @pytest.mark.parametrize("which", ["docs", "hard", "empty"])
 def test_sharding(request, which):
     frame = request.getfixturevalue(which)

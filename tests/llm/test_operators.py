@@ -420,6 +420,25 @@ def test_neighbours_hard_rows(spark):
         assert [(r["query_id"], r["vec_id"]) for r in got] == ([(0, 7)] if len(few) == 2 else [])
 
 
+def test_neighbours_of_a_narrow_cluster(spark, monkeypatch):
+    """A third of the rows in one cluster that planes don't part, dealt into many blocks as those of a large table are."""
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    monkeypatch.setattr(neighbours, "PARTINGS", 2)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3600, 64))
+    x[::3] = 3.4 * rng.normal(size=64) + x[::3]
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    nodes, member_of = neighbours.vectors_of(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
+    node_of = {r["vec_id"]: r["node"] for r in member_of.collect()}
+    blocks = {r["node"]: set(r["ids"]) for r in neighbours.build(nodes).select("node", "ids").collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 1200, 12):
+        best = np.argsort(-(x @ x[q]))[1 : neighbours.DEGREE + 1]
+        hit += len({node_of[i] for i in best.tolist()} & blocks[node_of[q]])
+    assert hit >= 0.9 * 100 * neighbours.DEGREE
+
+
 def test_chat_round_trip():
     rng = random.Random(9)
     bits = [*chat.CONTROLS, "\\", "[", "<", "/", "INST]", "SYS>>", "s>", "a", "\n", "é"]

@@ -26,9 +26,6 @@ PERCENT = 75
 ERRORS = 4.0
 #: Rows of three numbers that may be broadcast.
 BROADCAST_ROWS = 1_000_000
-#: Bands shared with another component below which a class isn't joined further; a pair at the threshold shares fewer
-#: with a probability of 8e-5.
-LEAST_OPEN = 2
 
 _rng = np.random.default_rng(20240601)
 _MULTIPLY = (_rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -221,8 +218,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     roots = components(links)
     placed = labelled(members, roots, "id", "comp")
     several = placed.groupBy("band").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
-    placed = placed.join(several.select("band"), "band").groupBy("id", "n", "comp").agg(F.count(F.lit(1)).alias("open"))
-    rest = cut(placed.where(F.col("open") >= LEAST_OPEN).select("id", "n", "comp"))
+    rest = cut(placed.join(several.select("band"), "band").select("id", "n", "comp").distinct())
     open_texts = texts.join(rest.select("id"), "id", "left_semi")
     placed = prefixes(open_texts.mapInArrow(_token_batches, "token long, id long"), rest)
     x, y = (placed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "place", "n", "comp")]).alias(s) for s in "ab")

@@ -115,6 +115,20 @@ def test_components_that_only_the_exact_join_ties(spark, monkeypatch):
     assert sorted((False, r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == linked(rows)
 
 
+def test_links_of_a_single_band(spark, monkeypatch):
+    """Classes that share one band only are joined exactly too."""
+    word = _random_words(7)
+    texts = []
+    for _ in range(4):
+        stem = word(100)
+        texts += [" ".join(stem[:k] + word() + stem[k + 1 :]) for k in range(3)]
+    monkeypatch.setattr(near_dedup, "_likely_batches", lambda batches: iter([b for b in batches][:0]))
+    monkeypatch.setattr(near_dedup, "bands", lambda registers: F.array(F.xxhash64(F.length(registers))))
+    rows = list(enumerate(texts))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((False, r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == linked(rows)
+
+
 def test_joint_estimate():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.75, 0.9):

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, chat, decontaminate, language, licences, near_dedup, neighbours, sharding, substring, toxicity
+from strandline.llm import bpe, chat, decontaminate, exact_dedup, hard_negatives, language, licences, near_dedup, neighbours, resampling, sharding, substring, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 SHARDS = 40
@@ -109,6 +109,20 @@ def licences_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def resampling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": near_dedup_query,
     "op2_substring_dedup": substring_query,
@@ -120,6 +134,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontaminate_query,
     "op9_toxicity": toxicity_query,
     "op10_licence_scan": licences_query,
+    "op11_exact_dedup": exact_dedup_query,
+    "op12_hard_negatives": hard_negatives_query,
+    "op13_importance_resampling": resampling_query,
 }
 
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -158,4 +175,36 @@ ORACLE_SQL: dict[str, str] = {
         SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
         FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op11_exact_dedup": r"""
+        WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS x FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER (PARTITION BY x ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
+               doc_id = first_value(doc_id) OVER (PARTITION BY x ORDER BY n DESC, doc_id) AS kept, sha256(x) AS text_sha256
+        FROM t""",
+    "op12_hard_negatives": """
+        WITH q AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+              FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score FROM p JOIN s USING (anchor_id)
+              WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+        SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id))::INTEGER AS rank,
+               negative_id, positive_score, negative_score FROM n QUALIFY rank <= 5""",
+    "op13_importance_resampling": f"""
+        WITH byte AS (SELECT list(c ORDER BY i) AS c FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, _: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+        w AS (SELECT doc_id, unnest({_SPLIT}) AS w FROM documents), v AS (SELECT unnest({_SPLIT}) AS w FROM benchmark),
+        h AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM w UNION SELECT w FROM v)),
+        k AS (SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+                     lambda a, b: xor(a >> 8, byte.c[(xor(a, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM h, byte),
+        s AS (SELECT bucket, count(*) AS s FROM w JOIN k USING (w) GROUP BY bucket), t AS (SELECT bucket, count(*) AS t FROM v JOIN k USING (w) GROUP BY bucket),
+        g AS (SELECT k.bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+                     / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+              FROM (SELECT DISTINCT bucket FROM k) k LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+        d AS (SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS total FROM w JOIN k USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+        e AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce((total - ((total % n) + n) % n) // n, 0)::BIGINT AS weight,
+                     ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h FROM documents LEFT JOIN d USING (doc_id)),
+        f AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5)::DOUBLE / 4294967296::DOUBLE)))::BIGINT AS score FROM e),
+        r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM f WHERE n_features >= 20)
+        SELECT f.doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) * 10 // 100 FROM r) THEN rank END AS rank FROM f LEFT JOIN r ON r.doc_id = f.doc_id""",
 }

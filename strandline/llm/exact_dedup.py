@@ -33,10 +33,10 @@ def _keys(block: Column, seed: int) -> Column:
 
 
 def named(things: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct rows of `columns` with their integer `name`: names rise in the sorted order of the rows. Equal rows are
-    merged in the tasks that read them, so common ones cost no more than others in the range shuffle."""
-    ranged = things.select(*columns).distinct().repartitionByRange(*columns).sortWithinPartitions(*columns)
-    return ranged.withColumn("name", F.monotonically_increasing_id())
+    """Distinct rows of `columns` with their integer `name`: the partition and the place in its sorted order. Equal rows
+    are merged in the tasks that read them, so common ones cost no more than others in the shuffle; the order makes a
+    task that runs again give the same names."""
+    return things.select(*columns).distinct().sortWithinPartitions(*columns).withColumn("name", F.monotonically_increasing_id())
 
 
 def identities(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
@@ -80,6 +80,7 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     Columns: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = cut(identities(docs, doc_id, text, block))
     order = F.struct((-F.col("n_chars")).alias("chars"), F.col("doc_id").isNull().alias("none"), "doc_id", "ref")
-    classes = rows.groupBy("n_bytes", "name").agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("best"))
+    # written, so that the join below has plain shuffles on either side and a large class is split
+    classes = cut(rows.groupBy("n_bytes", "name").agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("best")))
     return rows.join(classes, ["n_bytes", "name"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("ref") == F.col("best.ref")).alias("kept"), "text_sha256")

@@ -59,10 +59,17 @@ def test_exact_names_of_permuted_blocks(spark):
     assert all(len(x) == 1 for x in by_name.values()) and len(by_name) == len(set(texts))
 
 
-def test_names_rise_in_sorted_order(spark):
-    things = spark.createDataFrame([(b,) for b in [b"b", b"a", b"", b"b", b"\xff", b"ab"]], "block binary")
-    names = sorted((r["name"], bytes(r["block"])) for r in exact_dedup.named(things, ["block"]).collect())
-    assert [b for _, b in names] == [b"", b"a", b"ab", b"b", b"\xff"]
+def test_names_follow_the_sorted_order(spark):
+    """Whatever the order of arrival, equal rows share a name, others don't, and a partition's names rise with its rows."""
+    things = [bytes([k % 7, k % 5]) for k in range(200)]
+    for seed in range(2):
+        frame = spark.createDataFrame([(t,) for t in random.Random(seed).sample(things, 200)], "block binary").repartition(3)
+        names = sorted((r["name"], bytes(r["block"])) for r in exact_dedup.named(frame, ["block"]).collect())
+        assert sorted(b for _, b in names) == sorted(set(things)) and len({n for n, _ in names}) == len(names)
+        parts = defaultdict(list)
+        for n, b in names:
+            parts[n >> 33].append(b)
+        assert all(x == sorted(x) for x in parts.values())
 
 
 def test_exact_duplicates_of_nothing(spark, hard):

@@ -14,8 +14,7 @@ from strandline.operators import ordering
 from strandline.operators.collections import explode_list, merged_names
 
 
-def delta_table(region_map: DataFrame, first: str, second: str, median1, median2, *,
-                small: bool | None = None) -> DataFrame:
+def delta_table(region_map: DataFrame, first: str, second: str, median1, median2) -> DataFrame:
     """log2 change of ``second`` over ``first`` after scaling by medians, highest change first."""
     lit = lambda v: F.lit(float(v)) if isinstance(v, (int, float)) else v
     m1, m2 = lit(median1), lit(median2)
@@ -25,7 +24,7 @@ def delta_table(region_map: DataFrame, first: str, second: str, median1, median2
          "scaled2": F.greatest(F.col(second), F.lit(1.0)) / m2,
          "is_super": F.lit(1)})
     order = [F.desc("log2_change"), F.asc("chrom"), F.asc("start"), F.asc("end"), F.asc("id")]
-    return ordering.row_numbers(out, [], order, "rank", small=small)
+    return ordering.row_numbers(out, [], order, "rank")
 
 
 def gained_lost(table: DataFrame, cutoff: float = 1.0, names: tuple[str, str] = ("LOST", "GAINED")) -> DataFrame:
@@ -62,9 +61,9 @@ def region_clusters(matrix: DataFrame, samples: list[str], k: int = 10, seed: in
     return out.withColumn("cluster", F.col("cluster") + 1).unionByName(shapeless)
 
 
-def cluster_exemplars(clustered: DataFrame, samples: list[str], *, small: bool | None = None) -> DataFrame:
+def cluster_exemplars(clustered: DataFrame, samples: list[str]) -> DataFrame:
     """Median profile of every cluster."""
     long = clustered.select("cluster", *samples).unpivot(["cluster"], samples, "sample", "value")
-    medians = ordering.median(long, ["cluster", "sample"], "value", "median", small=small)
+    medians = ordering.median(long, ["cluster", "sample"], "value", "median")
     return medians.groupBy("cluster").agg(*[
         F.max(F.when(F.col("sample") == s, F.col("median"))).alias(s) for s in samples])

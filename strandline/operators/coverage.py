@@ -17,12 +17,10 @@ from strandline.functions import reads as rd
 from strandline.functions.signal import density
 from strandline.operators import ordering
 from strandline.operators.overlaps import overlap_join
-from strandline.operators.skew import is_small, salted_join, small_limit
 
 # fixed values: name fragments of chromosomes left out of bin counting
 BIN_BLACKLIST = ["chrUn", "_random", "Zv9_", "_hap"]
 HIGH, LOW = 95, 5
-GENOME_BASES = 4_000_000_000  # no genome in use here is longer
 
 
 def drop_blacklisted(df: DataFrame, fragments: list[str] = BIN_BLACKLIST) -> DataFrame:
@@ -43,23 +41,28 @@ def file_index_stats(reads: DataFrame, chrom_sizes: DataFrame) -> DataFrame:
     return counts.join(chrom_sizes.select("chrom", "length"), "chrom")
 
 
-def bin_counts(reads: DataFrame, file_chroms: DataFrame, bin_size: int, *, extension: int = 0,
-               strand: str = ".", blacklist: list[str] = BIN_BLACKLIST) -> DataFrame:
-    """Covered bases per (file_key, cell_type, chrom, bin_number), empty bins included.
+def with_zeros(hits: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of ``hits`` per key of ``known``, 0 where there are none. Known keys join as zero rows of the same
+    aggregate, so hits are summed before the one shuffle."""
+    zeros = known.select(*keys, F.lit(0).cast("long").alias("count"), F.lit(True).alias("_known"))
+    rows = hits.select(*keys, "count", F.lit(False).alias("_known")).unionByName(zeros)
+    return rows.groupBy(*keys).agg(F.sum("count").alias("count"), F.max("_known").alias("_known")).where("_known").drop("_known")
 
-    A read counts for the bins its alignment touches; extension only changes
-    how many bases it adds there. Reads become partial sums per bin before the
-    one shuffle, and empty bins join in as zero rows instead of through a join.
-    """
+
+def empty_bins(file_chroms: DataFrame, bin_size: int, blacklist: list[str] = BIN_BLACKLIST) -> DataFrame:
+    """Every bin of every file: (file_key, cell_type, chrom, bin_number)."""
+    last = F.ceil(F.col("length") / bin_size).cast("int") - 1
+    return drop_blacklisted(file_chroms, blacklist).where("length > 0").select(
+        "file_key", "cell_type", "chrom", F.explode(F.sequence(F.lit(0), last)).alias("bin_number"))
+
+
+def bin_hits(reads: DataFrame, bin_size: int, *, extension: int = 0, strand: str = ".",
+             blacklist: list[str] = BIN_BLACKLIST) -> DataFrame:
+    """Bases each read adds to each bin its alignment touches; works on streams and on tables."""
     if bin_size < 1:
         raise ValueError("bin size must be at least 1")
     if strand != ".":
         reads = reads.where(F.col("strand") == strand)
-    bins = drop_blacklisted(file_chroms, blacklist).select(
-        "file_key", "cell_type", "chrom",
-        F.explode(F.sequence(F.lit(0), F.ceil(F.col("length") / bin_size).cast("int") - 1))
-        .alias("bin_number"))
-    zeros = bins.withColumns({"count": F.lit(0).cast("long"), "_bin": F.lit(True)})
     size = F.lit(bin_size)
     first = F.floor(F.col("start") / size).cast("int")
     last_base = "end" if extension else "end - 1"
@@ -70,14 +73,18 @@ def bin_counts(reads: DataFrame, file_chroms: DataFrame, bin_size: int, *, exten
              F.explode(F.sequence(first, last)).alias("bin_number"))
     low = F.col("bin_number").cast("long") * size
     bases = F.least(F.col("ext_end"), low + size) - F.greatest(F.col("ext_start"), low)
-    added = touched.select("file_key", "cell_type", "chrom", "bin_number",
-                           F.greatest(bases, F.lit(0)).alias("count"), F.lit(False).alias("_bin"))
-    return (
-        added.unionByName(zeros)
-        .groupBy("file_key", "cell_type", "chrom", "bin_number")
-        .agg(F.sum("count").alias("count"), F.max("_bin").alias("_bin"))
-        .where("_bin").drop("_bin")
-    )
+    return touched.select("file_key", "cell_type", "chrom", "bin_number", F.greatest(bases, F.lit(0)).alias("count"))
+
+
+def bin_counts(reads: DataFrame, file_chroms: DataFrame, bin_size: int, *, extension: int = 0,
+               strand: str = ".", blacklist: list[str] = BIN_BLACKLIST) -> DataFrame:
+    """Covered bases per (file_key, cell_type, chrom, bin_number), empty bins included.
+
+    A read counts for the bins its alignment touches; extension only changes
+    how many bases it adds there.
+    """
+    hits = bin_hits(reads, bin_size, extension=extension, strand=strand, blacklist=blacklist)
+    return with_zeros(hits, empty_bins(file_chroms, bin_size, blacklist), ["file_key", "cell_type", "chrom", "bin_number"])
 
 
 def normalised_bins(counts: DataFrame, files: DataFrame, bin_size: int) -> DataFrame:
@@ -87,41 +94,30 @@ def normalised_bins(counts: DataFrame, files: DataFrame, bin_size: int) -> DataF
     return with_total.withColumn("value", F.col("count") * factor).drop("mapped")
 
 
-def _bins_are_few(df: DataFrame, bin_size: int) -> bool:
-    """Whether the bins of one file can be ordered in one task: small input, and few bins per genome."""
-    return is_small(df) and GENOME_BASES / bin_size * 32 <= small_limit(df)
-
-
-def bin_percentiles(counts: DataFrame, files: DataFrame, bin_size: int, *,
-                    small: bool | None = None) -> DataFrame:
+def bin_percentiles(counts: DataFrame, files: DataFrame, bin_size: int) -> DataFrame:
     """Normalised bins with their percentile among all bins of the file.
 
     Within a file the factor is one constant, so ranking the whole-number
     counts gives the ranks of the normalised values.
     """
-    if small is None:
-        small = _bins_are_few(counts, bin_size)
-    ranked = ordering.percentile(counts, ["cell_type", "file_key"], "count", "percentile", small=small)
+    ranked = ordering.percentile(counts, ["cell_type", "file_key"], "count", "percentile")
     return normalised_bins(ranked, files, bin_size).select(
         "bin_number", "cell_type", "chrom", "file_key", "value", "percentile")
 
 
-def cell_type_averages(normalised: DataFrame, files: DataFrame, bin_size: int, *,
-                       small: bool | None = None) -> DataFrame:
+def cell_type_averages(normalised: DataFrame, files: DataFrame, bin_size: int) -> DataFrame:
     """Mean over the files of a cell type (file_key 0) with its own percentile.
 
     Ranks compare the means to 12 significant digits, so equal bins tie
     whatever order their files were added in.
     """
-    if small is None:
-        small = _bins_are_few(normalised, bin_size)
     n_files = files.groupBy("cell_type").agg(F.count_distinct("file_key").alias("_files"))
     sums = normalised.groupBy("cell_type", "chrom", "bin_number").agg(F.sum("value").alias("_sum"))
     means = sums.join(n_files, "cell_type").select(
         "bin_number", "cell_type", "chrom", F.lit(0).alias("file_key"),
         (F.col("_sum") / F.col("_files")).alias("value"))
     means = means.withColumn("_digits", F.format_string("%.11e", "value").cast("double"))
-    ranked = ordering.percentile(means, ["cell_type"], "_digits", "percentile", small=small)
+    ranked = ordering.percentile(means, ["cell_type"], "_digits", "percentile")
     return ranked.select("bin_number", "cell_type", "chrom", "file_key", "value", "percentile")
 
 
@@ -173,7 +169,7 @@ def append_new_files(known: DataFrame, candidates: DataFrame, name: str = "file_
 def regions_by_file(regions: DataFrame, file_chroms: DataFrame) -> DataFrame:
     """Each region once per file that has its chromosome, if it ends within it."""
     sized = file_chroms.select("chrom", "file_key", "cell_type", "length")
-    return salted_join(regions, sized, ["chrom"]).where(F.col("end") <= F.col("length")).drop("length")
+    return regions.join(sized, "chrom").where(F.col("end") <= F.col("length")).drop("length")
 
 
 def fetched(reads: DataFrame, regions: DataFrame, mode: str = ".", **kwargs) -> DataFrame:
@@ -190,26 +186,25 @@ def fetched(reads: DataFrame, regions: DataFrame, mode: str = ".", **kwargs) ->
     return pairs.where(rd.on_strand(mode, "b_strand"))
 
 
+def region_hits(reads: DataFrame, regions: DataFrame, *, extension: int = 0, mode: str = ".") -> DataFrame:
+    """Bases each read adds to each region: (file_key, id, locus, count)."""
+    region_cols = ["id", *loci.LOCUS_KEY]
+    pairs = fetched(reads.select("file_key", "chrom", "start", "end", "strand"), regions.select(*region_cols), mode)
+    pairs = pairs.withColumns(rd.extended(extension))
+    bases = F.least("ext_end", "b_end") - F.greatest("ext_start", "b_start")
+    return pairs.select("file_key", *[F.col("b_" + c).alias(c) for c in region_cols],
+                        F.greatest(bases, F.lit(0)).alias("count"))
+
+
 def region_counts(reads: DataFrame, regions: DataFrame, file_chroms: DataFrame, *,
-                  extension: int = 0, mode: str = ".", salt: bool | None = None) -> DataFrame:
+                  extension: int = 0, mode: str = ".") -> DataFrame:
     """Covered bases per (file, region), zero rows included.
 
     Pairs are summed in the task that joins them; only partial sums travel.
     """
-    region_cols = ["id", *loci.LOCUS_KEY]
-    pairs = fetched(reads.select("file_key", "chrom", "start", "end", "strand"),
-                    regions.select(*region_cols), mode, salt=salt)
-    pairs = pairs.withColumns(rd.extended(extension))
-    bases = F.least("ext_end", "b_end") - F.greatest("ext_start", "b_start")
-    hits = pairs.select("file_key", *[F.col("b_" + c).alias(c) for c in region_cols],
-                        F.greatest(bases, F.lit(0)).alias("count"), F.lit(False).alias("_known"))
-    zeros = regions_by_file(regions.select(*region_cols), file_chroms).select(
-        "file_key", *region_cols, F.lit(0).cast("long").alias("count"), F.lit(True).alias("_known"))
-    return (
-        hits.unionByName(zeros).groupBy("file_key", *region_cols)
-        .agg(F.sum("count").alias("count"), F.max("_known").alias("_known"))
-        .where("_known").drop("_known")
-    )
+    keys = ["file_key", "id", *loci.LOCUS_KEY]
+    zeros = regions_by_file(regions.select(*keys[1:]), file_chroms).select(*keys)
+    return with_zeros(region_hits(reads, regions, extension=extension, mode=mode), zeros, keys)
 
 
 def region_densities(counts: DataFrame, files: DataFrame) -> DataFrame:
@@ -226,7 +221,7 @@ def region_matrix(densities: DataFrame, file_names: dict[int, str]) -> DataFrame
 
 
 def piece_counts(reads: DataFrame, regions: DataFrame, pieces, *, extension: int = 0,
-                 mode: str = ".", by: list[str] = (), salt: bool | None = None) -> DataFrame:
+                 mode: str = ".", by: list[str] = ()) -> DataFrame:
     """Covered bases per region piece, only pieces with reads.
 
     ``pieces`` is a number or a column of ``regions``; a piece is
@@ -235,7 +230,7 @@ def piece_counts(reads: DataFrame, regions: DataFrame, pieces, *, extension: int
     n = F.lit(pieces) if isinstance(pieces, int) else pieces
     region_cols = ["id", *loci.LOCUS_KEY, "n_pieces"]
     sized = regions.withColumn("n_pieces", n.cast("int")).select(*region_cols)
-    pairs = fetched(reads.select(*by, "chrom", "start", "end", "strand"), sized, mode, salt=salt)
+    pairs = fetched(reads.select(*by, "chrom", "start", "end", "strand"), sized, mode)
     pairs = pairs.withColumns(rd.extended(extension)).withColumn(
         "_width", F.floor((F.col("b_end") - F.col("b_start")) / F.col("b_n_pieces")))
     pairs = pairs.where("_width > 0")
@@ -260,7 +255,7 @@ def all_pieces(regions: DataFrame, pieces, by_file: DataFrame | None = None) ->
 
 def piece_densities(reads: DataFrame, regions: DataFrame, files: DataFrame, file_chroms: DataFrame, *,
                     n_bins: int | None = None, bin_size: int | None = None, extension: int = 0,
-                    mode: str = ".", salt: bool | None = None) -> DataFrame:
+                    mode: str = ".") -> DataFrame:
     """Density per region bin and file, bins counted from the 5' end of the region.
 
     ``n_bins`` cuts every region into that many bins (NULL when it is shorter),
@@ -277,8 +272,7 @@ def piece_densities(reads: DataFrame, regions: DataFrame, files: DataFrame, file
     every = all_pieces(regions.select(*region_cols), pieces, file_chroms).select(
         "file_key", *region_cols, "n_pieces", "piece", F.lit(0).cast("long").alias("count"),
         F.lit(True).alias("_known"))
-    counted = piece_counts(reads, regions, pieces, extension=extension, mode=mode, by=["file_key"],
-                           salt=salt)
+    counted = piece_counts(reads, regions, pieces, extension=extension, mode=mode, by=["file_key"])
     keys = ["file_key", *region_cols, "n_pieces", "piece"]
     sums = counted.withColumn("_known", F.lit(False)).unionByName(every).groupBy(*keys).agg(
         F.sum("count").alias("count"), F.max("_known").alias("_known")).where("_known")
@@ -296,11 +290,11 @@ def density_arrays(densities: DataFrame, name: str = "densities") -> DataFrame:
         F.transform(cells, lambda c: c["density"]).alias(name))
 
 
-def region_read_counts(reads: DataFrame, regions: DataFrame, *, salt: bool | None = None) -> DataFrame:
+def region_read_counts(reads: DataFrame, regions: DataFrame) -> DataFrame:
     """Reads without junctions per region: total, on its strand and on the other one."""
     key = ["id", *loci.LOCUS_KEY]
     plain = rd.without_junctions(reads).select("chrom", "start", "end", "strand")
-    pairs = fetched(plain, regions.select(*key), salt=salt)
+    pairs = fetched(plain, regions.select(*key))
     own = F.col("b_strand")
     hits = pairs.select(
         *[F.col("b_" + c).alias(c) for c in key], F.lit(1).alias("_n"),
@@ -311,10 +305,10 @@ def region_read_counts(reads: DataFrame, regions: DataFrame, *, salt: bool | Non
         (F.sum("_n") - F.sum("_sense")).alias("antisense"))
 
 
-def region_starts(reads: DataFrame, regions: DataFrame, *, salt: bool | None = None) -> DataFrame:
+def region_starts(reads: DataFrame, regions: DataFrame) -> DataFrame:
     """Start positions (1-based) per region and strand with how often they occur."""
     plain = rd.without_junctions(reads).select("chrom", "start", "end", "strand")
-    pairs = fetched(plain, regions.select("id", *loci.LOCUS_KEY), salt=salt)
+    pairs = fetched(plain, regions.select("id", *loci.LOCUS_KEY))
     return pairs.groupBy(F.col("b_id").alias("id"), "strand", (F.col("start") + 1).alias("read_start")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -328,19 +322,16 @@ def starts_text(starts: DataFrame) -> DataFrame:
         F.concat(F.lit("+:"), strip(text("+")), F.lit(";-:"), strip(text("-"))).alias("starts"))
 
 
-def unique_reads(reads: DataFrame, regions: DataFrame, mode: str = ".", order: list = ("start",), *,
-                 salt: bool | None = None) -> DataFrame:
+def unique_reads(reads: DataFrame, regions: DataFrame, mode: str = ".", order: list = ("start",)) -> DataFrame:
     """First read of every sequence in a region; the strand test comes afterwards."""
     cols = list(dict.fromkeys(["chrom", "start", "end", "strand", "seq", *order]))
-    pairs = fetched(rd.without_junctions(reads).select(*cols), regions.select("id", *loci.LOCUS_KEY),
-                    salt=salt)
+    pairs = fetched(rd.without_junctions(reads).select(*cols), regions.select("id", *loci.LOCUS_KEY))
     first = ordering.keep_first(pairs, ["b_id", "seq"], [F.col(c) for c in order])
     kept = first.where(rd.on_strand(mode, "b_strand"))
     return kept.select(F.col("b_id").alias("id"), *cols)
 
 
-def depth_segments(locus_reads: DataFrame, by: list[str] = ("chrom",), extension: int = 0, *,
-                   small: bool | None = None) -> DataFrame:
+def depth_segments(locus_reads: DataFrame, by: list[str] = ("chrom",), extension: int = 0) -> DataFrame:
     """Runs of equal depth (start..end inclusive) with depth on + and on -.
 
     Closed read loci become +1 and -1 events, equal events are added up before
@@ -358,13 +349,10 @@ def depth_segments(locus_reads: DataFrame, by: list[str] = ("chrom",), extension
     changes = events.groupBy(*by, F.col("_e.pos").alias("start")).agg(
         F.sum(F.when(minus, 0).otherwise(F.col("_e.delta"))).alias("_plus"),
         per_strand("-").alias("_minus")).where("_plus != 0 or _minus != 0")
-    order = [F.col("start")]
-    depth = ordering.running(changes, list(by), order, {
-        "plus": ("sum", F.col("_plus")), "minus": ("sum", F.col("_minus"))}, small=small)
-    depth = ordering.running(depth, list(by), order, {"_next": ("min", F.col("start"))},
-                             reverse=True, inclusive=False, small=small)
+    depth = ordering.scan(changes, list(by), "start", {
+        "plus": ("sum", F.col("_plus")), "minus": ("sum", F.col("_minus"))}, following="_next")
     return depth.where("plus + minus > 0").select(
-        *by, "start", (F.col("_next") - 1).alias("end"), "plus", "minus")
+        *by, "start", (F.col("_next.start") - 1).alias("end"), "plus", "minus")
 
 
 def _inside(pairs: DataFrame, low, high):
@@ -372,15 +360,14 @@ def _inside(pairs: DataFrame, low, high):
     return F.greatest(F.lit(0), F.least(F.col("b_end"), high - 1) - F.greatest(F.col("b_start"), low + 1) + 1)
 
 
-def region_depths(regions: DataFrame, segments: DataFrame, *, floor: int = 0, mmr: float = 1.0,
-                  salt: bool | None = None) -> DataFrame:
+def region_depths(regions: DataFrame, segments: DataFrame, *, floor: int = 0, mmr: float = 1.0) -> DataFrame:
     """Mean per-base depth on the region's strand and the other one.
 
     Only bases strictly inside the region and deeper than ``floor`` count.
     """
     key = ["id", *loci.LOCUS_KEY]
     deep = segments.where(F.col("plus") + F.col("minus") > floor)
-    pairs = overlap_join(regions.select(*key), deep, salt=salt)
+    pairs = overlap_join(regions.select(*key), deep)
     bases = _inside(pairs, F.col("start"), F.col("end"))
     minus = F.col("strand") == "-"
     hits = pairs.select(
@@ -392,8 +379,7 @@ def region_depths(regions: DataFrame, segments: DataFrame, *, floor: int = 0, mm
         value("_sense").alias("sense_density"), value("_anti").alias("antisense_density"))
 
 
-def depth_bins(regions: DataFrame, segments: DataFrame, n_bins: int, *, floor: int = 0, mmr: float = 1.0,
-               salt: bool | None = None) -> DataFrame:
+def depth_bins(regions: DataFrame, segments: DataFrame, n_bins: int, *, floor: int = 0, mmr: float = 1.0) -> DataFrame:
     """Mean depth of both strands per region bin from the 5' end.
 
     A bin is floor((length-1)/n) wide; its first and last base are not counted.
@@ -401,7 +387,7 @@ def depth_bins(regions: DataFrame, segments: DataFrame, n_bins: int, *, floor: i
     key = ["id", *loci.LOCUS_KEY]
     width = F.floor((loci.length() - 1) / n_bins)
     deep = segments.where(F.col("plus") + F.col("minus") > floor)
-    pairs = overlap_join(regions.select(*key), deep, salt=salt).withColumn("_w", width).where("_w > 0")
+    pairs = overlap_join(regions.select(*key), deep).withColumn("_w", width).where("_w > 0")
     minus = F.col("strand") == "-"
     # bin 0 lies at the region's start, or at its end on the minus strand
     near = F.when(minus, F.col("end") - F.col("b_end")).otherwise(F.col("b_start") - F.col("start"))
@@ -423,11 +409,11 @@ def depth_bins(regions: DataFrame, segments: DataFrame, n_bins: int, *, floor: i
         "bin", F.col("bin") + 1)
 
 
-def mean_conservation(regions: DataFrame, scores: DataFrame, *, salt: bool | None = None) -> DataFrame:
+def mean_conservation(regions: DataFrame, scores: DataFrame) -> DataFrame:
     """Length-weighted score sum over a region's score lines, by its inclusive length."""
     key = ["id", *loci.LOCUS_KEY]
     lines = scores.select("chrom", "start", "end", "score")
-    pairs = overlap_join(regions.select(*key), lines, salt=salt)
+    pairs = overlap_join(regions.select(*key), lines)
     used = (
         F.when(F.col("b_start") < F.col("start"), F.least("b_end", "end") - F.col("start") + 1)
         .when(F.col("b_end") > F.col("end"), F.col("end") - F.greatest("b_start", "start"))

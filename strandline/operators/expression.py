@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from strandline.functions.signal import expression_floor, magnitude
 from strandline.operators import ordering
 from strandline.operators.matrices import widen
+from strandline.session import checkpointed
 
 
 def floored(long: DataFrame) -> DataFrame:
@@ -139,26 +141,82 @@ def top_per_direction(table: DataFrame, n: int = 10) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def replicate_spearman(long: DataFrame, groups: dict[str, list[str]], *, small: bool | None = None) -> DataFrame:
+def replicate_spearman(long: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     """Mean rank correlation over all replicate pairs of each group, expressed genes only."""
     kept = long.join(expressed_genes(long), "gene", "left_semi")
-    ranked = ordering.average_rank(kept, ["sample"], "value", "rank", small=small)
+    ranked = ordering.average_rank(kept, ["sample"], "value", "rank")
     samples = sorted({s for names in groups.values() for s in names})
-    wide = widen(ranked, ["gene"], "sample", "rank", samples)
-    means = []
-    for group, names in groups.items():
-        pairs = [F.corr(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-        if pairs:
-            total = sum(pairs[1:], pairs[0])
-            means.append(F.struct(F.lit(group).alias("group"), (total / len(pairs)).alias("spearman")))
-    return wide.agg(F.array(*means).alias("_m")).select(F.explode("_m").alias("_m")).select("_m.*")
+    wide = checkpointed(widen(ranked, ["gene"], "sample", "rank", samples))
+    pairs = sample_correlation(wide, samples).where("sample_a < sample_b")
+    members = long.sparkSession.createDataFrame([(g, s) for g, names in groups.items() for s in names], "group string, sample string")
+    first, second = (members.select("group", F.col("sample").alias(f"sample_{x}")) for x in "ab")
+    return pairs.join(first, "sample_a").join(second, ["group", "sample_b"]).groupBy("group").agg(
+        F.avg("r").alias("spearman"))
+
+
+#: Tasks that add up the moment matrices of all partitions.
+MERGERS = 16
+
+
+def _moments(size: int, centre: np.ndarray):
+    """Functions over Arrow batches: rows of values to one moment matrix per partition, matrices to their sum, and that to
+    (i, j, n, x, y, xx, yy, xy) rows of the pairs i <= j."""
+    shape = (4, size, size)
+
+    def packed(total):
+        yield pa.record_batch([pa.array([total.tobytes()], pa.large_binary())], ["m"])
+
+    def count(batches):
+        total = np.zeros(shape)
+        for batch in batches:
+            cells = batch.column(0)
+            known = cells.values.is_valid().to_numpy(zero_copy_only=False).reshape(-1, size).astype(float)
+            x = cells.values.to_numpy(zero_copy_only=False).reshape(-1, size) - centre
+            x = np.where(known > 0, x, 0.0)
+            for k, (left, right) in enumerate(((known, known), (x, known), (x * x, known), (x, x))):
+                total[k] += left.T @ right
+        return packed(total)
+
+    def merge(batches):
+        total = np.zeros(shape)
+        for batch in batches:
+            for m in batch.column(0):
+                total += np.frombuffer(m.as_buffer(), float).reshape(shape)
+        return packed(total)
+
+    def pairs(batches):
+        for batch in merge(batches):
+            n, x, xx, xy = np.frombuffer(batch.column(0)[0].as_buffer(), float).reshape(shape)
+            i, j = np.triu_indices(size)
+            columns = (i, j, n[i, j], x[i, j], x[j, i], xx[i, j], xx[j, i], xy[i, j])
+            yield pa.record_batch([pa.array(c) for c in columns], ["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    return count, merge, pairs
 
 
 def sample_correlation(matrix: DataFrame, samples: list[str]) -> DataFrame:
-    """Pearson r and 1 - r of all sample pairs, all in one pass over the rows."""
-    cells = [F.struct(F.lit(a).alias("sample_a"), F.lit(b).alias("sample_b"), F.corr(a, b).alias("r"))
-             for i, a in enumerate(samples) for b in samples[i:]]
-    rows = matrix.agg(F.array(*cells).alias("_c")).select(F.explode("_c").alias("_c")).select("_c.*")
+    """Pearson r and 1 - r of all sample pairs over the rows that have both; NULL where a sample does not vary.
+
+    A partition adds up one matrix of moments about the column means, a few
+    tasks add those up, and each pair's r comes from the sums. The plan does
+    not grow with the number of samples, the means are one number per sample.
+    """
+    cells = matrix.select(F.array(*[F.col(s).cast("double") for s in samples]).alias("v"))
+    means = cells.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.avg("x").alias("mean")).collect()
+    centre = np.zeros(len(samples))
+    for row in means:
+        centre[row["i"]] = row["mean"] or 0.0
+    count, merge, pairs = _moments(len(samples), centre)
+    sums = "i long, j long, n double, x double, y double, xx double, yy double, xy double"
+    parts = cells.mapInArrow(count, "m binary").repartition(MERGERS).mapInArrow(pairs, sums)
+    total = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    spread = lambda a, aa: F.col("n") * F.col(aa) - F.col(a) * F.col(a)
+    scale = F.sqrt(spread("x", "xx") * spread("y", "yy"))
+    # a sample that does not vary leaves rounding only
+    varies = (spread("x", "xx") > 1e-12 * F.col("n") * F.col("xx")) & (spread("y", "yy") > 1e-12 * F.col("n") * F.col("yy"))
+    r = F.when(varies, (F.col("n") * F.col("xy") - F.col("x") * F.col("y")) / scale)
+    names = F.array(*[F.lit(s) for s in samples])
+    rows = total.select(F.get(names, F.col("i").cast("int")).alias("sample_a"), F.get(names, F.col("j").cast("int")).alias("sample_b"), r.alias("r"))
     return rows.withColumn("distance", 1 - F.col("r"))
 
 
@@ -201,13 +259,15 @@ def best_probe(expression: DataFrame, annotation: DataFrame, samples: list[str])
     return ordering.keep_first(rows, ["gene_id"], [-F.col("mean"), F.col("row")]).drop("row")
 
 
-def value_limits(long: DataFrame, low: float = 0.005, high: float = 0.995, *,
-                 small: bool | None = None) -> DataFrame:
+def value_limits(long: DataFrame, low: float = 0.005, high: float = 0.995) -> DataFrame:
     """Axis limits: outer quantiles of the values, the lower one at least 0.5."""
-    limits = ordering.quantiles(long, [], "value", {"low": low, "high": high}, small=small)
+    limits = ordering.quantiles(long, [], "value", {"low": low, "high": high})
     return limits.select(F.greatest("low", F.lit(0.5)).alias("axis_min"), F.col("high").alias("axis_max"))
 
 
-def row_sample(df: DataFrame, n: int = 1000, seed: int = 7) -> DataFrame:
-    """A random sample of ``n`` rows."""
-    return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+def row_sample(df: DataFrame, n: int = 1000, seed: int = 7, by: list[str] | None = None) -> DataFrame:
+    """The ``n`` rows whose ``by`` columns (all, if not given) have the lowest seeded hash: a random sample that does
+    not depend on how the rows are stored. A task keeps its own ``n`` lowest, so nothing larger is ever sorted."""
+    names = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by or df.columns]
+    place = F.md5(F.concat_ws(":", F.lit(str(seed)), *names))
+    return df.orderBy(place, *(by or df.columns)).limit(n)

@@ -6,14 +6,15 @@ their order in the source; an id may occur more than once.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import loci
 from strandline.operators import ordering
 from strandline.operators.overlaps import overlap_filter, overlap_join
-from strandline.operators.skew import salted_join
-from strandline.session import checkpointed
+from strandline.session import checkpoint_dir, checkpointed
 
 OVERLAP, PROXIMAL, DISTAL = 0, 1, 2
 
@@ -75,24 +76,22 @@ def exon_arrays(annotation: DataFrame) -> DataFrame:
          "utr3": F.when(coding, three).otherwise(empty)})
 
 
-def gene_pairs(regions: DataFrame, starts: DataFrame, transcript_loci: DataFrame, window: int = 50_000, *,
-               salt: bool | None = None) -> DataFrame:
+def gene_pairs(regions: DataFrame, starts: DataFrame, transcript_loci: DataFrame, window: int = 50_000) -> DataFrame:
     """(region, gene, class, tss): class 0 transcript touches the region, 1 TSS within ``window``."""
     key = ["id", "chrom", "start", "end"]
     tss = tss_loci(starts)
-    touching = overlap_join(regions.select(*key), transcript_loci, salt=salt).select(
+    touching = overlap_join(regions.select(*key), transcript_loci).select(
         "id", "chrom", F.col("b_id").alias("gene_id"), F.lit(OVERLAP).alias("class"))
     wider = regions.select("id", "chrom", (F.col("start") - window).alias("start"),
                            (F.col("end") + window).alias("end"))
-    near = overlap_join(wider, tss, salt=salt).select(
+    near = overlap_join(wider, tss).select(
         "id", "chrom", F.col("b_id").alias("gene_id"), F.lit(PROXIMAL).alias("class"))
     best = touching.unionByName(near).groupBy("id", "chrom", "gene_id").agg(F.min("class").alias("class"))
     named = starts.select(F.col("id").alias("gene_id"), "name", "tss")
-    return salted_join(best, named, ["gene_id"])
+    return best.join(named, "gene_id")
 
 
-def nearest_gene(regions: DataFrame, starts: DataFrame, pairs: DataFrame, reach: int = 1_000_000, *,
-                 small: bool | None = None) -> DataFrame:
+def nearest_gene(regions: DataFrame, starts: DataFrame, pairs: DataFrame, reach: int = 1_000_000) -> DataFrame:
     """Closest TSS to the region centre; ties go to the lower class, then the lower id.
 
     The TSS on either side of the centre come from one ordered scan, so the
@@ -100,13 +99,13 @@ def nearest_gene(regions: DataFrame, starts: DataFrame, pairs: DataFrame, reach:
     """
     points = regions.select("id", "chrom", "start", "end", loci.centre().alias("centre"))
     tss = tss_loci(starts)
-    sided = ordering.nearest_before_after(points, tss, ["chrom"], "centre", "tss", ["id"], small=small)
+    sided = ordering.nearest_before_after(points, tss, ["chrom"], "centre", "tss")
     sides = sided.withColumn("tss", F.explode(F.array_distinct(F.array("before", "after"))))
     sides = sides.where((F.col("tss") >= F.col("start") - reach) & (F.col("tss") <= F.col("end") + reach))
-    wide = salted_join(sides.select("id", "chrom", "centre", "tss"),
-                       tss.select("chrom", "tss", F.col("id").alias("gene_id"), "name"), ["chrom", "tss"])
+    wide = sides.select("id", "chrom", "centre", "tss").join(
+        tss.select("chrom", "tss", F.col("id").alias("gene_id"), "name"), ["chrom", "tss"])
     wide = wide.select("id", "centre", "tss", "gene_id", "name", F.lit(DISTAL).alias("class"))
-    known = salted_join(pairs.drop("chrom"), points.select("id", "centre"), ["id"]).select(
+    known = pairs.drop("chrom").join(points.select("id", "centre"), "id").select(
         "id", "centre", "tss", "gene_id", "name", "class")
     distance = F.abs(F.col("centre") - F.col("tss"))
     order = F.struct(distance.alias("d"), F.col("class"), F.col("gene_id"))
@@ -132,7 +131,7 @@ def gene_rollup(ranked: DataFrame, pairs: DataFrame, *, unique_names: bool = Tru
     """
     regions = ranked.select("id", loci.place_text().alias("place"), F.col("enhancer_rank").alias("rank"),
                             F.col("is_super").alias("flag"))
-    rows = salted_join(pairs.select("id", "gene_id", "name", "class"), regions, ["id"])
+    rows = pairs.select("id", "gene_id", "name", "class").join(regions, "id")
     cells = F.array_sort(F.collect_list(F.struct("class", "rank", "place")))
     ranks = F.array_sort(F.collect_list("rank"))
     genes = rows.groupBy("gene_id", "name").agg(
@@ -151,7 +150,7 @@ def top_gene(regions: DataFrame, pairs: DataFrame, rolled: DataFrame, signal: Da
     """
     by_name = rolled.join(signal, "gene_id", "left").groupBy("name").agg(
         F.max(F.coalesce("signal", F.lit(0.0))).alias("signal"))
-    named = salted_join(pairs.select("id", "name", "class"), by_name, ["name"])
+    named = pairs.select("id", "name", "class").join(by_name, "name")
     order = F.struct(-F.col("signal"), F.col("class"), F.col("name"))
     best = named.groupBy("id").agg(F.min_by(F.struct("name", "signal"), order).alias("_top"))
     found = F.col("_top.signal") > 0
@@ -160,16 +159,15 @@ def top_gene(regions: DataFrame, pairs: DataFrame, rolled: DataFrame, signal: Da
     return regions.join(best, "id", "left")
 
 
-def peak_genes(peaks: DataFrame, starts: DataFrame, *, tss_window: int = 5000, window: int = 50_000,
-               salt: bool | None = None) -> DataFrame:
+def peak_genes(peaks: DataFrame, starts: DataFrame, *, tss_window: int = 5000, window: int = 50_000) -> DataFrame:
     """(peak, gene) rows: genes whose TSS window the peak touches, else those around its centre."""
     tss = tss_loci(starts, tss_window, tss_window)
     cols = ["id", "chrom", "start", "end", "signal"]
-    at_tss = overlap_join(peaks.select(*cols), tss, salt=salt).withColumn("tss_peak", F.lit(1))
-    away = overlap_filter(peaks.select(*cols), tss, keep=False, salt=salt)
+    at_tss = overlap_join(peaks.select(*cols), tss).withColumn("tss_peak", F.lit(1))
+    away = overlap_filter(peaks.select(*cols), tss, keep=False)
     centred = away.select("id", "chrom", "signal", *[
         c.alias(n) for n, c in loci.centre_window(window).items()])
-    around = overlap_join(centred, tss, salt=salt).withColumn("tss_peak", F.lit(0))
+    around = overlap_join(centred, tss).withColumn("tss_peak", F.lit(0))
     picked = ["id", "signal", "tss_peak", F.col("b_id").alias("gene_id"), F.col("b_name").alias("name")]
     return at_tss.select(*picked).unionByName(around.select(*picked))
 
@@ -190,24 +188,23 @@ def collapse_names(signals: DataFrame) -> DataFrame:
     return ordering.keep_first(signals, ["name"], [-F.col("total_signal"), F.col("gene_id")])
 
 
-def promoter_regions(peaks: DataFrame, starts: DataFrame, *, max_names: int = 2, window: int = 0,
-                     salt: bool | None = None) -> DataFrame:
+def promoter_regions(peaks: DataFrame, starts: DataFrame, *, max_names: int = 2, window: int = 0) -> DataFrame:
     """Peaks on the TSS of one to ``max_names`` gene names, with the ids they hit."""
     points = starts.select("id", "name", "chrom", F.col("tss").alias("start"),
                            (F.col("tss") + 1).alias("end"), F.lit(".").alias("strand"))
     points = ordering.keep_first(points, loci.LOCUS_KEY, [F.col("id")])
     key = ["id", *loci.LOCUS_KEY]
-    hits = overlap_join(peaks.select(*key), points, salt=salt)
+    hits = overlap_join(peaks.select(*key), points)
     found = hits.groupBy(*key).agg(F.count_distinct("b_name").alias("names")).where(F.col("names") <= max_names)
     ids = hits.join(found, key).groupBy(*key, "names").agg(
         F.array_join(F.array_sort(F.collect_set("b_id")), ",").alias("gene_ids"))
     return ids.withColumns({"start": F.col("start") - window, "end": F.col("end") + window})
 
 
-def rank_lookup(regions: DataFrame, ranked: DataFrame, name: str, *, salt: bool | None = None) -> DataFrame:
+def rank_lookup(regions: DataFrame, ranked: DataFrame, name: str) -> DataFrame:
     """Best rank of the ranked loci a region touches; the size of that table when there is none."""
     pairs = overlap_join(regions.select("id", "chrom", "start", "end"),
-                         ranked.select("chrom", "start", "end", F.col("enhancer_rank").alias("rank")), salt=salt)
+                         ranked.select("chrom", "start", "end", F.col("enhancer_rank").alias("rank")))
     best = pairs.groupBy("id").agg(F.min("b_rank").alias(name))
     default = ranked.agg(F.count(F.lit(1))).scalar()
     return regions.join(best, "id", "left").withColumn(name, F.coalesce(name, default))
@@ -221,30 +218,39 @@ def lowest_id(starts: DataFrame) -> DataFrame:
         F.count_distinct("id").alias("n_ids"))
 
 
-def greedy_windows(peaks: DataFrame, starts: DataFrame, *, window: int = 2000, tss_window: int = 5000,
-                   max_rounds: int = 500) -> DataFrame:
+def greedy_windows(peaks: DataFrame, starts: DataFrame, *, window: int = 2000, tss_window: int = 5000) -> DataFrame:
     """Peaks away from any TSS whose span meets no window (centre +- ``window``) chosen before.
 
-    Peaks are taken by ``sample_rank`` and then in a fixed scattered order. A
-    round settles every peak with no open earlier window on it, so a few
-    rounds of interval semi joins replace the walk over all peaks.
+    Peaks are taken by ``sample_rank`` and then in a fixed scattered order (by
+    the md5 of their place, then id). Of peaks with centres in one cell of
+    ``window`` bases only one can be chosen, so a round looks at the first open
+    peak of every cell: it is chosen when no open earlier peak's window meets
+    it. A round drops what its choices rule out and hands on the open peaks;
+    what it chose is written once. The first open peak of all is always
+    chosen, so the rounds end.
     """
     tss = tss_loci(starts, tss_window, tss_window)
-    open_ = overlap_filter(peaks, tss, keep=False).withColumn(
-        "_turn", F.struct("sample_rank", F.xxhash64("chrom", "start", "end").alias("h"), "id"))
-    open_ = checkpointed(open_.select("id", "chrom", "start", "end", "sample_rank", "_turn"))
-    chosen = None
-    for _ in range(max_rounds):
-        windows = open_.select("chrom", "_turn", *[c.alias(n) for n, c in loci.centre_window(window).items()])
-        earlier = F.col("b__turn") < F.col("_turn")
-        free = checkpointed(overlap_filter(open_, windows, keep=False, also=earlier, identity=["_turn"]))
-        chosen = free if chosen is None else chosen.unionByName(free)
-        taken = free.select("chrom", "_turn", *[c.alias(n) for n, c in loci.centre_window(window).items()])
-        left = open_.join(free.select("id"), "id", "left_anti")
-        open_ = checkpointed(overlap_filter(left, taken, keep=False, also=earlier, identity=["_turn"]))
-        if open_.isEmpty():
-            break
-    else:
-        raise RuntimeError("greedy selection did not settle; raise max_rounds")
-    return chosen.select("id", "chrom", "sample_rank", *[
-        c.alias(n) for n, c in loci.centre_window(window).items()])
+    place = F.md5(F.concat_ws(":", "chrom", F.col("start").cast("string"), F.col("end").cast("string")))
+    turn = F.struct(F.col("sample_rank").alias("rank"), place.alias("place"), F.col("id").alias("id")).alias("turn")
+    away = overlap_filter(peaks.select("id", "chrom", "start", "end", "sample_rank"), tss, keep=False)
+    # of peaks with the same span only the first matters: it rules out the others, or falls to what rules them out too
+    spans = away.groupBy("chrom", "start", "end").agg(F.min(turn).alias("turn"))
+    cell = F.floor(loci.centre() / F.lit(window + 1)).alias("cell")
+    open_ = checkpointed(spans.select("chrom", "start", "end", "turn", cell))
+    reach = [c.alias(n) for n, c in loci.centre_window(window).items()]
+    folder = f"{checkpoint_dir(peaks.sparkSession)}/strandline-windows-{uuid.uuid4().hex}"
+    rounds = 0
+    while rounds == 0 or not open_.isEmpty():
+        first = open_.groupBy("chrom", "cell").agg(F.min_by(F.struct("start", "end", "turn"), "turn").alias("_p")).select(
+            "chrom", "_p.*")
+        waits = overlap_join(first, open_.select("chrom", *reach, "turn")).where("b_turn < turn").select("turn").distinct()
+        free = first.join(waits, "turn", "left_anti")
+        path = f"{folder}/round={rounds}"
+        free.write.parquet(path)
+        free = peaks.sparkSession.read.parquet(path)
+        met = overlap_join(open_.select("chrom", "start", "end", "turn"), free.select("chrom", *reach, "turn"))
+        settled = met.where("b_turn <= turn").select("turn").distinct().unionByName(free.select("turn"))
+        open_ = checkpointed(open_.join(settled, "turn", "left_anti"))
+        rounds += 1
+    chosen = peaks.sparkSession.read.option("basePath", folder).parquet(folder)
+    return chosen.select(F.col("turn.id").alias("id"), "chrom", F.col("turn.rank").alias("sample_rank"), *reach)

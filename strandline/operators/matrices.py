@@ -27,7 +27,7 @@ def lengthen(df: DataFrame, keys: list[str], columns: list[str], name: str = "sa
 
 
 def region_map(stitched: DataFrame, densities: DataFrame, samples: dict, *, sample_col: str = "file_key",
-               drop_chroms: list[str] = ("chrY",), salt: bool | None = None) -> DataFrame:
+               drop_chroms: list[str] = ("chrY",)) -> DataFrame:
     """Stitched loci with one signal column per sample.
 
     ``densities`` holds the mapped regions (sample, chrom, start, end, density);
@@ -38,7 +38,7 @@ def region_map(stitched: DataFrame, densities: DataFrame, samples: dict, *, samp
     mapped = densities.select(
         sample_col, "chrom", "start", "end",
         (F.round("density", 4) * (F.col("end") - F.col("start"))).alias("signal"))
-    pairs = overlap_join(kept.select(*key), mapped, salt=salt)
+    pairs = overlap_join(kept.select(*key), mapped)
     sums = pairs.groupBy(*key).agg(*[
         F.sum(F.when(F.col("b_" + sample_col) == k, F.col("b_signal"))).alias(name)
         for k, name in samples.items()])
@@ -55,15 +55,14 @@ def collapse_replicates(matrix: DataFrame, pairs: list[tuple[str, str | None]],
     return matrix.withColumn(name, total / len(parts))
 
 
-def median_normalised(matrix: DataFrame, pairs: dict[str, tuple[str, str | None]], *,
-                      small: bool | None = None) -> DataFrame:
+def median_normalised(matrix: DataFrame, pairs: dict[str, tuple[str, str | None]]) -> DataFrame:
     """Background-subtracted signal per sample over the median of its unclipped differences."""
     def raw(t, c):
         return F.col(t) - F.col(c) if c else F.col(t)
     long = matrix.select(F.explode(F.array(*[
         F.struct(F.lit(name).alias("sample"), raw(t, c).alias("value")) for name, (t, c) in pairs.items()
     ])).alias("_v")).select("_v.*")
-    medians = ordering.median(long, ["sample"], "value", "median", small=small)
+    medians = ordering.median(long, ["sample"], "value", "median")
     row = medians.groupBy().agg(*[
         F.max(F.when(F.col("sample") == name, F.col("median"))).alias(name) for name in pairs])
     used = [c for pair in pairs.values() for c in pair if c]
@@ -74,17 +73,16 @@ def median_normalised(matrix: DataFrame, pairs: dict[str, tuple[str, str | None]
 
 
 def heatmap_order(matrix: DataFrame, columns: list[str], background: dict[str, str] | None = None, *,
-                  key: str = "id", small: bool | None = None) -> DataFrame:
+                  key: str = "id") -> DataFrame:
     """Rows ordered by the mean of the reference columns after background subtraction."""
     if background:
         matrix = matrix.withColumns({c: subtract_background(c, b) for c, b in background.items()})
     mean = reduce(lambda a, b: a + b, [F.col(c) for c in columns]) / len(columns)
     return ordering.row_numbers(matrix.withColumn("mean_signal", mean), [],
-                                [F.desc("mean_signal"), F.asc(key)], "row_order", small=small)
+                                [F.desc("mean_signal"), F.asc(key)], "row_order")
 
 
-def colour_limits(matrix: DataFrame, columns: list[str], low: float = 0.6, high: float = 0.95, *,
-                  small: bool | None = None) -> DataFrame:
+def colour_limits(matrix: DataFrame, columns: list[str], low: float = 0.6, high: float = 0.95) -> DataFrame:
     """Quantiles over all cells, used as the ends of the colour scale."""
     cells = matrix.select(F.explode(F.array(*columns)).alias("cell"))
-    return ordering.quantiles(cells, [], "cell", {"low": low, "high": high}, small=small)
+    return ordering.quantiles(cells, [], "cell", {"low": low, "high": high})

@@ -6,6 +6,11 @@ suits its length (65 keys at most up to 2^33 times the finest width), and over
 one or two windows of each coarser width, so that short and long loci meet.
 Joined pairs keep the window of the later start at the coarser of both widths,
 which makes each pair appear once without a distinct.
+
+The joins are plain equi-joins on (chromosome, window) with a further test, so
+Spark's adaptive skew join splits a hot window. Joins that only ask whether a
+partner exists first reduce the partners to what a window needs to know, which
+is bounded by the width of the window.
 """
 
 from __future__ import annotations
@@ -16,10 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import loci
-from strandline.operators.skew import is_small, salted_join
 
 LEVELS = 4
 STEP = 6  # bits between two widths
+_KEY_LEVEL = "CAST(pmod(_key, 4) AS int)"  # of a key; the rest of its bits is the window
 
 
 # expressions are SQL text here: a single parse instead of one call per operator
@@ -67,9 +72,20 @@ def renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumnsRenamed({c: prefix + c for c in df.columns})
 
 
+def _last(half_open: bool):
+    return (lambda c: F.col(c) - 1) if half_open else F.col
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], how: str, test: Column) -> DataFrame:
+    """Equi-join on ``keys``, which both sides have, with a further test over the columns of both."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    for k in keys:
+        test = test & (F.col(k) == F.col(f"_r_{k}"))
+    return left.join(other, test, how)
+
+
 def overlap_join(a: DataFrame, b: DataFrame, mode: str = "both", relation: str = "overlap", *,
-                 half_open: bool = False, shift: int = 9, by: list[str] = (),
-                 salt: bool | None = None) -> DataFrame:
+                 half_open: bool = False, shift: int = 9, by: list[str] = ()) -> DataFrame:
     """Pairs of loci: columns of ``a`` as they are, those of ``b`` prefixed ``b_``.
 
     ``relation``: ``overlap``, ``contains`` (a holds b) or ``contained`` (b
@@ -77,22 +93,11 @@ def overlap_join(a: DataFrame, b: DataFrame, mode: str = "both", relation: str =
     columns that must agree. ``b`` should be the smaller side; ``2**shift`` is
     the finest window width.
     """
-    if salt is None:
-        salt = not is_small(a, b)
-    left, right, test, keys = _prepared(a, b, mode, relation, half_open, shift, by)
-    once = _first_meeting("start", "b_start", "_lvl", "_b_lvl", shift)
-    pairs = salted_join(left, right, keys, "inner", test & once, salt)
-    return pairs.select(*a.columns, *["b_" + c for c in b.columns])
-
-
-def _prepared(a, b, mode, relation, half_open, shift, by):
-    last = (lambda c: F.col(c) - 1) if half_open else F.col
-    right = renamed(b, "b_").withColumn("_b_end", last("b_end"))
-    left = a.withColumn("_end", last("end"))
+    right = renamed(b, "b_").withColumn("_b_end", _last(half_open)("b_end"))
+    left = a.withColumn("_end", _last(half_open)("end"))
     if half_open:  # an empty span touches nothing
         left, right = left.where("_end >= start"), right.where("_b_end >= b_start")
-    mask = level_mask(right, "b_start", "_b_end", shift)
-    left = _keyed(left, "start", "_end", shift, "_lvl", mask)
+    left = _keyed(left, "start", "_end", shift, "_lvl", level_mask(right, "b_start", "_b_end", shift))
     right = _keyed(right, "b_start", "_b_end", shift, "_b_lvl", None)
     keys = ["chrom", *by, "_key"]
     right = right.withColumns({k: F.col("b_" + k) for k in keys if k != "_key"})
@@ -106,27 +111,109 @@ def _prepared(a, b, mode, relation, half_open, shift, by):
         raise ValueError(f"unknown relation {relation!r}")
     if mode != "both":
         test = test & loci.strand_matches("", "b_", mode)
-    return left, right, test, keys
+    test = test & _first_meeting("start", "b_start", "_lvl", "_b_lvl", shift)
+    return _joined(left, right, keys, "inner", test).select(*a.columns, *["b_" + c for c in b.columns])
+
+
+# --- existence ----------------------------------------------------------------------------------
+
+# pieces of partners within one window, besides those that start within it at a place of their own
+PREFIX, SUFFIX, HULL = -1, -2, -3
+
+
+def window_cover(b: DataFrame, keys: list[str], shift: int) -> DataFrame:
+    """What ``b`` covers of each window: (keys, _key, _b_lvl, _piece, _from, _to), for an overlap test.
+
+    ``b`` has ``b_start`` and ``_b_end``. Of the partners that enter a window
+    from the left only the longest reach counts, of those that leave it to the
+    right the earliest start. A locus shorter than a window of the coarser
+    widths only meets longer ones there, which enter or leave the window, so
+    the hull of the short ones is enough. Only the finest windows hold spans
+    of their own, one per start: ``2**shift`` at most.
+    """
+    rows = _keyed(b, "b_start", "_b_end", shift, "_b_lvl", None)
+    bits = f"({shift} + {STEP} * {_KEY_LEVEL})"
+    rows = rows.withColumn("_low", F.expr(f"shiftleft(shiftright(_key, 2), {bits})"))
+    rows = rows.withColumn("_high", F.expr(f"_low + shiftleft(1L, {bits}) - 1"))
+    short = F.expr(f"_b_lvl < {_KEY_LEVEL}")
+    piece = F.when(short, HULL).when(F.expr("b_start <= _low"), PREFIX).when(F.expr("_b_end >= _high"), SUFFIX)
+    rows = rows.select(
+        *keys, "_key", F.coalesce(piece, F.expr("b_start - _low")).alias("_piece"),
+        F.greatest("b_start", "_low").alias("_from"), F.least("_b_end", "_high").alias("_to"))
+    return rows.groupBy(*keys, "_key", "_piece").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+
+
+def _dyadic(df: DataFrame, start: str, end: str, shift: int) -> DataFrame:
+    """One row per window of those that make up a span: the finest one it starts in, then of what follows the widest
+    windows that fit, at most 126 of each width below the coarsest."""
+    begin = f"shiftleft(shiftright(`{start}`, {shift}) + 1, {shift})"
+    stop = f"shiftleft(shiftright(`{end}`, {shift}) + 1, {shift})"
+    bits = [shift + STEP * k for k in range(LEVELS)]
+    edges = {f"_l{k}": F.expr(f"CAST(shiftright({begin} + {(1 << n) - 1}, {n}) AS bigint)") for k, n in enumerate(bits)}
+    edges |= {f"_h{k}": F.expr(f"CAST(shiftright({stop}, {n}) - 1 AS bigint)") for k, n in enumerate(bits)}
+
+    def windows(low: str, high: str) -> str:
+        return f"CASE WHEN {low} <= {high} THEN sequence({low}, {high}) ELSE CAST(array() AS array<bigint>) END"
+
+    parts = [f"array(CAST(shiftright(`{start}`, {shift}) * {LEVELS} AS bigint))"]
+    for k in range(LEVELS):
+        every = windows(f"_l{k}", f"_h{k}")
+        if k + 1 < LEVELS:  # the next width takes over its middle
+            left = windows(f"_l{k}", f"shiftleft(_l{k + 1}, {STEP}) - 1")
+            right = windows(f"shiftleft(_h{k + 1} + 1, {STEP})", f"_h{k}")
+            every = f"CASE WHEN _l{k + 1} <= _h{k + 1} THEN concat({left}, {right}) ELSE {every} END"
+        parts.append(f"transform({every}, w -> w * {LEVELS} + {k})")
+    return df.withColumns(edges).withColumn("_key", F.expr(f"explode(concat({', '.join(parts)}))")).drop(*edges)
+
+
+def window_reach(b: DataFrame, keys: list[str], shift: int) -> DataFrame:
+    """How far ``b`` reaches from the starts in each window: (keys, _key, _from, _to), for a containment test.
+
+    A span is dealt over the few windows that make it up. In a window that it
+    covers every start is one it holds, so the longest reach counts; in the
+    window where it starts, the longest reach of each start. That is one row
+    per window and ``2**shift`` more in the finest ones.
+    """
+    rows = _dyadic(b, "b_start", "_b_end", shift)
+    low = F.expr(f"CASE WHEN {_KEY_LEVEL} = 0 THEN shiftleft(shiftright(_key, 2), {shift}) END")
+    from_ = F.when(F.col("b_start") > low, F.col("b_start"))
+    return rows.select(*keys, "_key", from_.alias("_from"), "_b_end").groupBy(*keys, "_key", "_from").agg(
+        F.max("_b_end").alias("_to"))
 
 
 def overlap_filter(a: DataFrame, b: DataFrame, mode: str = "both", relation: str = "overlap", *,
-                   keep: bool = True, half_open: bool = False, shift: int = 9, by: list[str] = (),
-                   also: Column | None = None, identity: list[str] = (),
-                   salt: bool | None = None) -> DataFrame:
-    """Rows of ``a`` with (``keep``) or without any partner in ``b``; no pairs are built.
+                   keep: bool = True, half_open: bool = False, shift: int = 9, by: list[str] = ()) -> DataFrame:
+    """Rows of ``a`` with (``keep``) or without any partner in ``b``: one that overlaps (``overlap``) or holds them
+    (``contained``).
 
-    ``also`` is a further test over the ``identity`` columns of ``a`` and the ``b_`` columns.
+    No pairs are built, and ``b`` is reduced to a bounded number of rows per
+    window before the join, however many partners lie there.
     """
-    if salt is None:
-        salt = not is_small(a, b)
-    identity = ["chrom", "start", "end", *by, *identity] + (["strand"] if mode != "both" else [])
-    places = a.select(*identity)
-    if salt:  # equal places need one look-up only
-        places = places.distinct()
-    left, right, test, keys = _prepared(places, b, mode, relation, half_open, shift, by)
-    if also is not None:
-        test = test & also
-    found = salted_join(left, right, keys, "left_semi", test, salt).select(*identity).distinct()
+    strands = ["strand"] if mode != "both" else []
+    identity = ["chrom", "start", "end", *by, *strands]
+    right = b.select("chrom", *by, *[F.col("strand").alias("b_strand") for _ in strands],
+                     F.col("start").alias("b_start"), _last(half_open)("end").alias("_b_end"))
+    left = a.select(*identity, _last(half_open)("end").alias("_end"))
+    if half_open:  # an empty span touches nothing
+        left, right = left.where("_end >= start"), right.where("_b_end >= b_start")
+    right = right.where("_b_end >= b_start")
+    held = ["chrom", *by, *["b_strand" for _ in strands]]
+    if relation == "overlap":
+        mask = level_mask(right, "b_start", "_b_end", shift)
+        left = _keyed(left, "start", "_end", shift, "_lvl", mask)
+        right = window_cover(right, held, shift)
+        # loci shorter than a coarse window meet the short partners there in windows of a finer width
+        test = F.expr(f"start <= _to AND _from <= _end AND (_piece != {HULL} OR _lvl = {_KEY_LEVEL})")
+    elif relation == "contained":
+        every = ", ".join(f"shiftright(start, {shift + STEP * k}) * {LEVELS} + {k}" for k in range(LEVELS))
+        left = left.withColumn("_key", F.expr(f"explode(array({every}))"))
+        right = window_reach(right, held, shift)
+        test = F.expr("(_from IS NULL OR _from <= start) AND _end <= _to")
+    else:
+        raise ValueError(f"unknown relation {relation!r}")
+    if mode != "both":
+        test = test & loci.strand_matches("", "b_", mode)
+    found = _joined(left, right, ["chrom", *by, "_key"], "left_semi", test).select(*identity).distinct()
     return a.join(found, identity, "left_semi" if keep else "left_anti")
 
 
@@ -146,11 +233,19 @@ def has_locus(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def occupancy_matrix(regions: DataFrame, peaks: DataFrame, samples: list[str], *,
                      id_col: str = "id", sample_col: str = "sample") -> DataFrame:
-    """Regions x samples, 1 where any peak of the sample touches the region."""
-    touched = overlap_join(regions.select(id_col, "chrom", "start", "end"),
-                           peaks.select(sample_col, "chrom", "start", "end"))
+    """Regions x samples, 1 where any peak of the sample touches the region.
+
+    The peaks of a sample are reduced to what they cover of each window before
+    they meet the regions.
+    """
+    keyed = regions.select(id_col, "chrom", "start", F.col("end").alias("_end"))
+    marks = peaks.select("chrom", sample_col, F.col("start").alias("b_start"), F.col("end").alias("_b_end"))
+    keyed = _keyed(keyed, "start", "_end", 9, "_lvl", level_mask(marks, "b_start", "_b_end", 9))
+    cover = window_cover(marks, ["chrom", sample_col], 9)
+    test = F.expr(f"start <= _to AND _from <= _end AND (_piece != {HULL} OR _lvl = {_KEY_LEVEL})")
+    touched = _joined(keyed, cover, ["chrom", "_key"], "inner", test)
     seen = touched.groupBy(id_col).agg(
-        *[F.max(F.when(F.col("b_" + sample_col) == s, 1).otherwise(0)).alias(s) for s in samples])
+        *[F.max(F.when(F.col(sample_col) == s, 1).otherwise(0)).alias(s) for s in samples])
     return regions.join(seen, id_col, "left").fillna(0, subset=samples)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from strandline.functions.sequence import anchored_slice
 from strandline.functions.signal import log2_ratio
 from strandline.operators import ordering
-from strandline.operators.skew import salted_join
 
 # fixed values: anchor before the guide, offset from the anchor's start, guide length
 ANCHOR, OFFSET, LENGTH = "CACCG", 5, 20
@@ -51,11 +50,11 @@ def fold_table(test: DataFrame, control: DataFrame, annotation: DataFrame, test_
 def several_guides_only(folds: DataFrame) -> DataFrame:
     """Without genes that only one guide targets."""
     genes = folds.groupBy("gene").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("gene")
-    return salted_join(folds, genes, ["gene"], "left_semi")
+    return folds.join(genes, "gene", "left_semi")
 
 
-def construct_ranks(folds: DataFrame, *, small: bool | None = None) -> DataFrame:
+def construct_ranks(folds: DataFrame) -> DataFrame:
     """Constructs of genes with several guides, ranked by falling ratio; every weight is 1."""
     kept = several_guides_only(folds).select("guide", "gene", "log2_ratio")
-    ranked = ordering.row_numbers(kept, [], [F.desc("log2_ratio"), F.asc("guide")], "construct_rank", small=small)
+    ranked = ordering.row_numbers(kept, [], [F.desc("log2_ratio"), F.asc("guide")], "construct_rank")
     return ranked.withColumn("hairpin_weight", F.lit(1))

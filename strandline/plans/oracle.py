@@ -134,6 +134,8 @@ SELECT count(*) AS n_bins, count(*) FILTER (WHERE
   lines_gte_5th_percentile + lines_lt_5th_percentile <> f) AS violations
 FROM summary, (SELECT count(DISTINCT cell_type) AS t, count(DISTINCT file_key) AS f FROM files)"""
 ORACLE["append_counts"] = ORACLE["bin_counts"]
+ORACLE["append_counts_extended"] = ORACLE["bin_counts_extended"]
+ORACLE["append_summary"] = ORACLE["bin_summary"]
 
 # --- region counts
 TABLES["region_files"] = """
@@ -153,6 +155,9 @@ TABLES["rcounts"] = _region_counts("true")
 _LOCUS = 'chrom, s AS "start", e AS "end", strand'
 _COUNTS = f'SELECT file_key, id, {_LOCUS}, n AS count FROM '
 ORACLE["region_counts"] = _COUNTS + "rcounts"
+ORACLE["store_region"] = f"""
+SELECT file_key, {_LOCUS}, count(*) AS n FROM reads WHERE chrom = 'chr3' AND s < 101000 AND e >= 100000 GROUP BY ALL"""
+ORACLE["store_counts"] = _COUNTS + "rcounts WHERE id IN (SELECT id FROM peaks)"
 ORACLE["region_counts_sense"] = _COUNTS + f"({_region_counts('g.strand IN (r.strand, chr(46))')})"
 ORACLE["region_counts_antisense"] = _COUNTS + f"({_region_counts('g.strand <> r.strand')})"
 TABLES["rdens"] = """
@@ -171,17 +176,21 @@ JOIN reads r ON r.chrom = p.chrom AND r.s < p.s + (p.k + 1) * p.w AND r.e > p.s
 TABLES["fetched"] = """
 SELECT g.id, g.strand AS g_strand, r.* FROM reads r JOIN regions g ON r.chrom = g.chrom AND r.s < g.e AND r.e >= g.s
 WHERE NOT r.spliced"""
-TABLES["fetched_peaks"] = """
-SELECT g.id, g.strand AS g_strand, r.* FROM reads r JOIN peaks g ON r.chrom = g.chrom AND r.s < g.e AND r.e >= g.s
-WHERE NOT r.spliced"""
+ORACLE["append_region_counts"] = f"""
+SELECT g.file_key, g.id, g.chrom, g.s AS "start", g.e AS "end", g.strand, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM region_files g LEFT JOIN (
+  SELECT r.file_key, g.id, sum(greatest(0, least(r.e + CASE r.strand WHEN '+' THEN 200 ELSE 0 END, g.e)
+    - greatest(greatest(0, r.s - CASE r.strand WHEN '-' THEN 200 ELSE 0 END), g.s))) AS n
+  FROM reads r JOIN regions g ON r.chrom = g.chrom AND r.s < g.e AND r.e >= g.s AND g.strand IN (r.strand, '.') GROUP BY 1, 2) c
+USING (file_key, id)"""
 ORACLE["region_read_counts"] = """
 SELECT g.id, coalesce(n, 0) AS total, coalesce(k, 0) AS sense, coalesce(n - k, 0) AS antisense
 FROM regions g LEFT JOIN (SELECT id, count(*) AS n,
   count(*) FILTER (WHERE strand = CASE g_strand WHEN '.' THEN '+' ELSE g_strand END) AS k FROM fetched GROUP BY 1) USING (id)"""
 ORACLE["region_starts"] = """
-SELECT id, strand, s + 1 AS read_start, count(*) AS n FROM fetched_peaks GROUP BY 1, 2, 3"""
+SELECT id, strand, s + 1 AS read_start, count(*) AS n FROM fetched GROUP BY 1, 2, 3"""
 ORACLE["unique_reads"] = f"""
-SELECT id, {_LOCUS}, seq FROM (SELECT *, row_number() OVER (PARTITION BY id, seq ORDER BY s, e, strand) AS k FROM fetched_peaks)
+SELECT id, {_LOCUS}, seq FROM (SELECT *, row_number() OVER (PARTITION BY id, seq ORDER BY s, e, strand) AS k FROM fetched)
 WHERE k = 1 AND g_strand IN ('.', strand)"""
 
 
@@ -205,17 +214,17 @@ TABLES["segments"] = _segments("chrom")
 TABLES["deep"] = "SELECT chrom, s, e, coalesce(plus, 0) AS plus, coalesce(minus, 0) AS minus FROM segments WHERE coalesce(plus, 0) + coalesce(minus, 0) > 1"
 ORACLE["region_depth"] = """
 SELECT id, round(coalesce(a, 0) / (e - s + 1), 4) AS sense_density, round(coalesce(b, 0) / (e - s + 1), 4) AS antisense_density
-FROM peaks LEFT JOIN (
+FROM regions LEFT JOIN (
   SELECT g.id, CAST(sum(n * CASE WHEN strand = '-' THEN minus ELSE plus END) AS DOUBLE) AS a,
     CAST(sum(n * CASE WHEN strand = '-' THEN plus ELSE minus END) AS DOUBLE) AS b
   FROM (SELECT g.id, g.strand, d.plus, d.minus, greatest(0, least(d.e, g.e - 1) - greatest(d.s, g.s + 1) + 1) AS n
-    FROM peaks g JOIN deep d ON g.chrom = d.chrom AND d.s < g.e AND d.e > g.s) g GROUP BY 1) USING (id)"""
+    FROM regions g JOIN deep d ON g.chrom = d.chrom AND d.s < g.e AND d.e > g.s) g GROUP BY 1) USING (id)"""
 ORACLE["depth_bins"] = """
 SELECT p.id, p.k + 1 AS bin, round(CAST(coalesce(sum(greatest(0, least(d.e, p.hi - 1) - greatest(d.s, p.lo + 1) + 1)
     * (d.plus + d.minus)), 0) AS DOUBLE) / any_value(p.w), 4) AS density
 FROM (SELECT id, chrom, w, k, CASE WHEN strand = '-' THEN e - (k + 1) * w ELSE s + k * w END AS lo,
     CASE WHEN strand = '-' THEN e - k * w ELSE s + (k + 1) * w END AS hi
-  FROM (SELECT g.*, (g.e - g.s) // 4 AS w, CAST(k.k AS INTEGER) AS k FROM peaks g, range(0, 4) k(k))) p
+  FROM (SELECT g.*, (g.e - g.s) // 4 AS w, CAST(k.k AS INTEGER) AS k FROM regions g, range(0, 4) k(k))) p
 LEFT JOIN deep d ON p.chrom = d.chrom AND d.s < p.hi AND d.e > p.lo GROUP BY 1, 2"""
 
 
@@ -237,8 +246,8 @@ LEFT JOIN (SELECT r.file_key, q.id, {extra.replace('p.', 'q.')} q.k, sum(least(r
 
 
 _ON, _OFF = "q.strand IN (r.strand, '.')", "q.strand <> r.strand"
-ORACLE["clustergram"] = _pieces("SELECT * FROM peaks", "(e - s + 1) // 50", "50", "true")
-ORACLE["matrix_bins"] = _pieces("SELECT * FROM peaks", "10", "(e - s + 1) // 10", _ON)
+ORACLE["clustergram"] = _pieces("SELECT * FROM regions", "(e - s + 1) // 50", "50", "true")
+ORACLE["matrix_bins"] = _pieces("SELECT * FROM regions", "10", "(e - s + 1) // 10", _ON)
 TABLES["meta"] = """
 SELECT id, chrom, strand, 'tss' AS kind, 10 AS bins, 0 AS shift, CASE strand WHEN '+' THEN tss - 3000 ELSE tss END AS s,
   CASE strand WHEN '+' THEN tss ELSE tss + 3000 END AS e FROM genes UNION ALL
@@ -273,8 +282,8 @@ ORACLE["overlap_semi"] = f"SELECT id FROM peaks a WHERE EXISTS (SELECT 1 FROM op
 ORACLE["mask_anti"] = f"""
 SELECT id FROM peaks a WHERE NOT EXISTS (SELECT 1 FROM regions b WHERE b.status = 'P' AND {_MEET})"""
 ORACLE["has_locus"] = """
-SELECT id FROM peaks a WHERE EXISTS (SELECT 1 FROM regions b WHERE b.e - b.s + 1 > 200
-  AND a.chrom = b.chrom AND a.s = b.s AND a.e = b.e AND a.strand = b.strand)"""
+SELECT id FROM regions a WHERE EXISTS (SELECT 1 FROM regions b WHERE a.chrom = b.chrom AND a.strand = b.strand
+  AND (b.status <> 'F' AND a.s = b.s AND a.e = b.e OR a.s = b.s + 100 AND a.e = b.e + 100))"""
 ORACLE["tss_filter"] = """
 SELECT id FROM peaks a WHERE NOT EXISTS (SELECT 1 FROM genes b WHERE a.chrom = b.chrom
   AND b.tss - 1000 <= a.s AND a.e <= b.tss + 1000)"""
@@ -622,7 +631,8 @@ SELECT strand, CASE strand WHEN '-' THEN greatest(0, s - 200) ELSE s END AS ext_
   CASE strand WHEN '+' THEN e + 200 ELSE e END AS ext_end, count(*) AS n FROM reads GROUP BY 1, 2, 3"""
 ORACLE["junction_split"] = """
 SELECT chrom, "start", "end", strand, part, count(*) AS n FROM (
-  SELECT chrom, s + 1 AS "start", s + 1 + seq_len // 2 AS "end", strand, 1 AS part FROM reads WHERE spliced UNION ALL
+  SELECT chrom, s + 1 AS "start", s + 1 + seq_len AS "end", strand, 1 AS part FROM reads WHERE NOT spliced UNION ALL
+  SELECT chrom, s + 1, s + 1 + seq_len // 2, strand, 1 FROM reads WHERE spliced UNION ALL
   SELECT chrom, s + 1 + seq_len // 2 + 100, s + 1 + seq_len + 100, strand, 2 FROM reads WHERE spliced) GROUP BY ALL"""
 ORACLE["reads_dedup"] = "SELECT DISTINCT file_key, chrom, pos, strand FROM reads"
 ORACLE["reads_merge"] = "SELECT 9 AS file_key, chrom, pos, count(*) AS n FROM reads WHERE file_key IN (1, 2) GROUP BY 2, 3"
@@ -655,6 +665,20 @@ SELECT name, file_path, s_name AS source FROM samples JOIN supplier ON file_path
 ORACLE["rank_none"] = """
 SELECT c_custkey, v AS value, row_number() OVER (ORDER BY v DESC NULLS LAST, c_custkey) AS position
 FROM (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS v FROM customer)"""
+ORACLE["row_sample"] = """
+SELECT * FROM expr_wide ORDER BY md5('7:' || gene), gene LIMIT 1000"""
+TABLES["away"] = """
+SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY sample_rank, md5(chrom || ':' || s || ':' || e), id) AS k FROM (
+  SELECT *, CASE status WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS sample_rank, CAST(floor((s + e) / 2) AS BIGINT) AS centre FROM regions) a
+WHERE NOT EXISTS (SELECT 1 FROM genes b WHERE a.chrom = b.chrom AND a.s <= b.tss + 500 AND b.tss - 500 <= a.e)"""
+ORACLE["greedy_enhancers"] = """
+SELECT id, chrom, sample_rank, centre - 500 AS "start", centre + 500 AS "end" FROM away JOIN (
+  WITH RECURSIVE walk AS (
+    SELECT DISTINCT chrom, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS taken, false AS took FROM away UNION ALL
+    SELECT a.chrom, a.k, CASE WHEN a.free THEN list_append(a.taken, a.centre) ELSE a.taken END, a.free FROM (
+      SELECT p.chrom, p.k, w.taken, p.centre, len(list_filter(w.taken, lambda c: c - 500 <= p.e AND p.s <= c + 500)) = 0 AS free
+      FROM walk w JOIN away p ON p.chrom = w.chrom AND p.k = w.k + 1) a)
+  SELECT chrom, k FROM walk WHERE took) USING (chrom, k)"""
 ORACLE["topn"] = "SELECT id, signal FROM peaks ORDER BY signal DESC, id LIMIT 50"
 
 

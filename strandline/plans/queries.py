@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,10 @@ from strandline.operators import (collections, comparison, coverage, expression,
                                   overlaps, ranking, screen, sequences, stitching, tracks)
 from strandline.operators import regions as region_sets
 from strandline.plans import jobs
-from strandline.session import checkpointed
+from strandline.session import checkpoint_dir, checkpointed
+from strandline.sources import readstore
 from strandline.sources.views import SAMPLES, Views
+from strandline.streaming import append
 
 BIN_SIZE = 5000
 STITCH = 50
@@ -94,17 +97,47 @@ def summary_validate(v):
     return summary.agg(F.count(F.lit(1)).alias("n_bins"), F.max(wrong).alias("violations"))
 
 
+def _by_name(df: DataFrame) -> DataFrame:
+    return df.withColumn("file_name", F.col("file_key").cast("string"))
+
+
+def _appended(v: Views, **settings) -> str:
+    """A store that got files 1 and 2, then all three, then file 2 again."""
+    store = f"{checkpoint_dir(v.spark)}/strandline-store-{uuid.uuid4().hex}"
+    append.create_store(v.spark, store, **settings)
+    reads = _by_name(v.reads())
+    append.append(reads.where("file_key <= 2"), store, "first")
+    append.append(reads, store, "all")
+    append.append(reads.where("file_key = 2"), store, "again")
+    return store
+
+
 @query
 def append_counts(v):
     """Counting file 3 after files 1 and 2, unknown files only, gives the table of one run."""
-    files, chroms, reads = v.files(), v.file_chroms(), v.reads()
-    named = files.withColumn("file_name", F.col("file_key").cast("string"))
-    known = named.where("file_key <= 2")
-    new = coverage.append_new_files(known, named).select("file_key")
-    old = known.select("file_key")
-    parts = [coverage.bin_counts(reads.join(keys, "file_key", "left_semi"),
-                                 chroms.join(keys, "file_key", "left_semi"), BIN_SIZE) for keys in (old, new)]
-    return parts[0].unionByName(parts[1])
+    store = _appended(v, bin_size=BIN_SIZE)
+    return append.stored_counts(v.spark, store, _by_name(v.file_chroms()))
+
+
+@query
+def append_counts_extended(v):
+    """The same with reads grown by 200 bases."""
+    store = _appended(v, bin_size=BIN_SIZE, extension=200)
+    return append.stored_counts(v.spark, store, _by_name(v.file_chroms()))
+
+
+@query
+def append_summary(v):
+    """Summary rebuilt from the stored counts."""
+    tables = append.derived_tables(v.spark, _appended(v, bin_size=BIN_SIZE), _by_name(v.file_chroms()), _by_name(v.files()))
+    return rounded(tables["summary"], "avg_cell_type_percentile")
+
+
+@query
+def append_region_counts(v):
+    """The region form, reads of the region's strand grown by 200 bases."""
+    store = _appended(v, regions=v.regions(), extension=200, strand="+")
+    return append.stored_counts(v.spark, store, _by_name(v.file_chroms()))
 
 
 # --- region counting ----------------------------------------------------------------------------
@@ -128,6 +161,29 @@ def region_counts_antisense(v):
     return _region_counts(v, "-")
 
 
+STORE_BITS = 16  # the chromosomes of the views have 260,000 bases
+
+
+def _read_store(v: Views) -> str:
+    path = f"{checkpoint_dir(v.spark)}/strandline-reads-{uuid.uuid4().hex}"
+    readstore.store_reads(v.reads().select("file_key", "chrom", "start", "end", "strand"), path, tile_bits=STORE_BITS)
+    return path
+
+
+@query
+def store_region(v):
+    """Reads of one region from a store of all reads."""
+    region = readstore.region_reads(v.spark, _read_store(v), "chr3", 100_000, 101_000, tile_bits=STORE_BITS)
+    return region.groupBy("file_key", "chrom", "start", "end", "strand").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def store_counts(v):
+    """Region counts of the peaks, from the tiles of a store that they need."""
+    near = readstore.nearby_reads(v.spark, _read_store(v), v.peaks(), tile_bits=STORE_BITS)
+    return coverage.region_counts(near, v.peaks(), v.file_chroms())
+
+
 @query
 def region_density(v):
     return rounded(coverage.region_densities(_region_counts(v), v.files()), "density")
@@ -150,12 +206,12 @@ def region_read_counts(v):
 
 @query
 def region_starts(v):
-    return coverage.region_starts(v.reads(), v.peaks())
+    return coverage.region_starts(v.reads(), v.regions())
 
 
 @query
 def unique_reads(v):
-    return coverage.unique_reads(v.reads(), v.peaks(), "+", ["start", "end", "strand"])
+    return coverage.unique_reads(v.reads(), v.regions(), "+", ["start", "end", "strand"])
 
 
 def _segments(v: Views, by: list[str]) -> DataFrame:
@@ -170,26 +226,26 @@ def depth_segments(v):
 
 @query
 def region_depth(v):
-    return coverage.region_depths(v.peaks(), _segments(v, ["chrom"]), floor=1).select(
+    return coverage.region_depths(v.regions(), _segments(v, ["chrom"]), floor=1).select(
         "id", "sense_density", "antisense_density")
 
 
 @query
 def depth_bins(v):
-    return coverage.depth_bins(v.peaks(), _segments(v, ["chrom"]), 4, floor=1).select("id", "bin", "density")
+    return coverage.depth_bins(v.regions(), _segments(v, ["chrom"]), 4, floor=1).select("id", "bin", "density")
 
 
 @query
 def clustergram(v):
     """Fixed-size bins per region, reversed on the minus strand."""
-    return coverage.piece_densities(v.reads(), v.peaks(), v.files(), v.file_chroms(), bin_size=50).select(
+    return coverage.piece_densities(v.reads(), v.regions(), v.files(), v.file_chroms(), bin_size=50).select(
         "file_key", "id", "bin", "density")
 
 
 @query
 def matrix_bins(v):
     """Ten bins per region, reads of the region's strand."""
-    return coverage.piece_densities(v.reads(), v.peaks(), v.files(), v.file_chroms(), n_bins=10, mode="+").select(
+    return coverage.piece_densities(v.reads(), v.regions(), v.files(), v.file_chroms(), n_bins=10, mode="+").select(
         "file_key", "id", "bin", "density")
 
 
@@ -250,9 +306,11 @@ def mask_anti(v):
 
 @query
 def has_locus(v):
-    """Peaks whose place is also the place of an open order."""
-    moved = v.regions().select("chrom", "start", "end", "strand")
-    return overlaps.has_locus(v.peaks(), moved.where(loci.length() > 200)).select("id")
+    """Regions whose place is also the place of a region of another status, or of any region moved by 100 bases."""
+    places = v.regions().select("chrom", "start", "end", "strand", "status")
+    other = places.where("status != 'F'").select(*loci.LOCUS_KEY)
+    moved = places.select("chrom", (F.col("start") + 100).alias("start"), (F.col("end") + 100).alias("end"), "strand")
+    return overlaps.has_locus(v.regions(), other.unionByName(moved)).select("id")
 
 
 @query
@@ -697,7 +755,7 @@ def quantile_limits(v):
 
 @query
 def row_sample(v):
-    return expression.row_sample(v.expression_matrix())
+    return expression.row_sample(v.expression_matrix(), by=["gene"])
 
 
 # --- screen, sequences --------------------------------------------------------------------------
@@ -743,7 +801,9 @@ def rev_comp(v):
 
 @query
 def fasta_fetch(v):
-    out = sequences.fetch(v.sequence_regions(), sequences.tiled(v.sequences()))
+    name = f"strandline_genome_{uuid.uuid4().hex}"
+    genome = sequences.store_genome(v.sequences(), name, f"{checkpoint_dir(v.spark)}/{name}")
+    out = sequences.fetch(v.sequence_regions(), genome)
     return out.select("id", F.length("sequence").cast("long").alias("n"), F.md5("sequence").alias("sequence"))
 
 
@@ -767,7 +827,7 @@ def read_extend(v):
 
 @query
 def junction_split(v):
-    pieces = rd.read_loci(v.reads().where(F.col("cigar").contains("N")))
+    pieces = rd.read_loci(v.reads())
     return pieces.groupBy("chrom", "start", "end", "strand", "part").agg(F.count(F.lit(1)).alias("n"))
 
 

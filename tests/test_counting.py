@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from strandline.operators import coverage
 from strandline.plans import jobs
-from strandline.sources import readers
+from strandline.sources import readers, readstore
 from strandline.streaming import append
 
 SEQUENCE = "ATTTAAAAATTAATTTAATGCTTGGCTAAATCTTAATTACATATATAATT"
@@ -152,44 +154,175 @@ def test_cell_type_is_the_folder(spark, tmp_path):
     assert {(r["file_name"], r["cell_type"]) for r in files.collect()} == {("top.sam", "-"), ("deep.sam", "a_long_cell_typ")}
 
 
-def test_append_equals_one_run(spark, tmp_path):
+READS = "file_name string, cell_type string, chrom string, start long, end long, strand string"
+REGIONS = "id string, chrom string, start long, end long, strand string"
+
+
+def some_reads(spark, names, seed=1):
+    r = random.Random(seed)
+    rows = [(name, "ct" + name[0], c, s := r.randint(0, 900), s + r.randint(1, 60), r.choice("+-"))
+            for name in names for _ in range(60) for c in ("chr1", "chr2", "chr9_random")]
+    return spark.createDataFrame(rows, READS)
+
+
+def headers(spark, names):
+    return spark.createDataFrame([(n, c, 1000) for n in names for c in ("chr1", "chr2", "chr9_random")],
+                                 "file_name string, chrom string, length long")
+
+
+def as_rows(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def keyed(df, names):
+    """The keys a store gives: new files after the known ones, by name."""
+    keys = df.sparkSession.createDataFrame([(n, i + 1, "ct" + n[0]) for i, n in enumerate(names)], "file_name string, file_key int, cell_type string")
+    return df.drop("cell_type").join(keys, "file_name").drop("file_name")
+
+
+@pytest.mark.parametrize("settings", [
+    {"bin_size": 50}, {"bin_size": 70, "extension": 130, "strand": "-"}, {"bin_size": 100, "extension": 5, "blacklist": ["chr2"]},
+    {"regions": True, "extension": 40}, {"regions": True, "extension": 25, "strand": "+"}, {"regions": True, "strand": "-"}])
+def test_append_equals_one_run(spark, tmp_path, settings):
+    """Several appends, with known and repeated files among them, count as one run over all files."""
+    names = ["b.bam", "d.bam", "a.bam", "c.bam"]  # in the order of their keys
+    reads, chroms, store = some_reads(spark, names), headers(spark, names), str(tmp_path / "store")
+    r = random.Random(4)
+    regions = spark.createDataFrame([(f"r{i}", c, s := r.randint(0, 800), s + r.randint(0, 150), r.choice("+-."))
+                                     for i in range(25) for c in ("chr1", "chr2")], REGIONS)
+    options = {k: v for k, v in settings.items() if k != "regions"}
+    append.create_store(spark, store, **options, **({"regions": regions} if "regions" in settings else {}))
+    assert append.stored_counts(spark, store, chroms).count() == 0
+    assert append.append(reads.where("file_name IN ('b.bam', 'd.bam')"), store, "1").count() == 2
+    assert append.append(reads.where("file_name IN ('b.bam', 'a.bam', 'c.bam')"), store, "2").count() == 2
+    assert append.append(reads, store, "3").count() == 0
+    assert {r["file_name"]: r["file_key"] for r in append.ledger(spark, store).collect()} == {n: i + 1 for i, n in enumerate(names)}
+    all_reads, all_chroms = keyed(reads, names), keyed(chroms.withColumn("cell_type", F.lit("")), names)
+    if "regions" in settings:
+        want = coverage.region_counts(all_reads, regions, all_chroms, extension=options.get("extension", 0), mode=options.get("strand", "."))
+    else:
+        want = coverage.bin_counts(all_reads, all_chroms, **options)
+    got = append.stored_counts(spark, store, chroms)
+    assert as_rows(got) == as_rows(want) and got.where("count > 0").count() > 0
+
+
+def test_append_counts_a_batch_once(spark, tmp_path):
+    """A batch that ran again replaces itself, counts without a ledger entry don't exist, one of two copies counts."""
+    names = ["x.bam", "y.bam"]
+    reads, chroms, store = some_reads(spark, names), headers(spark, names), str(tmp_path / "store")
+    append.create_store(spark, store, bin_size=50)
+    append.append(reads, store, "7")
+    once = as_rows(append.stored_counts(spark, store, chroms))
+    append.append(reads, store, "7")
+    assert as_rows(append.stored_counts(spark, store, chroms)) == once
+    # an attempt that died before its ledger entry
+    died = coverage.bin_hits(keyed(reads, names), 50).groupBy(*append.BIN_KEYS).agg(F.sum("count").alias("count"))
+    died.write.parquet(f"{store}/counts/batch=8/attempt=dead")
+    assert as_rows(append.stored_counts(spark, store, chroms)) == once
+    other = str(tmp_path / "copies")
+    append.create_store(spark, other, bin_size=50)
+    copies = reads.withColumn("source", F.concat(F.lit("/a/"), "file_name")).unionByName(
+        reads.withColumn("source", F.concat(F.lit("/b/"), "file_name")))
+    append.append(copies, other, "1")
+    assert as_rows(append.stored_counts(spark, other, chroms)) == once
+    with pytest.raises(ValueError, match="bin_size or regions"):
+        append.create_store(spark, str(tmp_path / "no"))
+
+
+def test_derived_tables_of_a_store(spark, tmp_path):
     write_sam(tmp_path / "bam" / "a.sam", ["chr1", "chr2"], "A" * 50)
     write_sam(tmp_path / "bam" / "c.sam", ["chr1", "chr2"], "C" * 50)
     reads, files, chroms = load(spark, tmp_path / "bam")
+    named = reads.drop("cell_type", "file_name").join(files.select("file_key", "file_name", "cell_type"), "file_key")
     store = str(tmp_path / "store")
-    first = files.where("file_name = 'a.sam'")
-    none = files.where("false")
-    assert append.count_new_files(none, first, reads, chroms, store, 25, "1").count() == 1
-    assert append.count_new_files(first, files, reads, chroms, store, 25, "2").count() == 1
-    assert append.count_new_files(files, files, reads, chroms, store, 25, "3").count() == 0
-    grown = append.stored_counts(spark, store, chroms, 25)
+    append.create_store(spark, store, bin_size=25)
+    for name in ("a.sam", "c.sam"):
+        append.append(named.where(F.col("file_name") == name), store, name)
+    lengths = chroms.drop("file_name").join(files.select("file_key", "file_name"), "file_key")
+    again = append.derived_tables(spark, store, lengths, files)
     once = jobs.bin_counting(reads, files, chroms, 25)
-    order = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
-    assert order(grown) == order(once["bin_counts"])
-    again = append.derived_tables(grown, files, 25)
     for name in ("normalized_counts", "summary"):
-        assert order(again[name]) == order(once[name])
+        assert as_rows(again[name]) == as_rows(once[name])
     assert coverage.summary_violations(once["summary"], files).count() == 0
 
 
-def test_streaming_counts(spark, tmp_path):
-    rows = [(1, "ct1", "chr1", i * 7, i * 7 + 20, "+") for i in range(40)]
+@pytest.mark.parametrize("settings", [{"bin_size": 50, "extension": 20}, {"regions": True, "extension": 20}])
+def test_streaming_append(spark, tmp_path, settings):
+    """Files that arrive one by one, some of them known, give the counts of one run; a restart adds nothing."""
+    names = ["a.bam", "b.bam", "c.bam"]
+    reads, chroms, store = some_reads(spark, names, 3), headers(spark, names), str(tmp_path / "store")
+    regions = spark.createDataFrame([("r1", "chr1", 100, 300, "."), ("r2", "chr2", 0, 999, "+")], REGIONS)
+    append.create_store(spark, store, **({"regions": regions} if "regions" in settings else {"bin_size": settings["bin_size"]}), extension=20)
+    # b.bam is known to the store before the stream begins
+    append.append(reads.where("file_name = 'b.bam'"), store, "before")
+    run = 0
+    for name in ("a.bam", "b.bam", "c.bam", "a.bam"):
+        reads.where(F.col("file_name") == name).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        run += 1
+        stream = spark.readStream.schema(READS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        append.start_append(stream, store, str(tmp_path / "ckpt")).awaitTermination()
+    order = ["b.bam", "a.bam", "c.bam"]
+    assert {r["file_name"]: r["file_key"] for r in append.ledger(spark, store).collect()} == {n: i + 1 for i, n in enumerate(order)}
+    all_reads, all_chroms = keyed(reads, order), keyed(chroms.withColumn("cell_type", F.lit("")), order)
+    if "regions" in settings:
+        want = coverage.region_counts(all_reads, regions, all_chroms, extension=20)
+    else:
+        want = coverage.bin_counts(all_reads, all_chroms, 50, extension=20)
+    assert as_rows(append.stored_counts(spark, store, chroms)) == as_rows(want)
+
+
+def test_running_counts(spark, tmp_path):
     schema = "file_key int, cell_type string, chrom string, start long, end long, strand string"
-    reads = spark.createDataFrame(rows, schema)
-    reads.repartition(4).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = append.start_append(stream, str(tmp_path / "store"), str(tmp_path / "ckpt"), 50)
-    query.awaitTermination()
-    chroms = spark.createDataFrame([(1, "ct1", "chr1", 400)], "file_key int, cell_type string, chrom string, length long")
-    got = sorted(map(str, append.stored_counts(spark, str(tmp_path / "store"), chroms, 50).collect()))
-    want = coverage.bin_counts(reads, chroms, 50)
-    assert got == sorted(map(str, want.select("file_key", "cell_type", "chrom", "bin_number", "count").collect()))
+    spark.createDataFrame([(1, "ct1", "chr1", i * 7, i * 7 + 20, "+") for i in range(40)], schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
     memory = (append.running_counts(stream, 50).writeStream.format("memory").queryName("live").outputMode("complete")
               .option("checkpointLocation", str(tmp_path / "ckpt2")).trigger(availableNow=True).start())
     memory.awaitTermination()
     assert spark.table("live").agg(F.sum("count")).first()[0] == 40 * 20
 
 
+def scanned_bytes(df):
+    """Bytes of the files that the scans of a plan opened."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    rows, found = [plan], []
+    while rows:
+        node = rows.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            rows.append(node.executedPlan())
+            continue
+        metrics = node.metrics()
+        if metrics.contains("filesSize"):
+            found.append(metrics.apply("filesSize").value())
+        rows += [node.children().apply(i) for i in range(node.children().size())]
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            rows.append(node.plan())
+    return sum(found)
+
+
+def test_read_store(spark, tmp_path):
+    r = random.Random(6)
+    rows = [(f"chr{r.randint(1, 3)}", s := r.randint(0, 4_000_000), s + r.randint(20, 150), r.choice("+-")) for _ in range(30_000)]
+    rows += [("chr1", 100, 3_000_000, "+"), ("chr2", 70_000, 70_000 + (1 << 16), "-"), ("chr2", 5, 5 + (1 << 16) + 1, "-")]
+    reads = spark.createDataFrame(rows, "chrom string, start long, end long, strand string")
+    path = str(tmp_path / "store")
+    readstore.store_reads(reads, path, tile_bits=16)
+    every = readstore.stored_reads(spark, path, tile_bits=16)
+    assert sorted(map(tuple, every.select("chrom", "start", "end", "strand").collect())) == sorted(rows)
+    whole = scanned_bytes(every.select("*", F.col("start") + 1))
+    for chrom, start, end in [("chr1", 1_500_000, 1_500_400), ("chr2", 70_000, 70_010), ("chr2", 65_541, 65_542), ("chr3", 0, 10), ("chr4", 0, 10)]:
+        got = readstore.region_reads(spark, path, chrom, start, end, tile_bits=16)
+        want = sorted(x for x in rows if x[0] == chrom and x[1] < end and x[2] >= start)
+        assert sorted(map(tuple, got.select("chrom", "start", "end", "strand").collect())) == want
+        assert scanned_bytes(got) < 0.05 * whole
+    regions = spark.createDataFrame([("a", "chr1", 1_500_000, 1_500_400, "."), ("b", "chr3", 9_000, 9_900, "+")], REGIONS)
+    near = readstore.nearby_reads(spark, path, regions, tile_bits=16)
+    assert scanned_bytes(near) < 0.1 * whole
+    counted = [sorted(map(tuple, coverage.region_hits(x.withColumn("file_key", F.lit(1)), regions).collect())) for x in (near, reads)]
+    assert counted[0] == counted[1] and counted[0]
+    assert readstore.nearby_reads(spark, path, regions.limit(0), tile_bits=16).count() == 0
+
+
 def test_extension_and_strands(spark, frame):
     reads = frame([(1, "c", "chr1", 10, 20, "+"), (1, "c", "chr1", 60, 70, "-"), (1, "c", "chr1", 45, 50, "+")],
                   "file_key int, cell_type string, chrom string, start long, end long, strand string")

@@ -1,9 +1,11 @@
-"""Operators against brute force, on the plain path and on the one for data of any size."""
+"""Operators against brute force, and bounds on their plans."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -13,7 +15,7 @@ from strandline.functions import loci
 from strandline.functions import reads as rd
 from strandline.functions.sequence import reverse_complement
 from strandline.operators import (collections, coverage, expression, genes, matrices, ordering, overlaps, ranking,
-                                  screen, sequences, skew, stitching)
+                                  screen, sequences, stitching)
 from strandline.plans import jobs
 
 LOCUS = "id string, chrom string, start long, end long, strand string"
@@ -51,45 +53,63 @@ def two_sets(spark, tmp_path_factory):
     return a, b, *frames
 
 
-@pytest.fixture
-def everything_hot(spark):
-    """Treat every repeated key as hot."""
-    spark.conf.set(skew.MIN_HOT_CONF, "2")
-    yield
-    spark.conf.unset(skew.MIN_HOT_CONF)
+RELATIONS = {"overlap": meets, "contained": lambda x, y: x[1] == y[1] and y[2] <= x[2] and x[3] <= y[3],
+             "contains": lambda x, y: x[1] == y[1] and x[2] <= y[2] and y[3] <= x[3]}
 
 
-@pytest.mark.parametrize("salt", [False, True])
 @pytest.mark.parametrize("mode,relation", [("sense", "overlap"), ("antisense", "contained"), ("both", "contains")])
-def test_overlap_join(two_sets, everything_hot, mode, relation, salt):
+def test_overlap_join(two_sets, mode, relation):
     a, b, fa, fb = two_sets
-    tests = {"overlap": meets, "contained": lambda x, y: x[1] == y[1] and y[2] <= x[2] and x[3] <= y[3],
-             "contains": lambda x, y: x[1] == y[1] and x[2] <= y[2] and y[3] <= x[3]}
-    want = sorted((x[0], y[0]) for x in a for y in b if tests[relation](x, y) and strands(x, y, mode))
-    got = overlaps.overlap_join(fa, fb, mode, relation, salt=salt).select("id", "b_id").collect()
+    want = sorted((x[0], y[0]) for x in a for y in b if RELATIONS[relation](x, y) and strands(x, y, mode))
+    got = overlaps.overlap_join(fa, fb, mode, relation).select("id", "b_id").collect()
     assert sorted(map(tuple, got)) == want
 
 
-@pytest.mark.parametrize("salt", [False, True])
-def test_overlap_filter(two_sets, everything_hot, salt):
-    a, b, fa, fb = two_sets
-    short = [y for y in b if y[3] - y[2] < 1000]
-    fshort = fb.where("end - start < 1000")
-    hit = {x[0] for x in a if any(meets(x, y) and strands(x, y, "antisense") for y in short)}
-    kept = overlaps.overlap_filter(fa, fshort, "antisense", salt=salt).select("id").collect()
-    left = overlaps.overlap_filter(fa, fshort, "antisense", keep=False, salt=salt).select("id").collect()
-    assert {r["id"] for r in kept} == hit and {r["id"] for r in left} == {x[0] for x in a} - hit
-
-
-def test_hot_key_is_spread(spark, everything_hot):
-    left = spark.range(3000).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS a")
-    right = spark.range(3000).selectExpr("if(id < 20, 0, id) AS k", "id AS b")
-    hot = skew.hot_keys(left, ["k"], "salts").collect()
-    assert [r["k"] for r in hot] == [0] and hot[0]["salts"] > 100
-    plain = left.join(right, "k")
-    assert skew.salted_join(left, right, ["k"], salt=True).exceptAll(plain).count() == 0
-    assert skew.salted_join(left, right, ["k"], salt=True).count() == plain.count()
-    assert skew.salted_join(left, right, ["k"], "left", salt=True).count() == left.join(right, "k", "left").count()
+@pytest.mark.parametrize("relation", ["overlap", "contained"])
+@pytest.mark.parametrize("mode", ["sense", "antisense", "both"])
+@pytest.mark.parametrize("longest", [40, 6000, 5_000_000])
+def test_overlap_filter(spark, frame, mode, relation, longest):
+    """Against brute force, with partners of all lengths, some equal, empty or at the edges of windows."""
+    lengths = [n for n in (0, 1, 30, 511, 512, 513, 5000, 40_000, 300_000, 3_000_000) if n <= longest]
+    a = random_loci(220, 11, (0, 1, 30, 700, 5000, 40_000, 3_000_000), 300_000)
+    b = random_loci(40, 12, lengths, 300_000, "b") + [("e0", "c1", 512, 1023, "+"), ("e1", "c2", 1024, 1024 + min(longest, 32768), "-")]
+    a += [("x0", "c1", 1023, 1024, "."), ("x1", "c1", 512, 1023, "-"), ("x2", "c2", 1024, 1600, "+"), ("x3", None, 0, 9, "+")]
+    want = {x[0] for x in a for y in b if x[1] and RELATIONS[relation](x, y) and strands(x, y, mode)}
+    fa, fb = frame(a, LOCUS), frame(b, LOCUS)
+    for keep, ids in ((True, want), (False, {x[0] for x in a} - want)):
+        got = overlaps.overlap_filter(fa, fb, mode, relation, keep=keep).select("id").collect()
+        assert sorted(r["id"] for r in got) == sorted(ids)
+
+
+def test_partners_in_one_window_are_reduced(spark):
+    """A million mask rows in one window become as many rows as the window has places at most."""
+    mask = spark.range(1_000_000).selectExpr("'c1' AS chrom", "1024 + id % 500 AS b_start", "1024 + id % 500 + id % 7 AS _b_end")
+    finest = overlaps.window_cover(mask, ["chrom"], 9).where("pmod(_key, 4) = 0")
+    assert finest.count() <= 514 and finest.where("_piece >= 0").groupBy("_key").count().agg(F.max("count")).first()[0] <= 512
+    assert overlaps.window_cover(mask, ["chrom"], 9).where("pmod(_key, 4) > 0").count() == 3
+    assert overlaps.window_reach(mask, ["chrom"], 9).count() <= 514
+    wide = spark.range(100_000).selectExpr("'c1' AS chrom", "id % 90000 AS b_start", "id % 90000 + 40000 + id % 5000 AS _b_end")
+    per_window = overlaps.window_cover(wide, ["chrom"], 9).groupBy("_key").count()
+    assert per_window.agg(F.max("count")).first()[0] <= 3
+    shortest = overlaps.window_reach(wide, ["chrom"], 9).groupBy("_key").count().where("pmod(_key, 4) > 0")
+    assert shortest.agg(F.max("count")).first()[0] == 1
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
+def test_plans_read_their_inputs_few_times(frame):
+    """No probing for hot windows: every input is read for the pairs, the widths in use and the zero rows only."""
+    loci_frame = frame(random_loci(20, 1), LOCUS)
+    reads = frame([(1, "c1", 0, 10, "+")], "file_key int, chrom string, start long, end long, strand string")
+    chroms = frame([(1, "ct", "c1", 100)], "file_key int, cell_type string, chrom string, length long")
+    starts = frame([("NM_1", "g", "c1", "+", 5000, 5100)], "id string, name string, chrom string, strand string, tss long, tts long")
+    assert scans(overlaps.overlap_join(loci_frame, loci_frame)) == 2
+    assert scans(overlaps.not_overlapping(loci_frame, loci_frame)) == 3
+    counts = coverage.region_counts(reads, loci_frame, chroms)
+    assert scans(counts) == 4 and scans(genes.gene_pairs(loci_frame, starts, loci_frame)) == 5
+    assert "Exchange" in counts._jdf.queryExecution().executedPlan().toString()
 
 
 def brute_stitch(rows, window):
@@ -117,17 +137,31 @@ def brute_stitch(rows, window):
     return sorted(groups)
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_stitch(frame, small):
+@pytest.fixture
+def narrow_tiles(monkeypatch):
+    """Tiles of 256 bases, so that values are carried over many of them."""
+    monkeypatch.setattr(ordering, "TILE_BASES", 256)
+
+
+def test_stitch(frame, narrow_tiles):
     rows = random_loci(120, 3, lengths=(1, 40, 300, 2000)) + [("zz", "c1", 5, 9, "+"), ("aa", "c1", 5, 9, "+")]
-    got = stitching.stitch(frame(rows, LOCUS), 250, small=small).select("id", "chrom", "start", "end", "strand")
+    got = stitching.stitch(frame(rows, LOCUS), 250).select("id", "chrom", "start", "end", "strand")
     assert sorted(map(tuple, got.collect())) == brute_stitch(rows, 250)
 
 
-def test_sweep_agrees_on_both_paths(frame):
-    peaks = frame(random_loci(80, 4, lengths=(40, 300)), LOCUS)
-    runs = [stitching.stitch_sweep(peaks, 3000, 1000, small=s).orderBy("step").collect() for s in (True, False)]
-    assert runs[0] == runs[1] and [r["step"] for r in runs[0]] == [0, 1000, 2000, 3000]
+def test_sweep(frame, narrow_tiles):
+    """The gap form agrees with stitching anew at every window."""
+    rows = random_loci(80, 4, lengths=(40, 300)) + random_loci(30, 5, lengths=(10, 5000), span=3000, prefix="c")
+    peaks = frame(rows, LOCUS)
+    swept = {r["step"]: r for r in stitching.stitch_sweep(peaks, 3000, 1000).collect()}
+    assert sorted(swept) == [0, 1000, 2000, 3000]
+    base = stitching.stitch(peaks, 0).select("id", "chrom", "start", "end", "strand")
+    for step, row in swept.items():
+        merged = stitching.stitch(base, step, extra={"constit": loci.length()}).collect()
+        region, constit = ([r["end"] - r["start"] + 1 for r in merged], [r["constit"] for r in merged])
+        assert (row["num_regions"], row["total_constit"], row["total_region"]) == (len(merged), sum(constit), sum(region))
+        assert row["median_region"] == pytest.approx(np.median(region), abs=0.01)
+        assert row["median_stitch_fraction"] == pytest.approx(np.median(np.array(constit) / region), abs=0.006)
 
 
 def test_order_statistics(frame):
@@ -139,23 +173,22 @@ def test_order_statistics(frame):
     def rank(v, values):
         return sum(x < v for x in values) + (sum(x == v for x in values) + 1) / 2
 
-    for small in (True, False):
-        got = ordering.percentile(df, ["g"], "v", "p", small=small).collect()
-        for row in got:
-            values = by[row["g"]]
-            assert row["p"] == pytest.approx((rank(row["v"], values) - 1) / (len(values) - 1) * 100)
-        for row in ordering.quantiles(df, ["g"], "v", {"a": 0.37, "m": 0.5}, small=small).collect():
-            assert row["a"] == pytest.approx(np.quantile(by[row["g"]], 0.37))
-            assert row["m"] == pytest.approx(np.median(by[row["g"]]))
-        order = [F.col("v"), F.col("id")]
-        numbered = ordering.row_numbers(df, [], order, "n", small=small).collect()
-        assert [x["id"] for x in sorted(numbered, key=lambda x: x["n"])] == [
-            i for i, _, v in sorted(rows, key=lambda t: (t[2], t[0]))]
-        values = [v for _, _, v in sorted(rows, key=lambda t: (t[2], t[0]))]
-        smooth = ordering.moving_average(df, [], order, "v", 5, "s", small=small)
-        smooth = [x["s"] for x in sorted(smooth.collect(), key=lambda x: (x["v"], x["id"]))]
-        assert smooth[:2] == [None, None] and smooth[2] == pytest.approx(np.mean(values[:5]))
-        assert smooth[150] == pytest.approx(np.mean(values[148:153]))
+    got = ordering.percentile(df, ["g"], "v", "p").collect()
+    for row in got:
+        values = by[row["g"]]
+        assert row["p"] == pytest.approx((rank(row["v"], values) - 1) / (len(values) - 1) * 100)
+    for row in ordering.quantiles(df, ["g"], "v", {"a": 0.37, "m": 0.5}).collect():
+        assert row["a"] == pytest.approx(np.quantile(by[row["g"]], 0.37))
+        assert row["m"] == pytest.approx(np.median(by[row["g"]]))
+    order = [F.col("v"), F.col("id")]
+    numbered = ordering.row_numbers(df, [], order, "n").collect()
+    assert [x["id"] for x in sorted(numbered, key=lambda x: x["n"])] == [
+        i for i, _, v in sorted(rows, key=lambda t: (t[2], t[0]))]
+    values = [v for _, _, v in sorted(rows, key=lambda t: (t[2], t[0]))]
+    smooth = ordering.moving_average(df, [], order, "v", 5, "s")
+    smooth = [x["s"] for x in sorted(smooth.collect(), key=lambda x: (x["v"], x["id"]))]
+    assert smooth[:2] == [None, None] and smooth[2] == pytest.approx(np.mean(values[:5]))
+    assert smooth[150] == pytest.approx(np.mean(values[148:153]))
 
 
 def test_tangent_cutoff(frame):
@@ -166,14 +199,13 @@ def test_tangent_cutoff(frame):
         slope = (vector[-1] - vector[0]) / n
         best = min(range(n), key=lambda i: (vector[i] - slope * (i + 1), i))
         df = frame([(v,) for v in values], "v double")
-        for small in (True, False):
-            assert ranking.tangent_cutoff(df, "v", small=small).first()[0] == vector[best]
+        assert ranking.tangent_cutoff(df, "v").first()[0] == vector[best]
     # the chosen point has the fewest points on or below its tangent
     below = [sum(v <= vector[i] + slope * (j - i) + 1e-9 for j, v in enumerate(vector)) for i in range(n)]
     assert below[best] == min(below)
 
 
-def test_coverage_paths_agree(frame, everything_hot):
+def test_region_counts(frame):
     r = random.Random(7)
     reads = [(1, "ct", "c1" if i % 3 else "c2", s := r.randint(0, 900), s + r.randint(1, 60), r.choice("+-")) for i in range(300)]
     regions = [(f"r{i}", "c1", s := r.randint(0, 800), s + r.randint(0, 200), r.choice("+-.")) for i in range(40)]
@@ -188,22 +220,20 @@ def test_coverage_paths_agree(frame, everything_hot):
                 a, b = (s, e + 25) if strand == "+" else (max(0, s - 25), e)
                 total += max(0, min(b, g[3]) - max(a, g[2]))
         want[g[0]] = total
-    for salt in (False, True):
-        got = coverage.region_counts(f_reads, f_regions, chroms, extension=25, salt=salt).collect()
-        assert {r["id"]: r["count"] for r in got} == want
+    got = coverage.region_counts(f_reads, f_regions, chroms, extension=25).collect()
+    assert {r["id"]: r["count"] for r in got} == want
     empty = [g[0] for g in regions if g[2] == g[3]]
     files = frame([(1, 300)], "file_key int, mapped long")
     dens = coverage.region_densities(coverage.region_counts(f_reads, f_regions, chroms), files)
     assert {r["id"] for r in dens.where("density is null").collect()} == set(empty)
 
 
-def test_depth_segments(frame):
+def test_depth_segments(frame, narrow_tiles):
     rows = [("c1", 5, 9, "+"), ("c1", 8, 12, "-"), ("c1", 20, 20, "+"), ("c1", 5, 9, "+")]
     df = frame(rows, "chrom string, start long, end long, strand string")
     want = [(5, 7, 2, 0), (8, 9, 2, 1), (10, 12, 0, 1), (20, 20, 1, 0)]
-    for small in (True, False):
-        got = coverage.depth_segments(df, small=small).orderBy("start").select("start", "end", "plus", "minus").collect()
-        assert [tuple(r) for r in got] == want
+    got = coverage.depth_segments(df).orderBy("start").select("start", "end", "plus", "minus").collect()
+    assert [tuple(r) for r in got] == want
 
 
 def test_short_regions_have_no_bins(frame):
@@ -218,7 +248,8 @@ def test_short_regions_have_no_bins(frame):
     assert arrays["long"] == [0.0, round(2 / 5, 4), round(4 / 5, 4), round(4 / 5, 4)]
 
 
-def test_nearest_gene(frame):
+def test_nearest_gene(frame, monkeypatch):
+    monkeypatch.setattr(ordering, "TILE_BASES", 100_000)
     r = random.Random(8)
     regions = [(f"r{i}", "c1", s := r.randint(0, 3_000_000), s + r.randint(1, 5000), ".") for i in range(60)]
     notes = [(f"NM_{i}", f"g{i % 30}", "c1", r.choice("+-"), t := r.randint(0, 3_000_000) // 50 * 50, t + 400, i) for i in range(50)]
@@ -237,17 +268,17 @@ def test_nearest_gene(frame):
                 found.append((abs((s + e) // 2 - t), kind, n[0], n[1]))
         if found:
             want[rid] = min(found)[3]
-    for small in (True, False):
-        got = genes.nearest_gene(f_regions, starts, pairs, small=small).collect()
-        assert {r["id"]: r["closest_gene"] for r in got} == want
+    got = genes.nearest_gene(f_regions, starts, pairs).collect()
+    assert {r["id"]: r["closest_gene"] for r in got} == want
 
 
 def test_greedy_windows(spark, frame):
     r = random.Random(9)
     peaks = [(f"p{i}", "c1", s := r.randint(0, 20_000), s + r.randint(10, 400), r.choice([1, 2])) for i in range(80)]
+    peaks += [(f"h{i}", "c1", s := 9000 + i % 40, s + 20 + i % 3, 1) for i in range(150)] + [("wide", "c1", 0, 15_000, 2)]
     df = frame(peaks, "id string, chrom string, start long, end long, sample_rank int")
     starts = frame([("NM_1", "g", "c1", "+", 5000, 5100)], "id string, name string, chrom string, strand string, tss long, tts long")
-    turn = {x["id"]: x["h"] for x in df.select("id", F.xxhash64("chrom", "start", "end").alias("h")).collect()}
+    turn = {p[0]: hashlib.md5(f"{p[1]}:{p[2]}:{p[3]}".encode()).hexdigest() for p in peaks}
     chosen = []
     for p in sorted(peaks, key=lambda p: (p[4], turn[p[0]], p[0])):
         if p[2] <= 5300 and p[3] >= 4700:
@@ -340,13 +371,26 @@ def test_screen(spark):
     assert tuple(screen.extraction_stats(records, "CACCG").first()) == (3, 2, 2 / 3)
 
 
-def test_sequences(spark):
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sequences(spark, tmp_path, no_broadcast):
     text = "".join(random.Random(3).choice("ACGT") for _ in range(333))
-    tiles = sequences.tiled(spark.createDataFrame([("c1", text)], "chrom string, sequence string"))
+    genome = spark.createDataFrame([("c1", text), ("c2", text[::-1])], "chrom string, sequence string")
+    tiles = sequences.store_genome(genome, f"genome_{tmp_path.name}", str(tmp_path / "genome"), size=50, buckets=4)
     regions = spark.createDataFrame([("a", "c1", 50, 161, "+"), ("b", "c1", 99, 100, "+"), ("c", "c1", 0, 333, "+")], LOCUS)
-    got = {r["id"]: r["sequence"] for r in sequences.fetch(regions, tiles).collect()}
+    fetched = sequences.fetch(regions, tiles, 50)
+    plan = fetched._jdf.queryExecution().executedPlan().toString()
+    genome_side = plan[plan.index("SortMergeJoin"):].split("FileScan")[0].split("\n")
+    assert "Bucketed: true" in plan and not any("Exchange" in line for line in genome_side[genome_side.index(max(
+        (x for x in genome_side if "Exchange" in x), key=genome_side.index)) + 1:])
+    got = {r["id"]: r["sequence"] for r in fetched.collect()}
     assert got == {"a": text[50:161], "b": text[99:100], "c": text}
-    one = {r["id"]: r["sequence"] for r in sequences.fetch(regions.where("id = 'a'"), tiles, zero_based=False).collect()}
+    one = {r["id"]: r["sequence"] for r in sequences.fetch(regions.where("id = 'a'"), tiles, 50, zero_based=False).collect()}
     assert one == {"a": text[49:160]}
 
 
@@ -358,6 +402,42 @@ def test_occupancy_logic_and_medians(spark, frame):
     assert cells == {"r1": (1, 0, 1), "r2": (0, 1, 1), "r3": (0, 0, 0)}
     assert {r["id"] for r in out["selected"].collect()} == {"r1", "r2"}
     matrix = frame([("r1", 10.0, 4.0), ("r2", 3.0, 5.0), ("r3", 8.0, 2.0)], "id string, t double, c double")
-    for small in (True, False):
-        got = matrices.median_normalised(matrix, {"s": ("t", "c")}, small=small).collect()
-        assert {r["id"]: r["s"] for r in got} == {"r1": 1.0, "r2": 0.0, "r3": 1.0}
+    got = matrices.median_normalised(matrix, {"s": ("t", "c")}).collect()
+    assert {r["id"]: r["s"] for r in got} == {"r1": 1.0, "r2": 0.0, "r3": 1.0}
+
+
+def test_row_sample_is_stable(spark):
+    df = spark.range(5000).selectExpr("concat('g', id) AS gene", "id % 3 AS v")
+    runs = [sorted(map(tuple, expression.row_sample(df.repartition(n), 100).collect())) for n in (1, 200)]
+    assert runs[0] == runs[1] and len(runs[0]) == 100
+    want = sorted((f"g{i}", i % 3) for i in sorted(range(5000), key=lambda i: hashlib.md5(f"7:g{i}".encode()).hexdigest())[:100])
+    by_gene = expression.row_sample(df, 100, by=["gene"]).collect()
+    assert sorted(map(tuple, by_gene)) == want
+
+
+def test_correlation_of_many_samples(spark):
+    rng = np.random.default_rng(1)
+    data = rng.normal(size=(60, 5)) * [1, 1e-3, 5, 1, 0] + [1e6, 0, 3, -2, 7]
+    data[:, 3] += data[:, 2]
+    rows = [[None if rng.random() < 0.1 else float(x) for x in row] for row in data]
+    names = list("abcde")
+    got = {(r["sample_a"], r["sample_b"]): r["r"] for r in expression.sample_correlation(
+        spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(7), names).collect()}
+    assert len(got) == 15
+    for i, a in enumerate(names):
+        for j, b in list(enumerate(names))[i:]:
+            x, y = zip(*[(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None])
+            if "e" in (a, b):
+                assert got[a, b] is None
+            else:
+                assert got[a, b] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-6)
+
+
+def test_plan_of_a_thousand_samples(spark):
+    names = [f"s{i}" for i in range(1000)]
+    wide = spark.range(50).select("id", *[(F.col("id") * (i % 7) % 11).cast("double").alias(n) for i, n in enumerate(names)])
+    began = time.perf_counter()
+    rows = expression.sample_correlation(wide, names)
+    rows._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - began < 20  # the job for the means included
+    assert rows.count() == 500_500

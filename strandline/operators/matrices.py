@@ -27,22 +27,24 @@ def lengthen(df: DataFrame, keys: list[str], columns: list[str], name: str = "sa
 
 
 def region_map(stitched: DataFrame, densities: DataFrame, samples: dict, *, sample_col: str = "file_key",
-               drop_chroms: list[str] = ("chrY",)) -> DataFrame:
+               drop_chroms: list[str] = ("chrY",), apart: bool = False) -> DataFrame:
     """Stitched loci with one signal column per sample.
 
-    ``densities`` holds the mapped regions (sample, chrom, start, end, density);
-    a locus gets round(density, 4) * span of every mapped region it touches.
+    ``densities`` holds the mapped regions (sample, id, locus, density); a locus
+    gets round(density, 4) * span of every mapped region it touches. Where the
+    mapped regions are the loci themselves and none touches another (``apart``),
+    that is its own, found by id.
     """
     kept = stitched.where(~F.col("chrom").isin(list(drop_chroms)))
     key = ["id", *loci.LOCUS_KEY]
-    mapped = densities.select(
-        sample_col, "chrom", "start", "end",
-        (F.round("density", 4) * (F.col("end") - F.col("start"))).alias("signal"))
-    pairs = overlap_join(kept.select(*key), mapped)
-    sums = pairs.groupBy(*key).agg(*[
-        F.sum(F.when(F.col("b_" + sample_col) == k, F.col("b_signal"))).alias(name)
-        for k, name in samples.items()])
-    return kept.join(sums, key, "left").fillna(0.0, subset=list(samples.values()))
+    signal = F.round("density", 4) * (F.col("end") - F.col("start"))
+    # one row per mapped region, whatever the number of samples
+    mapped = densities.groupBy(*key).agg(*[
+        F.sum(F.when(F.col(sample_col) == k, signal)).alias(name) for k, name in samples.items()])
+    if not apart:
+        pairs = overlap_join(kept.select(*key), mapped)
+        mapped = pairs.groupBy(*key).agg(*[F.sum("b_" + name).alias(name) for name in samples.values()])
+    return kept.join(mapped, key, "left").fillna(0.0, subset=list(samples.values()))
 
 
 def collapse_replicates(matrix: DataFrame, pairs: list[tuple[str, str | None]], name: str = "signal") -> DataFrame:

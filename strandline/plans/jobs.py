@@ -20,15 +20,16 @@ def bin_counting(reads: DataFrame, files: DataFrame, file_chroms: DataFrame, bin
                  extension: int = 0, strand: str = ".",
                  blacklist: list[str] = coverage.BIN_BLACKLIST) -> dict[str, DataFrame]:
     """Bin counts, normalised bins with percentiles and the summary."""
-    counts = coverage.bin_counts(reads, file_chroms, bin_size, extension=extension, strand=strand,
-                                 blacklist=blacklist)
+    counts = checkpointed(coverage.bin_counts(reads, file_chroms, bin_size, extension=extension, strand=strand,
+                                              blacklist=blacklist))
     return {"bin_counts": counts, **derived_from_counts(counts, files, bin_size)}
 
 
 def derived_from_counts(counts: DataFrame, files: DataFrame, bin_size: int) -> dict[str, DataFrame]:
-    """Normalised bins with percentiles and the summary."""
+    """Normalised bins with percentiles and the summary; ``counts`` and ``files`` are read several times."""
     lines = coverage.bin_percentiles(counts, files, bin_size)
-    normalised = lines.unionByName(coverage.cell_type_averages(lines, files, bin_size))
+    averages = coverage.cell_type_averages(coverage.normalised_bins(counts, files, bin_size), files, bin_size)
+    normalised = checkpointed(lines.unionByName(averages))
     summary = coverage.bin_summary(normalised)
     return {"normalized_counts": normalised, "summary": summary,
             "sorted_summary": coverage.sorted_summary(summary)}

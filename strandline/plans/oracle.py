@@ -386,9 +386,9 @@ ORACLE["signal_table_median"] = """
 SELECT id, round(greatest(0.0, file2) / (SELECT nullif(median(file2), 0) FROM rmap), 6) AS s2 FROM rmap"""
 
 
-def _cutoff(value: str) -> str:
+def _cutoff(value: str, table: str = "rmap") -> str:
     return f"""(SELECT arg_min(v, (v - slope * i, i)) FROM (SELECT v, row_number() OVER (ORDER BY v) AS i,
-  (max(v) OVER () - min(v) OVER ()) / count(*) OVER () AS slope FROM (SELECT CAST(greatest({value}, 0) AS DOUBLE) AS v FROM rmap)))"""
+  (max(v) OVER () - min(v) OVER ()) / count(*) OVER () AS slope FROM (SELECT CAST(greatest({value}, 0) AS DOUBLE) AS v FROM {table})))"""
 
 
 _TIES = "e - s ASC, chrom DESC, s DESC, e DESC, id DESC"

@@ -398,10 +398,10 @@ def merged_provenance(v):
 # --- signal, ranks ------------------------------------------------------------------------------
 
 def _region_map(v: Views) -> DataFrame:
-    stitched = stitching.constituent_size(_stitched(v), v.peaks())
+    stitched = checkpointed(stitching.constituent_size(checkpointed(_stitched(v)), v.peaks()))
     densities = coverage.region_densities(
-        coverage.region_counts(v.reads(), _stitched(v), v.file_chroms()), v.files())
-    return matrices.region_map(stitched, densities, FILES)
+        coverage.region_counts(v.reads(), stitched, v.file_chroms()), v.files())
+    return matrices.region_map(stitched, densities, FILES, apart=True)
 
 
 def _ranked_map(v: Views) -> DataFrame:

@@ -69,7 +69,7 @@ TABLES["rr_sized"] = _sized("rr_merged", "rr_once")
 _signal_map("rr", "rr_sized", _THREE)
 TABLES["rr_signal"] = "SELECT *, (greatest(0.0, file1 - file3) + greatest(0.0, file2 - file3)) / 2 AS signal FROM rr_map"
 ORACLE["job_replicate_ranking"] = f"""
-SELECT id, constituent_size, round(signal, 3) AS signal, row_number() OVER (ORDER BY signal DESC, {_TIES}) AS enhancer_rank,
+SELECT id, constituent_size, round(signal, 6) AS signal, row_number() OVER (ORDER BY signal DESC, {_TIES}) AS enhancer_rank,
   CAST(signal > {_cutoff('signal', 'rr_signal')} AS INTEGER) AS is_super FROM rr_signal"""
 
 # --- two conditions

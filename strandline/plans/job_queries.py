@@ -41,7 +41,7 @@ def job_replicate_ranking(v):
     reads, files, chroms = _counted(v)
     out = jobs.replicate_ranking([v.peaks("F"), v.peaks("O")], reads, files, chroms, FILES,
                                  [("file1", "file3"), ("file2", "file3")], 500)
-    return rounded(out["super"].select("id", "constituent_size", "signal", "enhancer_rank", "is_super"), "signal", places=3)
+    return rounded(out["super"].select("id", "constituent_size", "signal", "enhancer_rank", "is_super"), "signal")
 
 
 @query

@@ -19,15 +19,34 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+#: Spark removes the shuffle files of an execution that ends with this set.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The rows as written to the shared checkpoint folder: computed once, safe against lost executors."""
-    context = df.sparkSession.sparkContext
+    """The rows as written to the shared checkpoint folder: computed once, safe against lost executors. The shuffle files
+    that led to them are removed, as nothing reads them again."""
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", "")
+        folder = spark.conf.get("spark.checkpoint.dir", "")
         if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp())
-    return df.checkpoint(eager=True)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # the setting holds for plans made from here on
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove the files of frames that cut() returned, once everything that reads them is written itself."""
+    for df in frames:
+        name = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if name.isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name.get())
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_key(*columns: Column) -> Column:

@@ -7,12 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandline.llm.common import components, cut, row_key
+from strandline.llm.common import components, cut, release, row_key
 
 SHINGLE = 5
 REGISTERS, BAND, BANDS = 128, 4, 32
@@ -24,8 +23,6 @@ BASE, RATE = 1.001, 20.0
 PERCENT = 75
 #: Standard errors by which a pair's estimate may fall short before it is given up unverified.
 ERRORS = 4.0
-#: Rows of three numbers that may be broadcast.
-BROADCAST_ROWS = 1_000_000
 
 _rng = np.random.default_rng(20240601)
 _MULTIPLY = (_rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -190,11 +187,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     met = members.groupBy("id").agg(F.sum("size").alias("met"))
     centres = members.join(met, "id").groupBy("band").agg(F.max(F.struct("met", -F.col("id"), "id")).alias("c")).select("band", F.col("c.id").alias("centre"))
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("rep._key").alias("_key"), F.col("rep.doc_id").alias("_id"))
-    wanted = cut(wanted)
-    if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
-        wanted = F.broadcast(wanted)
-    texts = rows.join(wanted, "_key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
-    texts = texts.select("id", "text").repartition("id").dropDuplicates(["id"]).persist(StorageLevel.MEMORY_AND_DISK)  # joins on id move it no more
+    texts = rows.join(cut(wanted).hint("merge"), "_key").where(F.col("doc_id").eqNullSafe(F.col("_id")))
+    # written, so that the joins below have plain shuffles on either side and a centre with many members is split
+    texts = cut(texts.select("id", "text").dropDuplicates(["id"]))
     side = classes.select("id", "n", "registers")
 
     def likely(pairs: DataFrame) -> DataFrame:
@@ -230,7 +225,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         up = components(between).select(F.col("node").alias("root"), F.col("root").alias("_up"))
         alone = between.select(F.col("a").alias("node")).union(between.select("b")).distinct().join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
         roots = cut(roots.union(alone).join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")))
-    texts.unpersist()
+    release(texts, members, rest)
     named = classes.select("same", "id", "least_id").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     least = named.groupBy("root").agg(F.min("least_id").alias("component"))
     out = sketches.select("doc_id", "_key", "n", "same").join(named.join(least, "root").select("same", "component"), "same", "left")

@@ -86,15 +86,16 @@ def two_sided_p():
         c = np.ones_like(x)
         d = 1.0 / keep_off(1.0 - (a + b) * x / (a + 1.0))
         h = d
-        for m in range(1, 300):
+        for m in range(1, 10_000):
             for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
                          -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
                 d = 1.0 / keep_off(1.0 + step * d)
                 c = keep_off(1.0 + step / c)
                 h = h * d * c
-            if np.all(np.abs(d * c - 1.0) < 1e-15):
-                break
-        return h
+            done = np.abs(d * c - 1.0) < 1e-14
+            if np.all(done | ~np.isfinite(h)):
+                return h
+        raise ArithmeticError("the continued fraction did not converge")
 
     def p_value(t, df):
         a, b = df / 2.0, np.full_like(df, 0.5)
@@ -102,9 +103,10 @@ def two_sided_p():
         lg = np.vectorize(lgamma, otypes=[float])
         with np.errstate(divide="ignore", invalid="ignore"):
             front = np.exp(lg(a + b) - lg(a) - lg(b) + a * np.log(x) + b * np.log1p(-x))
-            direct = front * beta_fraction(a, b, x) / a
-            mirrored = 1.0 - front * beta_fraction(b, a, 1.0 - x) / b
-        p = np.where(x < (a + 1.0) / (a + b + 2.0), direct, mirrored)
+            far = x >= (a + 1.0) / (a + b + 2.0)  # there the fraction converges for the other end
+            own, other = np.where(far, b, a), np.where(far, a, b)
+            part = front * beta_fraction(own, other, np.where(far, 1.0 - x, x)) / own
+        p = np.where(far, 1.0 - part, part)
         return np.where(t == 0, 1.0, np.where(x <= 0, 0.0, p))
 
     return p_value

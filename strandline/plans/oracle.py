@@ -563,6 +563,20 @@ SELECT gene, round(m1, 6) AS mean1, round(m2, 6) AS mean2, round(log2(m2 / m1),
   round(nullif(e1 + e2, 0) * nullif(e1 + e2, 0) / (e1 * e1 / (n1 - 1) + e2 * e2 / (n2 - 1)), 6) AS df
 FROM (SELECT gene, avg(x) AS m1, avg(y) AS m2, var_samp(x) / count(x) AS e1, var_samp(y) / count(y) AS e2, count(x) AS n1, count(y) AS n2
   FROM (SELECT gene, CASE WHEN sample LIKE 'A%' THEN value END AS x, CASE WHEN sample LIKE 'R%' THEN value END AS y FROM expr) GROUP BY 1)"""
+# the integral of Student's density up to |t|, by Simpson's rule over the angle atan(t / sqrt(df))
+TABLES["welch"] = """
+SELECT *, CASE WHEN n1 < 2 OR n2 < 2 THEN NULL WHEN lo = hi THEN 1.0 WHEN t IS NOT NULL THEN 1 - 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi())
+  * h / 3 * list_sum(list_transform(range(0, 2001), lambda k: CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END * pow(cos(k * h), df - 1))) END AS p
+FROM (SELECT *, atan(abs(t) / sqrt(df)) / 2000 AS h FROM (
+  SELECT *, (m1 - m2) / sqrt(nullif(e1 + e2, 0)) AS t,
+    nullif(e1 + e2, 0) * nullif(e1 + e2, 0) / (e1 * e1 / (n1 - 1) + e2 * e2 / (n2 - 1)) AS df
+  FROM (SELECT gene, avg(x) AS m1, avg(y) AS m2, var_samp(x) / count(x) AS e1, var_samp(y) / count(y) AS e2, count(x) AS n1, count(y) AS n2,
+      least(min(x), min(y)) AS lo, greatest(max(x), max(y)) AS hi
+    FROM (SELECT gene, CASE WHEN sample LIKE 'A%' THEN value END AS x, CASE WHEN sample LIKE 'R%' THEN value END AS y FROM expr) GROUP BY 1)))"""
+ORACLE["diff_p_values"] = "SELECT gene, round(p, 5) AS p_value FROM welch"
+ORACLE["sig_genes"] = """
+SELECT gene, CASE WHEN log2(m2 / m1) > 0 THEN 'up' ELSE 'down' END AS direction, round(log2(m2 / m1), 6) AS log2_fold_change, round(p, 5) AS p_value
+FROM welch WHERE abs(log2(m2 / m1)) > 1 AND p < 0.05"""
 TABLES["ranked_expr"] = """
 SELECT gene, sample, rank() OVER (PARTITION BY sample ORDER BY value) + (count(*) OVER (PARTITION BY sample, value) - 1) / 2.0::DOUBLE AS r
 FROM expr WHERE gene IN (SELECT gene FROM expr GROUP BY 1 HAVING max(value) > 1 AND min(value) > 0

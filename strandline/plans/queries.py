@@ -690,13 +690,13 @@ def diff_table(v):
 
 @query
 def diff_p_values(v):
-    return expression.differential(v.expression(), "^A", "^R").select("gene", "p_value")
+    return rounded(expression.differential(v.expression(), "^A", "^R").select("gene", "p_value"), "p_value", places=5)
 
 
 @query
 def sig_genes(v):
-    return expression.significant(expression.differential(v.expression(), "^A", "^R")).select(
-        "gene", "direction", "log2_fold_change", "p_value")
+    table = expression.significant(expression.differential(v.expression(), "^A", "^R"))
+    return rounded(rounded(table.select("gene", "direction", "log2_fold_change", "p_value"), "log2_fold_change"), "p_value", places=5)
 
 
 @query

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,13 +40,18 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any store that Spark writes to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(*frames: DataFrame) -> None:
     """Remove the files of frames that cut() returned, once everything that reads them is written itself."""
     for df in frames:
         name = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
         if name.isDefined():
-            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name.get())
-            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            remove(df.sparkSession, name.get())
 
 
 def row_key(*columns: Column) -> Column:

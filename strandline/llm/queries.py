@@ -94,7 +94,8 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     field = toxicity.learn(docs, _table(spark, sf_dir, "labels"), F.coalesce(_part("doc_id", 5) != 0, F.lit(False)))
     held = F.coalesce(_part("doc_id", 5) == 0, F.lit(False))
-    return toxicity.score_toxicity(docs, field).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return toxicity.score_toxicity(docs, field).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
 
 def licences_query(spark: SparkSession, sf_dir: str) -> DataFrame:

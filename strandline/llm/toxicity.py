@@ -22,6 +22,8 @@ STARTS = (4, 5, 6, 7, 8)
 #: Least rate in toxic text over the rate in clean text.
 LIFT = 8.0
 DIMENSIONS, SEGMENT, STEPS = 1 << 18, 64, 60
+#: Documents tagged together, and words among them with their padding.
+GROUP, CELLS = 192, 400_000
 
 
 def text_words(text: str | None) -> list[bytes]:
@@ -152,11 +154,14 @@ class Field:
         self.level = beta
 
     def tag(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
-        """Marginals of every word of every document; documents of like length go together."""
+        """Marginals of every word of every document; documents of like length go together, GROUP and CELLS at most, so
+        that memory follows the longest text alone."""
         out: list[np.ndarray] = [np.zeros(0)] * len(emissions)
         order = sorted((i for i in range(len(emissions)) if len(emissions[i])), key=lambda i: len(emissions[i]))
-        for at in range(0, len(order), 192):
-            group = order[at : at + 192]
+        while order:
+            longest = len(emissions[order[-1]])
+            many = max(1, min(GROUP, CELLS // longest))
+            order, group = order[:-many], order[-many:]
             lengths = np.array([len(emissions[i]) for i in group])
             e = np.full((lengths.max(), len(group)), -30.0)
             for k, i in enumerate(group):
@@ -203,7 +208,8 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, doc_id: str = "d
     share = {1: min(1.0, SAMPLE_TOXIC / counts.get(1, 1)), 0: min(1.0, SAMPLE_CLEAN / counts.get(0, 1))}
     draw = F.xxhash64("doc_id", F.lit(9)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
     sample = known.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("_row")).select("doc_id", "_row.*")  # of an id given twice, one text
     fitted = rows.select("doc_id", "text", "toxic").repartition(1).mapInArrow(_fit_batches, "weights binary, steps array<double>, level array<double>").first()
     field = Field()
     if fitted is None:  # no labelled rows, no task
@@ -230,10 +236,11 @@ def _spans(text: str, marginals: np.ndarray) -> list[dict]:
     if not bad:
         return []
     raw = text.encode("utf-8", "replace")
+    points = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])  # code points before each byte
     out, last = [], -2
     for i, m in enumerate(re.finditer(rb"[^ \t-\r]+", raw.translate(WORD_BYTES))):
         if i in bad:
-            start, end = (len(raw[:x].decode("utf-8", "replace")) for x in m.span())
+            start, end = (int(points[x]) for x in m.span())
             if i == last + 1:
                 out[-1] = {"start": out[-1]["start"], "end": end, "chance": max(out[-1]["chance"], float(marginals[i]))}
             else:
@@ -246,7 +253,7 @@ def score_toxicity(docs: DataFrame, field: Field, doc_id: str = "doc_id", text:
     """Per document row: the chance that it is toxic, from the marginals over its whole text, and the offending spans.
 
     Null or empty text has no words and the score of a document without toxic words. Rows are scored one by one, so
-    ties, repeated rows and long texts need no care; other columns are ignored.
+    ties and repeated rows need no care; a long text takes memory in proportion to its words; other columns are ignored.
     Columns: doc_id, _key (row_key of doc_id and text), score, spans (code-point start and end, chance)."""
     shared = docs.sparkSession.sparkContext.broadcast(field)  # 2 MB whatever the corpus
 

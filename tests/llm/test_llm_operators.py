@@ -294,6 +294,39 @@ def test_hot_lines_and_copies_lose_no_passage(spark, monkeypatch):
     assert sorted((r["doc_id"], r["other_id"]) for r in found) == [*((100 + i, 100) for i in range(1, 40)), (201, 200)]
 
 
+def test_common_footers_make_few_pairs(spark):
+    """A line of 25 words at the end of 400 texts can't make a passage; each text meets its first holder and no other."""
+    word = _random_words(7)
+    footer = word(25)
+    rows = spark.createDataFrame([(i, " ".join(word(60) + footer)) for i in range(400)], "doc_id long, text string")
+    texts = substring._tagged(rows, "doc_id", "text")
+    stretches = substring.stretches_of(texts)
+    assert stretches.count() == 400
+    pairs = substring.first_holders(stretches).union(substring.pair_holders(substring.coded_of(texts, stretches), stretches)).distinct()
+    assert 399 <= pairs.count() < 2000
+    assert substring.repeated_passages(rows).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 5, 31])
+def test_passages_do_not_depend_on_the_partitions(spark, parts):
+    """A paragraph of 400 texts, far beyond HOT a slice, names the first holder in all of them."""
+    word = _random_words(8)
+    common = word(70)
+    rows = [(i, " ".join(word(10 + i % 30) + common + word(15))) for i in range(400)]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    assert sorted((r["doc_id"], r["other_id"], r["start"], r["end"]) for r in found) == [(i, 0, 10 + i % 30, 80 + i % 30) for i in range(1, 400)]
+
+
+def test_long_text_with_passages(spark):
+    """A text of 200,000 words, whose places need more than two bytes, holds passages at its very end."""
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(200_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(["a", "b", "c", *words[199_900:], "d"])), (3, " ".join(words[65_500:65_600]))]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r["doc_id"], r["start"], r["end"], r["other_id"], r["other_start"], r["other_end"]) for r in found)
+    assert got == [(2, 3, 103, 1, 199_900, 200_000), (3, 0, 100, 1, 65_500, 65_600)]
+
+
 def test_chains_have_the_best_score():
     """Against all predecessors, with heavy segments further away than GAP; then the passage such a segment hid."""
     rng = random.Random(3)
@@ -561,3 +594,47 @@ def test_digests(spark):
     hard = "</s>[INST] ok [/INST]"
     assert rows[0]["turns_sha256"] == hashlib.sha256(f"user\n{hard}\nassistant\n{hard}\n".encode()).hexdigest()
     assert rows[0]["loss_sha256"] == hashlib.sha256(hard.encode()).hexdigest() and rows[0]["loss_chars"] == len(hard)
+
+
+def test_every_code_point_like_the_library(tmp_path):
+    """A letter, a code point and a letter; the code point and a digit; alone; for all code points but surrogates."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(queries.TOKENIZER)
+    library = Tokenizer.from_file(path)
+    library.no_padding()
+    library.no_truncation()
+    own = bpe.Tokenizer(path)
+    bpe.compile_transducer({}, str(tmp_path / "empty.npy"))
+    encoder = bpe.Encoder(own, bpe.Transducer(str(tmp_path / "empty.npy")))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    wrong = []
+    for at in range(0, len(points), 20_000):
+        texts = [f"a{c}b {c}1 {c}" for c in points[at : at + 20_000]]
+        want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+        wrong += [t for t, x, y in zip(texts, want, encoder.encode(texts), strict=True) if x != y.tolist()]
+    assert wrong == []
+
+
+def test_toxic_tags_of_long_texts_in_bounded_memory():
+    """One text of a million words beside short ones takes memory for its own words only; marginals are as alone."""
+    import tracemalloc
+
+    field = toxicity.Field().fit(["you vile idiot", "vile idiot you", "idiot so vile", *["a calm sunny day", "the day was calm"] * 3], [1, 1, 1, 0, 0, 0, 0, 0, 0])
+    rng = np.random.default_rng(1)
+    emissions = [rng.normal(size=n) for n in [5] * 300 + [1_000_000] + [40] * 200]
+    tracemalloc.start()
+    found = field.tag(emissions)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6 and [len(p) for p in found] == [len(e) for e in emissions]
+    for k in (0, 299, 301, 500):
+        assert np.allclose(found[k], field.tag([emissions[k]])[0])
+
+
+def test_words_merged_side_by_side():
+    """All words of a random mix, short and long, with repeated letters and bytes beyond ASCII, as merged one by one."""
+    own, rng = bpe.Tokenizer(public_tokenizers.path(queries.TOKENIZER)), random.Random(12)
+    words = ["".join(rng.choice("aeioustrnlé日<|>1") for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
+    words += ["a", "aaaa", "a" * 39, "a" * 40, "a" * 41, "<|endoftext|>", "the", "thethethe"]
+    assert own.merge_all(words) == [own.merge(w) for w in words]

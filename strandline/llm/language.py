@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -18,6 +19,8 @@ _SIZE = sum(SYMBOLS**n for n in ORDERS)
 SAMPLE, LANDMARKS = 400, 32
 RIDGE = 1e-3
 UNKNOWN = "und"
+#: Texts whose n-gram flags are held at a time.
+_BATCH = 256
 _letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
@@ -106,15 +109,20 @@ def fit(texts: list[str], labels: list[str]) -> Model:
         presence(texts[i], table, flags)
         used |= flags
     grams = np.flatnonzero(used)
-    rows, sizes = np.zeros((len(texts), len(grams)), np.float32), np.zeros(len(texts), np.float32)
-    for i, text in enumerate(texts):
-        presence(text, table, flags)
-        rows[i], sizes[i] = flags[grams], np.count_nonzero(flags)
-    model = Model(letters, languages, grams, np.ascontiguousarray(rows[marked].T), sizes[marked], np.zeros((len(marked), len(languages)), np.float32))
-    among = model.kernel(rows[marked], sizes[marked]).astype(float)
-    values, vectors = np.linalg.eigh(among)
+
+    def rows_of(some: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        rows, sizes = np.zeros((len(some), len(grams)), np.float32), np.zeros(len(some), np.float32)
+        for k, i in enumerate(some):
+            presence(texts[i], table, flags)
+            rows[k], sizes[k] = flags[grams], np.count_nonzero(flags)
+        return rows, sizes
+
+    marks, sizes = rows_of(marked)
+    model = Model(letters, languages, grams, np.ascontiguousarray(marks.T), sizes, np.zeros((len(marked), len(languages)), np.float32))
+    values, vectors = np.linalg.eigh(model.kernel(marks, sizes).astype(float))
     root = (vectors / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
-    features = model.kernel(rows, sizes).astype(float) @ root
+    # of the rows only their kernels with the landmarks are held, some at a time
+    features = np.concatenate([model.kernel(*rows_of(range(at, min(at + _BATCH, len(texts))))).astype(float) for at in range(0, len(texts), _BATCH)]) @ root
     target = np.array([[label == one for one in languages] for label in labels], float)
     share = np.array([1 / (len(languages) * labels.count(label)) for label in labels])[:, None]
     inner = features.T @ (features * share) + RIDGE * np.eye(len(marked))
@@ -124,20 +132,25 @@ def fit(texts: list[str], labels: list[str]) -> Model:
 
 def learn(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """A model from rows of `training` with a label and a text. Each label gives about SAMPLE rows, picked by a hash of
-    doc_id and text against the label's count."""
+    doc_id and text against the label's count; one task fits on them, so the driver holds the model only. Rows with a null
+    label, a null text or one without letters teach nothing; without any other there is a model that knows no language."""
     rows = docs.where(training & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return fit([], [])
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, SAMPLE / n)))])
     draw = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
-    sample = rows.where(draw < F.element_at(share, F.col("lang"))).withColumn("draw", draw).collect()
-    sample.sort(key=lambda r: (r["draw"], r["lang"], r["text"]))
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    sample = rows.where(draw < F.element_at(share, F.col("lang"))).select("text", F.col("lang").cast("string").alias("lang"), draw.alias("draw"))
+    fitted = sample.repartition(1).mapInArrow(_fit_batches, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else fit([], [])
+
+
+def _fit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted(((d, y, t) for b in batches for t, y, d in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True)))
+    yield pa.record_batch([pa.array([pickle.dumps(fit([t for _, _, t in rows], [y for _, y, _ in rows]))], pa.binary())], ["model"])
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
-_BATCH = 256
 
 
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

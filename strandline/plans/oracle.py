@@ -189,6 +189,9 @@ FROM regions g LEFT JOIN (SELECT id, count(*) AS n,
   count(*) FILTER (WHERE strand = CASE g_strand WHEN '.' THEN '+' ELSE g_strand END) AS k FROM fetched GROUP BY 1) USING (id)"""
 ORACLE["region_starts"] = """
 SELECT id, strand, s + 1 AS read_start, count(*) AS n FROM fetched GROUP BY 1, 2, 3"""
+ORACLE["region_starts_text"] = """
+SELECT id, '+:' || coalesce(string_agg(CAST(s + 1 AS VARCHAR), ',' ORDER BY s) FILTER (WHERE strand = '+'), '') || ';-:'
+  || coalesce(string_agg(CAST(s + 1 AS VARCHAR), ',' ORDER BY s) FILTER (WHERE strand = '-'), '') AS starts FROM fetched GROUP BY 1"""
 ORACLE["unique_reads"] = f"""
 SELECT id, {_LOCUS}, seq FROM (SELECT *, row_number() OVER (PARTITION BY id, seq ORDER BY s, e, strand) AS k FROM fetched)
 WHERE k = 1 AND g_strand IN ('.', strand)"""

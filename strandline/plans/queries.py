@@ -209,6 +209,12 @@ def region_starts(v):
     return coverage.region_starts(v.reads(), v.regions())
 
 
+@query
+def region_starts_text(v):
+    """The starts of every region in one cell of text, as often as they occur."""
+    return coverage.starts_text(coverage.region_starts(v.reads(), v.regions()))
+
+
 @query
 def unique_reads(v):
     return coverage.unique_reads(v.reads(), v.regions(), "+", ["start", "end", "strand"])

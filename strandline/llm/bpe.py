@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
 import os
+import re
+import sys
 import tempfile
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -17,13 +22,40 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from strandline.llm.common import slices
 
 #: Words in the transducer, and bytes of the longest.
 FREQUENT, LONGEST = 1 << 16, 48
+#: Symbols of a word up to which all pairs are looked at for each merge, and up to which words are merged side by side.
+SHORT, SIDE_BY_SIDE = 24, 40
+_NEVER = 1 << 60
 _SPACE = r"\t-\r \x85\xa0  -     　"
-_pieces = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+_word = re.compile(rf"[^{_SPACE}]+")
+_ascii_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+").findall
+
+
+def _points() -> str:
+    return "".join(map(chr, (*range(0xD800), *range(0xE000, sys.maxunicode + 1))))
+
+
+def members(prop: str) -> str:
+    """The code points of a Unicode property, as the inside of a character class. The library's tables decide, which are
+    of another version than those of unicodedata and regex."""
+    found = pre_tokenizers.Split(Regex(rf"\p{{{prop}}}+"), behavior="removed", invert=True).pre_tokenize_str(_points())
+    out = []
+    for run, _ in found:
+        cut = run.find("\ue000") if run[0] < "\ud800" and "\ue000" in run else len(run)  # no surrogates in between
+        out += [f"\\U{ord(x[0]):08x}-\\U{ord(x[-1]):08x}" for x in (run[:cut], run[cut:]) if x]
+    return "".join(out)
+
+
+def lower_cased() -> dict[int, str]:
+    """Code points whose lower case in the library is another than in Python."""
+    points = _points().replace("\n", "")
+    lower = normalizers.Lowercase().normalize_str("\n".join(points)).split("\n")
+    return {ord("Σ"): "σ"} | {ord(c): x for c, x in zip(points, lower, strict=True) if c.lower() != x}
 
 
 def byte_letters() -> list[str]:
@@ -47,26 +79,55 @@ class Tokenizer:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         v = self.vocabulary
         self.merges = {(v[a], v[b]): (rank, v[a + b]) for rank, (a, b) in enumerate(pairs)}
-        letters = byte_letters()
-        self.inner, self.last = [v.get(c) for c in letters], [v.get(c + self.end) for c in letters]
+        self.ranked = {p: rank << 32 | new for p, (rank, new) in self.merges.items()}
+        alphabet = byte_letters()
+        self.inner, self.last = [v.get(c) for c in alphabet], [v.get(c + self.end) for c in alphabet]
+        letters, numbers, self.lower = members("L"), members("N"), lower_cased()
+        self._pieces = rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{_SPACE}{letters}{numbers}]+"
         self._splits = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
     def pieces(self, text: str | None) -> list[str]:
         """Special strings and the words between them, normalised."""
         if not text:
             return []
+        if text.isalpha() and text.isascii():
+            return [text.lower()]
+        if not any(x in text for x in self.special):
+            return self._words(text)
         out, at = [], 0
-        for m in self._splits.finditer(text) if self._splits else ():
+        for m in self._splits.finditer(text):
             out += self._words(text[at : m.start()])
             out.append(m[0])
             at = m.end()
         return out + self._words(text[at:]) if at else self._words(text)
 
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower-cased by letter, not by word
-        return _pieces.findall(text.lower())
+    def _words(self, text: str) -> list[str]:
+        if text.isascii():
+            return _ascii_pieces(text.lower())
+        text = unicodedata.normalize("NFC", text)
+        if self._odd(text):
+            text = text.translate(self.lower)  # by letter, not by word
+        return self._find(text.lower())
+
+    @cached_property
+    def _find(self):
+        return re.compile(self._pieces).findall
+
+    @cached_property
+    def _odd(self):
+        return re.compile(f"[{''.join(map(chr, self.lower))}]").search
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("_find", "_odd", "_arrays")}
+
+    @cached_property
+    def apart(self) -> bool:
+        """Whether no special string holds a blank, so that texts may be parted at blanks first."""
+        return not any(re.search(f"[{_SPACE}]", x) for x in self.special)
+
+    def parts(self, text: str | None) -> list[str]:
+        """Stretches of the text that pieces() may be given one by one."""
+        return _word.findall(text or "") if self.apart else [text] if text else []
 
     def merge(self, word: str) -> list[int]:
         """Ids of a word: always the pair of least rank next, the leftmost first."""
@@ -75,6 +136,8 @@ class Tokenizer:
         raw = word.encode("utf-8", "replace")
         ids = [self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]
         ids = [i for i in ids if i is not None]
+        if len(ids) <= SHORT:
+            return self._merge_short(ids)
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(*self.merges[p], k, p) for k, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.merges]
@@ -98,6 +161,73 @@ class Tokenizer:
         return [i for i in ids if i is not None]
 
 
+    @cached_property
+    def _arrays(self) -> tuple[np.ndarray, ...]:
+        """Sorted keys of the pairs with their ranks, the token of each rank, and the tokens of inner and last bytes."""
+        keys = np.array([a * len(self.tokens) + b for a, b in self.merges], np.int64)
+        ranks = np.arange(len(keys))
+        order = np.argsort(keys)
+        made = np.array([new for _, new in self.merges.values()], np.int64)
+        return keys[order], ranks[order], made, *(np.array([-1 if x is None else x for x in y], np.int64) for y in (self.inner, self.last))
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys, ranks = self._arrays[:2]
+        key = left * len(self.tokens) + right
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where((keys[at] == key) & (left >= 0) & (right >= 0), ranks[at], _NEVER)
+
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """merge() of many words: those of like length go through their merges side by side, one merge a step."""
+        out: list[list[int] | None] = [None] * len(words)
+        raw = [w.encode("utf-8", "replace") for w in words]
+        alike: dict[int, list[int]] = {}
+        for i, w in enumerate(raw):
+            if 1 < len(w) <= SIDE_BY_SIDE and self.merges and words[i] not in self.special:
+                alike.setdefault(len(w), []).append(i)
+            else:
+                out[i] = self.merge(words[i])
+        _, _, made, inner, last = self._arrays
+        for length, some in alike.items():
+            letters = np.frombuffer(b"".join([raw[i] for i in some]), np.uint8).reshape(len(some), length)
+            ids = inner[letters]
+            ids[:, -1] = last[letters[:, -1]]
+            who, columns = np.array(some), np.arange(length)
+            for i in who[(ids < 0).any(1)].tolist():  # a byte without a token
+                out[i] = self.merge(words[i])
+            who, ids = who[(ids >= 0).all(1)], ids[(ids >= 0).all(1)]
+            rank = np.full(ids.shape, _NEVER)
+            rank[:, :-1] = self._ranks(ids[:, :-1], ids[:, 1:])
+            while len(who):
+                k = rank.argmin(1)  # of equal ranks the leftmost
+                rows = np.arange(len(who))
+                least = rank[rows, k]
+                done = least == _NEVER
+                for i, row in zip(who[done].tolist(), ids[done].tolist(), strict=True):
+                    out[i] = [x for x in row if x >= 0]
+                who, ids, rank, k, least = (x[~done] for x in (who, ids, rank, k, least))
+                rows = np.arange(len(who))
+                right = np.minimum(columns + (columns > k[:, None]), length - 1)
+                ids[rows, k] = made[least]
+                ids, rank = np.take_along_axis(ids, right, 1), np.take_along_axis(rank, np.minimum(columns + (columns >= k[:, None]), length - 1), 1)
+                ids[:, -1], rank[:, -1] = -1, _NEVER  # one symbol fewer
+                rank[rows, k] = self._ranks(ids[rows, k], ids[rows, np.minimum(k + 1, length - 1)])
+                some_left = np.flatnonzero(k > 0)
+                rank[some_left, k[some_left] - 1] = self._ranks(ids[some_left, k[some_left] - 1], ids[some_left, k[some_left]])
+        return out
+
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """The same by looking at all pairs again after each merge, which takes less time while they are few."""
+        ranked, never = self.ranked.get, 1 << 62
+        while len(ids) > 1:
+            ranks = [ranked(p, never) for p in zip(ids, ids[1:], strict=False)]
+            least = min(ranks)
+            if least == never:
+                break
+            k = ranks.index(least)
+            ids[k : k + 2] = [least & 0xFFFFFFFF]
+        return ids
+
+
 def compile_transducer(words: dict[bytes, list[int]], path: str) -> None:
     """Writes the minimal automaton of the words, built in sorted order: states with the same endings are one. Each arc
     carries how many words come before what it leads to; along a word they add up to its number, which finds its ids.
@@ -149,7 +279,7 @@ class Transducer:
     """A compiled file, memory-mapped."""
 
     def __init__(self, path: str) -> None:
-        whole = np.load(path, mmap_mode="r")
+        whole = np.asarray(np.load(path, mmap_mode="r"))  # the mapped pages, without a check at every access
         self.start, at = int(whole[0]), 7
         parts = []
         for n in whole[1:7].tolist():
@@ -185,30 +315,62 @@ class Transducer:
     def ids_of(self, number: int) -> list[int]:
         return self.ids[self.offsets[number] : self.offsets[number + 1]].tolist()
 
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words of these numbers, one after the other, and how many each has."""
+        start, n = self.offsets[numbers], self.offsets[numbers + 1] - self.offsets[numbers]
+        return self.ids[_gathered(start, n)], n
+
+
+def _gathered(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, .. n places each, one after the other."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+class Numbers(dict):
+    """Each key's number, in order of first use."""
+
+    def __missing__(self, key: str) -> int:
+        number = self[key] = len(self)
+        return number
+
 
 class Encoder:
     def __init__(self, tokenizer: Tokenizer, transducer: Transducer) -> None:
         self.tokenizer, self.transducer = tokenizer, transducer
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text: distinct words are looked up together, those not found are merged."""
-        pieces = [self.tokenizer.pieces(t) for t in texts]
-        place: dict[str, int] = {}
-        flat = np.fromiter((place.setdefault(w, len(place)) for p in pieces for w in p), np.int64, sum(map(len, pieces)))
-        words = list(place)
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has; words that the transducer lacks are merged."""
         numbers = self.transducer.numbers([w.encode("utf-8", "replace") for w in words])
-        ids = [self.transducer.ids_of(n) if n >= 0 else self.tokenizer.merge(w) for w, n in zip(words, numbers.tolist(), strict=True)]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        starts, table = np.cumsum(lengths) - lengths, np.array([i for x in ids for i in x], np.int32)
-        each = lengths[flat]
-        ends = np.cumsum(each)
-        total = int(ends[-1]) if len(ends) else 0
-        out = table[np.repeat(starts[flat] - (ends - each), each) + np.arange(total)] if total else table[:0]
-        by_text, at, tokens = [], 0, np.concatenate([[0], ends])
-        for p in pieces:
-            by_text.append(out[tokens[at] : tokens[at + len(p)]])
-            at += len(p)
-        return by_text
+        known, other = np.flatnonzero(numbers >= 0), np.flatnonzero(numbers < 0)
+        merged = self.tokenizer.merge_all([words[i] for i in other.tolist()])
+        n = np.zeros(len(words), np.int64)
+        found, n[known] = self.transducer.gather(numbers[known])
+        n[other] = [len(x) for x in merged]
+        start, out = np.cumsum(n) - n, np.zeros(int(n.sum()), np.int32)
+        out[_gathered(start[known], n[known])] = found
+        out[_gathered(start[other], n[other])] = [i for x in merged for i in x]
+        return out, n
+
+    @staticmethod
+    def _spread(table: np.ndarray, n: np.ndarray, flat: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of a table (n of each key) for the keys `flat`, and how many each group of keys (so many keys) gets."""
+        each = n[flat]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        bounds = np.concatenate([[0], np.cumsum(groups)])
+        return table[_gathered((np.cumsum(n) - n)[flat], each)], ends[bounds[1:]] - ends[bounds[:-1]]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text. Distinct stretches between blanks are split into words, distinct words are looked up, all
+        together; then both are put back in place."""
+        parts, words = Numbers(), Numbers()
+        by_text = [list(map(parts.__getitem__, self.tokenizer.parts(t))) for t in texts]
+        by_part = [list(map(words.__getitem__, self.tokenizer.pieces(x))) for x in parts]
+        table, n = self._ids(list(words))
+        for lists in (by_part, by_text):
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            flat = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum()))
+            table, n = self._spread(table, n, flat, sizes)
+        return np.split(table, np.cumsum(n)[:-1]) if len(texts) else []
 
     def decode(self, ids: np.ndarray) -> str:
         """As a tokenizer without a decoder does: tokens with blanks between."""
@@ -220,13 +382,16 @@ def _count_batches(tokenizer):
         seen: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            out = pa.record_batch([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            words: Counter = Counter()
+            for part, n in seen.items():
+                for word in tokenizer.value.pieces(part):
+                    words[word] += n
             seen.clear()
-            return out
+            return pa.record_batch([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for text in batch.column(0):
-                seen.update(tokenizer.value.pieces(text.as_py()))
+                seen.update(tokenizer.value.parts(text.as_py()))
                 if len(seen) > 500_000:
                     yield flush()
         yield flush()
@@ -269,8 +434,9 @@ def encode_documents(docs: DataFrame, path: str, limit: int = FREQUENT, doc_id:
     words = frequent_words(docs, tokenizer, limit, text)
     made = words.repartition(1).mapInArrow(_compile_batches(tokenizer), "file binary").first()  # a few MB
     compiled = bytes(made["file"]) if made else next(_compile_batches(tokenizer)(iter(()))).column(0)[0].as_py()  # no words, no task
-    folder = os.path.realpath(tempfile.mkdtemp())
-    name = f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}-{os.path.basename(folder)}.npy"
+    folder = os.path.join(SparkFiles.getRootDirectory(), f"made-{uuid.uuid4().hex}")  # Spark's own, which ends with it
+    os.makedirs(folder)
+    name = f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}-{uuid.uuid4().hex}.npy"
     with open(os.path.join(folder, name), "wb") as f:
         f.write(compiled)
     spark.sparkContext.addFile(os.path.join(folder, name))  # every executor fetches its copy and maps it
@@ -278,7 +444,7 @@ def encode_documents(docs: DataFrame, path: str, limit: int = FREQUENT, doc_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer.value, Transducer(SparkFiles.get(name)))
         for batch in batches:
-            for part in slices(batch, 1, 1_500_000):
+            for part in slices(batch, 1):
                 ids = encoder.encode(part.column(1).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
                 yield pa.record_batch([part.column(0), lists, pa.array([encoder.decode(x) for x in ids], pa.large_string())], schema=_OUT)

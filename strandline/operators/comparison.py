@@ -55,8 +55,10 @@ def region_clusters(matrix: DataFrame, samples: list[str], k: int = 10, seed: in
     rows = profiles.where("_norm > 0").withColumn("_features", array_to_vector(cells)).persist()
     shapeless = profiles.where("_norm IS NULL OR NOT _norm > 0").withColumn("cluster", F.lit(None).cast("int")).drop("_mean", "_norm")
     if rows.isEmpty():
+        rows.unpersist()
         return shapeless
     model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(rows)
+    rows.unpersist()
     out = model.transform(rows).drop("_features", "_mean", "_norm")
     return out.withColumn("cluster", F.col("cluster") + 1).unionByName(shapeless)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strandline.functions import loci
 from strandline.operators import ordering
 from strandline.operators.overlaps import overlap_filter, overlap_join
-from strandline.session import checkpoint_dir, checkpointed
+from strandline.session import checkpoint_dir, checkpointed, discard
 
 OVERLAP, PROXIMAL, DISTAL = 0, 1, 2
 
@@ -250,7 +250,8 @@ def greedy_windows(peaks: DataFrame, starts: DataFrame, *, window: int = 2000, t
         free = peaks.sparkSession.read.parquet(path)
         met = overlap_join(open_.select("chrom", "start", "end", "turn"), free.select("chrom", *reach, "turn"))
         settled = met.where("b_turn <= turn").select("turn").distinct().unionByName(free.select("turn"))
-        open_ = checkpointed(open_.join(settled, "turn", "left_anti"))
-        rounds += 1
+        left = checkpointed(open_.join(settled, "turn", "left_anti"))
+        discard(open_)
+        open_, rounds = left, rounds + 1
     chosen = peaks.sparkSession.read.option("basePath", folder).parquet(folder)
     return chosen.select(F.col("turn.id").alias("id"), "chrom", F.col("turn.rank").alias("sample_rank"), *reach)

@@ -49,3 +49,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/strandline-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of tables that :func:`checkpointed` wrote, once everything that reads them is written itself."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            if not folder.rsplit("/", 1)[1].startswith("strandline-"):
+                raise ValueError(f"not a written table: {folder}")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -79,7 +79,7 @@ def append(reads: DataFrame, store: str, batch: str) -> DataFrame:
     source = F.col("source") if "source" in reads.columns else F.lit("")
     reads = reads.withColumn("_source", source)
     names = reads.groupBy("file_name").agg(F.min("cell_type").alias("cell_type"), F.min("_source").alias("_source"))
-    new = names.join(known.select("file_name"), "file_name", "left_anti")
+    new = coverage.append_new_files(known, names)
     highest = F.coalesce(known.agg(F.max("file_key")).scalar(), F.lit(0))
     new = ordering.row_numbers(new, [], [F.col("file_name")], "_n").withColumn("file_key", (highest + F.col("_n")).cast("int"))
     fresh = reads.drop("file_key", "cell_type").join(new.drop("_n"), ["file_name", "_source"])

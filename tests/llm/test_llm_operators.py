@@ -638,3 +638,53 @@ def test_words_merged_side_by_side():
     words = ["".join(rng.choice("aeioustrnlé日<|>1") for _ in range(rng.randrange(1, 60))) for _ in range(3000)]
     words += ["a", "aaaa", "a" * 39, "a" * 40, "a" * 41, "<|endoftext|>", "the", "thethethe"]
     assert own.merge_all(words) == [own.merge(w) for w in words]
+
+
+def places_by_hand(words, templates):
+    """Every start at which all phrases of a template stand, the first exactly and others within SLACK of their place, and
+    the rarest words, which lie in the phrases, as well."""
+    out = []
+    for k, (_, line, phrases) in enumerate(templates):
+        line = line.split()
+        slack = licences.SLACK if len(phrases) > 1 else 0
+        at = [next(i for i in range(len(line)) if line[i : i + len(p.split())] == p.split()) for p in phrases]
+        for start in range(-len(line), len(words)):
+            stands = lambda place, p: place >= 0 and words[place : place + len(p)] == p
+            if stands(start + at[0], phrases[0].split()) and all(
+                    any(stands(start + a + d, p.split()) for d in range(-slack, slack + 1)) for a, p in zip(at[1:], phrases[1:], strict=True)):
+                out.append((k, start))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("k", range(len(licences.TEMPLATES)))
+def test_each_licence_template(k):
+    """Whole, with a word more or less outside of its phrases, cut before its end, and with a phrase broken; repeated."""
+    rng, (label, line, phrases) = random.Random(k), licences.TEMPLATES[k]
+    weight = {w.encode(): 1 + rng.random() for _, x, _ in licences.TEMPLATES for w in x.split()}
+    index = licences.Index(weight)
+    line = line.split()
+    noise = lambda n: [rng.choice(["alpha", "beta", "the", "license", "software", "of"]) for _ in range(n)]
+    broken = list(line)
+    broken[line.index(phrases[0].split()[0])] = "other"
+    for words in (noise(9) + line + noise(7), line + noise(3) + line, noise(5) + ["so", *line[1:]] + noise(4), noise(3) + line[: len(line) // 2], noise(6) + broken + noise(6), line[:1] + noise(1) + line[1:]):
+        got = sorted((t, start) for t, start, _ in index.scan([w.encode() for w in words]))
+        assert got == places_by_hand(words, licences.TEMPLATES)
+    whole = [m for m in index.scan([w.encode() for w in noise(4) + line]) if m[:2] == (k, 4)]
+    assert whole and abs(whole[0][2] - 1) < 1e-9
+
+
+def test_own_licence_templates(spark):
+    own = (("house", "for use inside the house only", ("inside the house",)), ("yard", "not for the yard", ("the yard",)))
+    rows = spark.createDataFrame([(1, "This is FOR USE inside the house only."), (2, "Not for the yard; the yard"), (3, None)], "doc_id long, text string")
+    found = {r["doc_id"]: [(m["label"], m["start"], m["base"]) for m in r["matches"]] for r in licences.scan_licences(rows, own, 1).collect()}
+    assert found == {1: [("house", 2, True)], 2: [("yard", 0, False), ("yard", 2, False)], 3: []}
+
+
+def test_fewest_passages_cover_the_same_words():
+    rng = random.Random(13)
+    for _ in range(300):
+        found = [(a := rng.randrange(300), a + rng.randrange(50, 120), 0, 0, 1.0) for _ in range(rng.randrange(0, 25))]
+        kept = substring._fewest(found)
+        words = lambda x: set().union(*(range(p[0], p[1]) for p in x))
+        assert words(kept) == words(found) and set(kept) <= set(found)
+        assert all(words([q for q in kept if q is not p]) != words(found) for p in kept)

@@ -392,7 +392,7 @@ def _count_batches(tokenizer):
         for batch in batches:
             for text in batch.column(0):
                 seen.update(tokenizer.value.parts(text.as_py()))
-                if len(seen) > 500_000:
+                if len(seen) > 250_000:
                     yield flush()
         yield flush()
 
@@ -444,7 +444,7 @@ def encode_documents(docs: DataFrame, path: str, limit: int = FREQUENT, doc_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer.value, Transducer(SparkFiles.get(name)))
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 2_000_000):
                 ids = encoder.encode(part.column(1).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
                 yield pa.record_batch([part.column(0), lists, pa.array([encoder.decode(x) for x in ids], pa.large_string())], schema=_OUT)

@@ -251,14 +251,23 @@ def first_per_gene(rows: DataFrame, order: list, gene: str = "gene") -> DataFram
     return ordering.keep_first(named, [gene], order)
 
 
+def first_of_gene(rows: DataFrame) -> DataFrame:
+    """Of rows with gene_id, ``mean`` and ``row`` the one of highest mean per gene; ties keep the first row."""
+    return ordering.keep_first(rows, ["gene_id"], [-F.col("mean"), F.col("row")])
+
+
+def best_rows(expression: DataFrame, annotation: DataFrame, samples: list[str]) -> DataFrame:
+    """Per gene the probe with the highest mean, with its ``row``."""
+    total = sum([F.col(s) for s in samples[1:]], F.col(samples[0]))
+    return first_of_gene(expression.withColumn("mean", total / len(samples)).join(annotation, "probe"))
+
+
 def best_probe(expression: DataFrame, annotation: DataFrame, samples: list[str]) -> DataFrame:
     """Per gene the probe with the highest mean; ties keep the first probe.
 
     ``expression`` holds (probe, row, samples..), ``annotation`` (probe, gene_id).
     """
-    total = sum([F.col(s) for s in samples[1:]], F.col(samples[0]))
-    rows = expression.withColumn("mean", total / len(samples)).join(annotation, "probe")
-    return ordering.keep_first(rows, ["gene_id"], [-F.col("mean"), F.col("row")]).drop("row")
+    return best_rows(expression, annotation, samples).drop("row")
 
 
 def value_limits(long: DataFrame, low: float = 0.005, high: float = 0.995) -> DataFrame:

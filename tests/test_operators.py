@@ -17,6 +17,8 @@ from strandline.functions.sequence import reverse_complement
 from strandline.operators import (collections, coverage, expression, genes, matrices, ordering, overlaps, ranking,
                                   screen, sequences, stitching)
 from strandline.plans import jobs
+from strandline.plans.queries import QUERIES
+from strandline.sources.views import Views
 
 LOCUS = "id string, chrom string, start long, end long, strand string"
 FLIP = {"+": "-", "-": "+", ".": "."}
@@ -272,6 +274,43 @@ def test_nearest_gene(frame, monkeypatch):
     assert {r["id"]: r["closest_gene"] for r in got} == want
 
 
+@pytest.mark.parametrize("reach", [1_000_000, 3000])
+def test_nearest_gene_of_few_pairs(frame, monkeypatch, reach):
+    """Repeated ids, equal TSS, transcripts longer than the reach, and regions with equal ids: the closest of all pairs."""
+    monkeypatch.setattr(ordering, "TILE_BASES", 5000)
+    r = random.Random(11)
+    regions = [(f"r{i}" if i % 9 else f"r{i // 27}", r.choice(["c1", "c2"]), s := r.randint(0, 20_000) // 20 * 20,
+                s + r.choice([0, 1, 40, 2000]), ".") for i in range(300)]
+    regions += [(None, "c1", 100, 200, "."), ("r_null", None, 100, 200, "."), ("r_open", "c1", None, 200, "."), regions[3]]
+    notes = [(f"NM_{i if i % 6 else i // 12}", f"g{i}", r.choice(["c1", "c2"]), r.choice("+-"), t := r.randint(0, 20_000) // 400 * 400,
+              t + r.choice([0, 20, 400, 1000, 9000]), i) for i in range(120)]
+    notes += [("NM_open", "go", "c1", "+", None, 900, 900), (None, "gn", "c1", "-", 300, 340, 901)]
+    f_regions = frame(regions, LOCUS)
+    annotation = frame(notes, "id string, name string, chrom string, strand string, tx_start long, tx_end long, row long")
+    starts, places = genes.start_table(annotation), genes.transcripts(annotation)
+    every = genes.gene_pairs(f_regions, starts, places, 700)
+    few = genes.gene_pairs(f_regions, starts, places, 700, closest=reach)
+    want = {tuple(x) for x in genes.nearest_gene(f_regions, starts, every, reach).collect()}
+    assert {tuple(x) for x in genes.nearest_gene(f_regions, starts, few, reach).collect()} == want
+    assert len(want) > 250
+    ids = lambda pairs: {tuple(x) for x in pairs.select("id", "chrom", "gene_id").collect()}
+    assert ids(few) <= ids(every)
+
+
+def test_nearest_gene_makes_no_row_per_pair(spark, tmp_path, monkeypatch):
+    """200 regions that all touch 200 transcripts: a few pairs per region."""
+    views = {"annotation": [(f"NM_{i:03d}", f"g{i}", "c1", "+", 1000 + i % 7, 4000 + i, i) for i in range(200)],
+             "peaks": [(f"r{i}", "c1", 2000 + i, 2100 + i, ".") for i in range(200)]}
+    schema = {"annotation": "id string, name string, chrom string, strand string, tx_start long, tx_end long, row long", "peaks": LOCUS}
+    for name, rows in views.items():
+        monkeypatch.setattr(Views, name, lambda self, name=name, rows=rows: spark.createDataFrame(rows, schema[name]))
+    seen, nearest = [], genes.nearest_gene
+    monkeypatch.setattr(genes, "nearest_gene", lambda regions, starts, pairs, *more: seen.append(pairs) or nearest(regions, starts, pairs, *more))
+    got = {tuple(x) for x in QUERIES["nearest_gene"](spark, str(tmp_path)).collect()}
+    assert got == {(f"r{i}", "g6", (4100 + 2 * i) // 2 - 1006) for i in range(200)}
+    assert seen[0].count() <= 600
+
+
 def test_greedy_windows(spark, frame):
     r = random.Random(9)
     peaks = [(f"p{i}", "c1", s := r.randint(0, 20_000), s + r.randint(10, 400), r.choice([1, 2])) for i in range(80)]

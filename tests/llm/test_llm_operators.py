@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -680,6 +681,23 @@ def test_own_licence_templates(spark):
     assert found == {1: [("house", 2, True)], 2: [("yard", 0, False), ("yard", 2, False)], 3: []}
 
 
+def test_seeds_of_a_slice_are_dealt_in_little_memory():
+    """A slice of 600,000 seeds, some common: below 110 bytes a seed (153 with places and numbers of eight bytes)."""
+    rng = np.random.default_rng(5)
+    found = [rng.integers(0, 1 << 63, 2000, dtype=np.uint64) for _ in range(300)]
+    for x in found[:40]:
+        x[:10] = np.arange(10)
+    places = [np.arange(2000) for _ in found]
+    tracemalloc.start()
+    try:
+        rows = [r for b in substring._deal(found, places, np.arange(300), np.zeros(300, np.int64), 6) for r in b.to_pylist()]
+        assert tracemalloc.get_traced_memory()[1] < 110 * 600_000
+    finally:
+        tracemalloc.stop()
+    sizes = {k: sum(len(r["body"]) for r in rows if r["kind"] == k) // substring._ENTRY.itemsize for k in (substring.SEEDS, substring.FOLLOWERS)}
+    assert sizes == {substring.SEEDS: 600_000 - 240, substring.FOLLOWERS: 240}  # 24 of 40 holders of each of ten seeds
+
+
 def test_fewest_passages_cover_the_same_words():
     rng = random.Random(13)
     for _ in range(300):

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import io
 import itertools
 import json
 import os
+import pickle
 import re
 import sys
 import tempfile
@@ -14,13 +16,14 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
+from typing import IO
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, normalizers, pre_tokenizers
 
@@ -68,8 +71,8 @@ def byte_letters() -> list[str]:
 class Tokenizer:
     """Vocabulary, merges and special strings of a BPE file with word ends."""
 
-    def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as f:
+    def __init__(self, file: str | IO[bytes]) -> None:
+        with open(file, "rb") if isinstance(file, str) else file as f:
             spec = json.load(f)
         model = spec["model"]
         self.vocabulary: dict[str, int] = model["vocab"]
@@ -410,7 +413,7 @@ def _compile_batches(tokenizer):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer.value
-        common = [w for b in batches for w in b.column(0).to_pylist() if w not in own.special and "\0" not in w]
+        common = [w for b in batches for w in b.column(0).to_pylist() if w is not None and w not in own.special and "\0" not in w]
         with tempfile.TemporaryDirectory() as folder:
             made = os.path.join(folder, "lexicon.npy")
             compile_transducer({w.encode("utf-8", "replace"): own.merge(w) for w in common}, made)
@@ -420,6 +423,37 @@ def _compile_batches(tokenizer):
     return run
 
 
+@lru_cache(maxsize=2)
+def _opened(pickled: bytes) -> Tokenizer:
+    return pickle.loads(pickled)
+
+
+class Shared:
+    """A tokenizer as a broadcast of its bytes, which a worker opens once."""
+
+    def __init__(self, pickled: Broadcast) -> None:
+        self.pickled = pickled
+
+    @property
+    def value(self) -> Tokenizer:
+        return _opened(self.pickled.value)
+
+
+def shared_tokenizer(spark: SparkSession, path: str) -> Shared:
+    """The tokenizer of a file, made by one task: its tables of code points and merges take ten times the memory of the
+    bytes that the driver gets."""
+    with open(path, "rb") as f:
+        file = spark.sparkContext.broadcast(f.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            yield pa.record_batch([pa.array([pickle.dumps(Tokenizer(io.BytesIO(file.value)))], pa.binary())], ["made"])
+
+    made = spark.range(1).repartition(1).mapInArrow(run, "made binary").first()["made"]
+    file.unpersist()
+    return Shared(spark.sparkContext.broadcast(bytes(made)))
+
+
 _OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.large_string())])
 
 
@@ -430,10 +464,9 @@ def encode_documents(docs: DataFrame, path: str, limit: int = FREQUENT, doc_id:
     other columns are ignored. The words counted over all documents only decide which take the fast way.
     Columns: doc_id, ids, decoded."""
     spark = docs.sparkSession
-    tokenizer = spark.sparkContext.broadcast(Tokenizer(path))  # as large as the vocabulary file
-    words = frequent_words(docs, tokenizer, limit, text)
-    made = words.repartition(1).mapInArrow(_compile_batches(tokenizer), "file binary").first()  # a few MB
-    compiled = bytes(made["file"]) if made else next(_compile_batches(tokenizer)(iter(()))).column(0)[0].as_py()  # no words, no task
+    tokenizer = shared_tokenizer(spark, path)
+    words = frequent_words(docs, tokenizer, limit, text).union(spark.range(1).select(F.lit(None).cast("string")))  # one row at least
+    compiled = bytes(words.repartition(1).mapInArrow(_compile_batches(tokenizer), "file binary").first()["file"])  # a few MB
     folder = os.path.join(SparkFiles.getRootDirectory(), f"made-{uuid.uuid4().hex}")  # Spark's own, which ends with it
     os.makedirs(folder)
     name = f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}-{uuid.uuid4().hex}.npy"

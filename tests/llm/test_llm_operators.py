@@ -706,3 +706,14 @@ def test_fewest_passages_cover_the_same_words():
         words = lambda x: set().union(*(range(p[0], p[1]) for p in x))
         assert words(kept) == words(found) and set(kept) <= set(found)
         assert all(words([q for q in kept if q is not p]) != words(found) for p in kept)
+
+
+def test_tokenizer_is_not_made_by_the_driver(spark, monkeypatch):
+    """Its tables took 120 MB of the driver's memory."""
+    def fail(*_):
+        raise AssertionError("made by the driver")
+
+    monkeypatch.setattr(bpe.Tokenizer, "__init__", fail)
+    docs = spark.createDataFrame([(1, "a word"), (2, None)], "doc_id long, text string")
+    got = {r["doc_id"]: len(r["ids"]) for r in bpe.encode_documents(docs, public_tokenizers.path(queries.TOKENIZER)).collect()}
+    assert got[1] >= 2 and got[2] == 0

@@ -708,6 +708,40 @@ def test_fewest_passages_cover_the_same_words():
         assert all(words([q for q in kept if q is not p]) != words(found) for p in kept)
 
 
+def test_links_to_further_holders(spark):
+    """Document 3 covers all that 5 shares. 4 is as close to 5, but not to 3, and others hold its seeds before: 5 is linked
+    to it all the same, which ties 4 to 3."""
+    word = _random_words(31)
+    whole = word(120)
+    apart = lambda k: [word()[0] if i % 7 == k else w for i, w in enumerate(whole)]
+    third, fourth = apart(3), apart(6)
+    texts = [fourth[:40], fourth[40:80], fourth[80:], third, fourth, whole]
+    rows = [(i, " ".join(word(40) + p + word(40))) for i, p in enumerate(texts)]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["other_id"], r["class_id"]) for r in found} == {(5, 3, 3), (5, 4, 3)}
+
+
+def test_near_copies_make_few_pairs(spark, monkeypatch):
+    """Texts of one passage with other words in three places each, and copies of one of them, all in one class: the rows
+    grow with the documents, not with their square."""
+    word = _random_words(31)
+    passage = word(70)
+    vary = lambda: [*passage[:20], *word(1), *passage[21:41], *word(1), *passage[42:60], *word(1), *passage[61:]]
+    one = vary()
+    rows = [(i, " ".join(word(40) + p + word(40))) for i, p in enumerate([passage, *(vary() for _ in range(60)), *[one] * 30])]
+    compared, pairs = substring.compared, []
+    monkeypatch.setattr(substring, "compared", lambda p, c: pairs.append(p.count()) or compared(p, c))
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found} == set(range(1, 91)) and {r["class_id"] for r in found} == {0}
+    assert sum(pairs) < 300 and len(found) < 300
+
+
+def test_settled_runs():
+    equal = lambda *x: substring.settled(np.array([a for a, _ in x]), np.array([b - substring.SEED for _, b in x]))
+    assert equal((3, 40), (5, 22), (3, 30), (60, 77), (70, 88)) == [(3, 40), (70, 88)]
+    assert equal() == []
+
+
 def test_tokenizer_is_not_made_by_the_driver(spark, monkeypatch):
     """Its tables took 120 MB of the driver's memory."""
     def fail(*_):

@@ -31,12 +31,15 @@ from strandline.llm.common import slices
 
 #: Words in the transducer, and bytes of the longest.
 FREQUENT, LONGEST = 1 << 16, 48
+#: Stretches between blanks whose ids a task keeps.
+KNOWN = 250_000
 #: Symbols of a word up to which all pairs are looked at for each merge, and up to which words are merged side by side.
 SHORT, SIDE_BY_SIDE = 24, 40
 _NEVER = 1 << 60
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _word = re.compile(rf"[^{_SPACE}]+")
-_ascii_pieces = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+").findall
+_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+"
+_ascii_pieces, _ascii_lines = re.compile(_ASCII).findall, re.compile(_ASCII + r"|\n").findall
 
 
 def _points() -> str:
@@ -104,24 +107,50 @@ class Tokenizer:
             at = m.end()
         return out + self._words(text[at:]) if at else self._words(text)
 
-    def _words(self, text: str) -> list[str]:
+    def _words(self, text: str, lines: bool = False) -> list[str]:
         if text.isascii():
-            return _ascii_pieces(text.lower())
+            return (_ascii_lines if lines else _ascii_pieces)(text.lower())
         text = unicodedata.normalize("NFC", text)
         if self._odd(text):
             text = text.translate(self.lower)  # by letter, not by word
-        return self._find(text.lower())
+        return (self._find_lines if lines else self._find)(text.lower())
+
+    def pieces_of(self, parts: list[str]) -> tuple[np.ndarray, list[str]]:
+        """pieces() of many parts(), as the order in which they are taken and their words, with a line end after each part.
+        Parts without special strings have no blanks in them and are split as the lines of one text."""
+        ascii_, other, alone = [], [], []
+        if self.apart:
+            for i, x in enumerate(parts):
+                (ascii_ if x.isascii() else other).append(i)
+        else:
+            alone = list(range(len(parts)))
+        out = []
+        for some in (ascii_, other):
+            text = "\n".join([parts[i] for i in some])
+            if any(x in text for x in self.special):
+                alone += [i for i in some if any(x in parts[i] for x in self.special)]
+                some[:] = [i for i in some if not any(x in parts[i] for x in self.special)]
+                text = "\n".join([parts[i] for i in some])
+            if some:
+                out += self._words(text + "\n", lines=True)
+        for i in alone:
+            out += [*self.pieces(parts[i]), "\n"]
+        return np.array(ascii_ + other + alone, np.int64), out
 
     @cached_property
     def _find(self):
         return re.compile(self._pieces).findall
 
+    @cached_property
+    def _find_lines(self):
+        return re.compile(self._pieces + r"|\n").findall
+
     @cached_property
     def _odd(self):
         return re.compile(f"[{''.join(map(chr, self.lower))}]").search
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_find", "_odd", "_arrays")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_find", "_find_lines", "_odd", "_arrays")}
 
     @cached_property
     def apart(self) -> bool:
@@ -337,9 +366,21 @@ class Numbers(dict):
         return number
 
 
+def _flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The lists one after the other, and the length of each."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+
 class Encoder:
+    """Encodes texts; what stretches between blanks became is kept for the texts to come, up to about KNOWN of them."""
+
     def __init__(self, tokenizer: Tokenizer, transducer: Transducer) -> None:
         self.tokenizer, self.transducer = tokenizer, transducer
+        self._forget()
+
+    def _forget(self) -> None:
+        self.parts, self.table, self.sizes = Numbers(), np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one after the other, and how many each has; words that the transducer lacks are merged."""
@@ -362,17 +403,26 @@ class Encoder:
         bounds = np.concatenate([[0], np.cumsum(groups)])
         return table[_gathered((np.cumsum(n) - n)[flat], each)], ends[bounds[1:]] - ends[bounds[:-1]]
 
+    def _learn(self) -> None:
+        """Ids of the parts that are new: distinct parts are split into words, distinct words are looked up, all together."""
+        new = list(itertools.islice(self.parts, len(self.sizes), None))
+        order, found = self.tokenizer.pieces_of(new)
+        words = {w: k for k, w in enumerate(dict.fromkeys(["\n", *found]))}  # the line end is word 0
+        flat = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+        del words["\n"]
+        groups = np.diff(np.flatnonzero(flat == 0), prepend=-1) - 1
+        ids, n = self._spread(*self._ids(list(words)), flat[flat > 0] - 1, groups)
+        back = np.argsort(order)
+        ids = ids[_gathered((np.cumsum(n) - n)[back], n[back])]
+        self.table, self.sizes = np.concatenate([self.table, ids]), np.concatenate([self.sizes, n[back]])
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text. Distinct stretches between blanks are split into words, distinct words are looked up, all
-        together; then both are put back in place."""
-        parts, words = Numbers(), Numbers()
-        by_text = [list(map(parts.__getitem__, self.tokenizer.parts(t))) for t in texts]
-        by_part = [list(map(words.__getitem__, self.tokenizer.pieces(x))) for x in parts]
-        table, n = self._ids(list(words))
-        for lists in (by_part, by_text):
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum()))
-            table, n = self._spread(table, n, flat, sizes)
+        """Ids of each text: of its stretches between blanks, put back in place."""
+        if len(self.parts) > KNOWN:
+            self._forget()
+        by_text = [list(map(self.parts.__getitem__, self.tokenizer.parts(t))) for t in texts]
+        self._learn()
+        table, n = self._spread(self.table, self.sizes, *_flattened(by_text))
         return np.split(table, np.cumsum(n)[:-1]) if len(texts) else []
 
     def decode(self, ids: np.ndarray) -> str:
@@ -383,18 +433,23 @@ class Encoder:
 def _count_batches(tokenizer):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        own = tokenizer.value  # once a task: another broadcast of the same bytes is compared byte by byte
 
         def flush() -> pa.RecordBatch:
-            words: Counter = Counter()
+            alike: dict[int, list[str]] = {}  # parts by how often they are there
             for part, n in seen.items():
-                for word in tokenizer.value.pieces(part):
-                    words[word] += n
+                alike.setdefault(n, []).append(part)
+            words: Counter = Counter()
+            for n, parts in alike.items():
+                for word, k in Counter(own.pieces_of(parts)[1]).items():
+                    words[word] += n * k
+            del words["\n"]
             seen.clear()
             return pa.record_batch([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for text in batch.column(0):
-                seen.update(tokenizer.value.parts(text.as_py()))
+                seen.update(own.parts(text.as_py()))
                 if len(seen) > 250_000:
                     yield flush()
         yield flush()

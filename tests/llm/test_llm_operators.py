@@ -751,3 +751,43 @@ def test_tokenizer_is_not_made_by_the_driver(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a word"), (2, None)], "doc_id long, text string")
     got = {r["doc_id"]: len(r["ids"]) for r in bpe.encode_documents(docs, public_tokenizers.path(queries.TOKENIZER)).collect()}
     assert got[1] >= 2 and got[2] == 0
+
+
+def test_tokenizer_is_opened_once_a_task():
+    """It was asked for at every stretch of text; where the bytes came by another broadcast they were compared each time."""
+    import pyarrow as pa
+
+    class Counted:
+        own, times = bpe.Tokenizer(public_tokenizers.path(queries.TOKENIZER)), 0
+
+        @property
+        def value(self):
+            self.times += 1
+            return self.own
+
+    shared = Counted()
+    texts = ["the cat's 12 hats", None, "THE Σ Ä<|endoftext|>the ẍ\ny the cat's"]
+    found = {r["word"]: r["n"] for b in bpe._count_batches(shared)(iter([pa.record_batch([pa.array(texts)], ["text"])])) for r in b.to_pylist()}
+    want = defaultdict(int)
+    for x in texts:
+        for w in shared.own.pieces(x):
+            want[w] += 1
+    assert shared.times == 1 and found == want
+
+
+def test_ids_of_stretches_are_kept_and_forgotten(tmp_path, monkeypatch):
+    """Texts given in several calls, with and without what is kept of the calls before."""
+    own, rng = bpe.Tokenizer(public_tokenizers.path(queries.TOKENIZER)), random.Random(3)
+    bpe.compile_transducer({w.encode(): own.merge(w) for w in ("the", "cat", "'s")}, str(tmp_path / "t.npy"))
+    letters = ["a", "Z", "'s", "the", " ", "\n", "　", "̈", "é", "Σ", "9", "!!", "İ", "\0", "\x85", *own.special]
+    texts = [None, "", *("".join(rng.choices(letters, k=rng.randrange(30))) for _ in range(600))]
+    want = [[i for p in own.parts(t) for w in own.pieces(p) for i in own.merge(w)] for t in texts]
+    for known in (10, 1 << 20):
+        monkeypatch.setattr(bpe, "KNOWN", known)
+        encoder = bpe.Encoder(own, bpe.Transducer(str(tmp_path / "t.npy")))
+        calls = []
+        monkeypatch.setattr(own, "merge_all", lambda words, calls=calls: calls.append(len(words)) or bpe.Tokenizer.merge_all(own, words))
+        assert [x.tolist() for k in range(0, len(texts), 100) for x in encoder.encode(texts[k : k + 100])] == want
+        before = sum(calls)
+        assert [x.tolist() for x in encoder.encode(texts[:100])] == want[:100]
+        assert (sum(calls) == before) == (known > 10)

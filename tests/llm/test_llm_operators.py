@@ -822,3 +822,26 @@ def test_seeds_of_a_bucket_are_sorted_in_little_memory():
     assert got == {(k, 65_000 + j, 0) for k in range(400) for j in range(10)} | {(k, 65_010, k // 2 * 2) for k in range(400)}
     leaders = [np.frombuffer(r["body"], substring._LEADER) for b in rows for r in b.to_pylist() if r["kind"] == substring.LEADERS]
     assert len(leaders) == 1 and len(leaders[0]) == 10 and (np.diff(leaders[0]["hash"].astype(object)) > 0).all() and not leaders[0]["doc"].any()
+
+
+def test_passage_that_the_first_text_repeats(spark):
+    """A text with HOT entries of each seed of a passage doesn't hide the text after it, whose entries are all followers."""
+    word = _random_words(41)
+    passage = word(60)
+    rows = [(1, " ".join(w for _ in range(20) for w in [*passage, *word(8)])), (2, " ".join(word(30) + passage + word(30)))]
+    assert len(rows[0][1].split()) // 68 > substring.HOT
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert {(r["doc_id"], r["other_id"], r["class_id"]) for r in found} == {(2, 1, 1)}
+
+
+def test_seeds_of_one_text_only_have_no_leaders():
+    """Of seeds that a text repeats, the bucket gets HOT entries and that of a second text, if there is one."""
+    own, both = np.full(40, 5, np.uint64), np.full(40, 7 << 32, np.uint64)
+    found = [np.concatenate([own, both]), both[:3].copy()]
+    rows = [r for b in substring._deal(found, [np.arange(80), np.arange(3)], np.array([1, 2]), np.zeros(2, np.int64), 4) for r in b.to_pylist()]
+    sizes = {k: sum(len(r["body"]) for r in rows if r["kind"] == k) // substring._ENTRY.itemsize for k in (substring.SEEDS, substring.FOLLOWERS)}
+    assert sizes == {substring.SEEDS: 2 * substring.HOT + 1, substring.FOLLOWERS: 24 + 26}
+    dealt = [r for r in rows if r["kind"] == substring.SEEDS]
+    made = [r for b in substring._bucket(0, [r["head"] for r in dealt], [r["body"] for r in dealt], 4) for r in b.to_pylist()]
+    leaders = [np.frombuffer(r["body"], substring._LEADER) for r in made if r["kind"] == substring.LEADERS]
+    assert [x["doc"].tolist() for x in leaders] == [[1]]

@@ -845,3 +845,14 @@ def test_seeds_of_one_text_only_have_no_leaders():
     made = [r for b in substring._bucket(0, [r["head"] for r in dealt], [r["body"] for r in dealt], 4) for r in b.to_pylist()]
     leaders = [np.frombuffer(r["body"], substring._LEADER) for r in made if r["kind"] == substring.LEADERS]
     assert [x["doc"].tolist() for x in leaders] == [[1]]
+
+
+def test_components_keep_no_estimated_sizes(spark):
+    """The estimated size of what the rounds have cut doubled its digits with every join of the loop, until it filled the
+    driver's heap."""
+    nodes = list(range(1000))
+    random.Random(3).shuffle(nodes)
+    links = [*zip(nodes, nodes[1:], strict=False), *((5000 + i, 4999) for i in range(50))]
+    roots = common.components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, roots.groupBy("root").count().collect())) == [(0, 1000), (4999, 51)]
+    assert roots._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 64

@@ -332,3 +332,13 @@ def test_extension_and_strands(spark, frame):
     assert bins(strand="-") == [0, 10]
     # grown by 30: the read ending at 50 is looked at by both bins, the one at 60 only by its own
     assert bins(extension=30) == [40 + 5, 30 + 20]
+
+
+def test_starts_as_text_are_sorted_as_numbers(spark):
+    """Also past twelve digits; repeated starts, none on a strand, and rows of no strand or no reads."""
+    big = 10**12
+    rows = [("a", "+", big, 2), ("a", "+", big - 1, 1), ("a", "+", 7, 3), ("a", "-", 10, 1), ("a", "-", 9, 1), ("a", ".", 5, 1),
+            ("b", "-", 3, 2), ("b", "+", 4, 0), (None, "+", 1, 1), (None, "+", 0, 1)]
+    out = coverage.starts_text(spark.createDataFrame(rows, "id string, strand string, read_start long, n long"))
+    assert {r["id"]: r["starts"] for r in out.collect()} == {
+        "a": f"+:7,7,7,{big - 1},{big},{big};-:9,10", "b": "+:;-:3,3", None: "+:0,1;-:"}

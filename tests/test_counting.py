@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -342,3 +343,35 @@ def test_starts_as_text_are_sorted_as_numbers(spark):
     out = coverage.starts_text(spark.createDataFrame(rows, "id string, strand string, read_start long, n long"))
     assert {r["id"]: r["starts"] for r in out.collect()} == {
         "a": f"+:7,7,7,{big - 1},{big},{big};-:9,10", "b": "+:;-:3,3", None: "+:0,1;-:"}
+
+
+def test_unique_reads_shuffle_no_pairs(spark):
+    """Against brute force, with null names, ids of several places, empty and long regions and reads on window edges; and
+    where many reads meet many regions, what is shuffled grows with the tables and not with the pairs."""
+    rng = random.Random(17)
+    reads_ddl = "chrom string, start long, end long, strand string, seq string, cigar string"
+    region_ddl = "id string, chrom string, start long, end long, strand string"
+    reads = [(rng.choice(["c1", "c2", None]), start := rng.randrange(-50, 9000), start + rng.randrange(60), rng.choice("+-"),
+              rng.choice([None, *"abcdefgh"]), rng.choice(["5M", "5M", "2M9N3M"])) for _ in range(500)]
+    regions = [(f"r{i // 2 if i < 20 else i}" if i % 17 else None, rng.choice(["c1", "c2", None]), start := rng.randrange(-50, 9000),
+                start + rng.choice([-3, 0, 1, 40, 300, 2048, 2049, 7000]), rng.choice("+-.")) for i in range(150)]
+    want = {}
+    for i, chrom, start, end, strand in regions:
+        for r in reads:
+            if chrom and r[0] == chrom and end > start and r[1] < end and r[2] >= start and "N" not in r[5]:
+                key, new = (i, r[4]), (*r[1:4], chrom, strand)
+                want[key] = min(want.get(key, new), new, key=lambda x: x[:3])
+    want = {(i, x[3], *x[:3], seq) for (i, seq), x in want.items() if x[4] in (".", x[2])}
+    out = coverage.unique_reads(spark.createDataFrame(reads, reads_ddl), spark.createDataFrame(regions, region_ddl), "+", ["start", "end", "strand"])
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(want) and set(got) == want and 100 < len(got)
+
+    crowd = spark.createDataFrame([("c1", k % 50, k % 50 + 30, "+", str(k), "5M") for k in range(300)], reads_ddl)
+    places = spark.createDataFrame([(f"r{k}", "c1", k % 20, k % 20 + 60, "+") for k in range(300)], region_ddl)
+    out = coverage.unique_reads(crowd, places, "+", ["start", "end", "strand"])
+    assert out.count() == 300 * 300
+    done = out._jdf.queryExecution()
+    done.toRdd().count()
+    plan = done.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    shuffled = [float(n) for n in re.findall(r"ShuffleQueryStage.*rowCount=([\dE+.]+)\)", plan)]
+    assert shuffled and max(shuffled) <= 900
